@@ -1,11 +1,12 @@
-"""Porter stemming as column expressions.
+"""Porter stemming as SQL expressions.
 
 The algorithm is the published one (M.F. Porter, "An algorithm for suffix
-stripping", 1980) with the later ``bli`` and ``logi`` rules. Each step is a
-function of one column. The steps run as a chain of ``transform`` calls over an
-array of words, so a step's input is bound once however often the step uses it,
-the plan stays linear in the number of steps, and no row leaves the JVM or
-crosses a shuffle.
+stripping", 1980) with the later ``bli`` and ``logi`` rules. Each step is an
+expression over one word ``w``. The steps run as a chain of ``transform`` calls over
+an array of words, so a step's input is bound once however often the step uses it,
+the plan stays linear in the number of steps, and no row leaves the JVM or crosses a
+shuffle. The expressions are SQL text: building the same tree from column objects
+costs seconds of calls into the JVM.
 
 Letters are tested as written: an upper-case letter is a consonant.
 """
@@ -15,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import drop_last
-
 # Consonants and vowels as character classes. ``y`` is a vowel exactly when a
 # consonant precedes it, so a consonant run starts with [^aeiou] and goes on with
 # [^aeiouy]*, and a later vowel run starts with [aeiouy] and goes on with [aeiou]*.
@@ -51,140 +50,125 @@ LAST_SUFFIXES = [
 ]
 
 
-def _first_rule(word: Column, rules: list[tuple[str, Column]]) -> Column:
+def _cut(n: int) -> str:
+    """The word without its last n letters."""
+    return f"substring(w, 1, length(w) - {n})"
+
+
+def _ends(*suffixes: str) -> str:
+    return "(" + " OR ".join(f"endswith(w, '{s}')" for s in suffixes) + ")"
+
+
+def _first_rule(rules: list[tuple[str, str]]) -> str:
     """The result of the first rule whose suffix ends the word, else the word.
 
     Rules are grouped by their last two letters, and one set test lets most words
     pass without trying any of them.
     """
-    by_ending: dict[str, list[tuple[str, Column]]] = {}
+    by_ending: dict[str, list[tuple[str, str]]] = {}
     for suffix, result in rules:
         by_ending.setdefault(suffix[-2:], []).append((suffix, result))
-    ending = word.substr(-2, 2)
-    chosen = F.when(~ending.isin(*by_ending), word)
-    for letters, group in by_ending.items():
-        inner = None
-        for suffix, result in group:
-            test = word.endswith(suffix)
-            inner = F.when(test, result) if inner is None else inner.when(test, result)
-        chosen = chosen.when(ending == letters, inner.otherwise(word))
-    return chosen.otherwise(word)
-
-
-def _plurals(word: Column) -> Column:
-    return (
-        F.when(~word.endswith("s"), word)
-        .when(word.endswith("ss"), word)
-        .when(word.endswith("sses") | word.endswith("ies"), drop_last(word, 2))
-        .otherwise(drop_last(word, 1))
-    )
-
-
-def _after_ed_ing(stem: Column) -> Column:
-    last = stem.substr(-1, 1)
-    doubled = stem.endswith(F.concat(last, last)) & (
-        last.rlike("[^aeiouy]") | (last == "y") & stem.rlike(ENDS_IN_CONSONANT)
-    )
-    return (
-        F.when(
-            stem.endswith("at") | stem.endswith("bl") | stem.endswith("iz"),
-            F.concat(stem, F.lit("e")),
-        )
-        .when(doubled, F.when(last.isin("l", "s", "z"), stem).otherwise(drop_last(stem, 1)))
-        .when(stem.rlike(SHORT_SYLLABLE), F.concat(stem, F.lit("e")))
-        .otherwise(stem)
-    )
-
-
-def _past_and_gerund(word: Column) -> Column:
-    less2, less3 = drop_last(word, 2), drop_last(word, 3)
-    return (
-        F.when(
-            word.endswith("ed"),
-            F.when(
-                word.endswith("eed"),
-                F.when(less3.rlike(MEASURE_ABOVE_0), drop_last(word, 1)).otherwise(word),
+    endings = ", ".join(f"'{e}'" for e in by_ending)
+    whens = [f"WHEN substring(w, -2, 2) NOT IN ({endings}) THEN w"]
+    for ending, group in by_ending.items():
+        inner = " ".join(f"WHEN endswith(w, '{s}') THEN {result}" for s, result in group)
+        whens.append(f"WHEN endswith(w, '{ending}') THEN CASE {inner} ELSE w END")
+    return f"CASE {' '.join(whens)} ELSE w END"
+
+
+def _plurals() -> str:
+    return f"""CASE WHEN NOT endswith(w, 's') OR endswith(w, 'ss') AND NOT endswith(w, 'sses') THEN w
+        WHEN {_ends('sses', 'ies')} THEN {_cut(2)} ELSE {_cut(1)} END"""
+
+
+def _after_ed_ing(rest: str) -> str:
+    last = f"substring({rest}, -1, 1)"
+    doubled = f"""endswith({rest}, concat({last}, {last}))
+        AND ({last} NOT IN ('a', 'e', 'i', 'o', 'u', 'y', '')
+             OR {last} = 'y' AND {rest} RLIKE '{ENDS_IN_CONSONANT}')"""
+    return f"""CASE
+        WHEN endswith({rest}, 'at') OR endswith({rest}, 'bl') OR endswith({rest}, 'iz')
+            THEN concat({rest}, 'e')
+        WHEN {doubled}
+            THEN CASE WHEN {last} IN ('l', 's', 'z') THEN {rest}
+                 ELSE substring({rest}, 1, length({rest}) - 1) END
+        WHEN {rest} RLIKE '{SHORT_SYLLABLE}' THEN concat({rest}, 'e')
+        ELSE {rest} END"""
+
+
+def _past_and_gerund() -> str:
+    return f"""CASE
+        WHEN endswith(w, 'eed')
+            THEN CASE WHEN {_cut(3)} RLIKE '{MEASURE_ABOVE_0}' THEN {_cut(1)} ELSE w END
+        WHEN endswith(w, 'ed') AND {_cut(2)} RLIKE '{HAS_VOWEL}' THEN {_after_ed_ing(_cut(2))}
+        WHEN endswith(w, 'ing') AND {_cut(3)} RLIKE '{HAS_VOWEL}' THEN {_after_ed_ing(_cut(3))}
+        ELSE w END"""
+
+
+def _final_y() -> str:
+    return f"""CASE WHEN endswith(w, 'y') AND {_cut(1)} RLIKE '{HAS_VOWEL}'
+        THEN concat({_cut(1)}, 'i') ELSE w END"""
+
+
+def _replace_suffix(table: list[tuple[str, str]]) -> str:
+    return _first_rule(
+        [
+            (
+                suffix,
+                f"CASE WHEN {_cut(len(suffix))} RLIKE '{MEASURE_ABOVE_0}' "
+                f"THEN concat({_cut(len(suffix))}, '{replacement}') ELSE w END",
             )
-            .when(less2.rlike(HAS_VOWEL), _after_ed_ing(less2))
-            .otherwise(word),
-        )
-        .when(word.endswith("ing") & less3.rlike(HAS_VOWEL), _after_ed_ing(less3))
-        .otherwise(word)
+            for suffix, replacement in table
+        ]
     )
 
 
-def _final_y(word: Column) -> Column:
-    less1 = drop_last(word, 1)
-    return F.when(
-        word.endswith("y") & less1.rlike(HAS_VOWEL), F.concat(less1, F.lit("i"))
-    ).otherwise(word)
-
-
-def _replace_suffix(table: list[tuple[str, str]]):
-    def step(word: Column) -> Column:
-        rules = []
-        for suffix, replacement in table:
-            rest = drop_last(word, len(suffix))
-            changed = F.concat(rest, F.lit(replacement)) if replacement else rest
-            rules.append((suffix, F.when(rest.rlike(MEASURE_ABOVE_0), changed).otherwise(word)))
-        return _first_rule(word, rules)
-
-    return step
-
-
-def _strip_suffix(word: Column) -> Column:
+def _strip_suffix() -> str:
     rules = []
     for suffix in LAST_SUFFIXES:
-        rest = drop_last(word, len(suffix))
-        strip = rest.rlike(MEASURE_ABOVE_1)
+        rest = _cut(len(suffix))
+        test = f"{rest} RLIKE '{MEASURE_ABOVE_1}'"
         if suffix == "ion":
-            strip = (rest.endswith("s") | rest.endswith("t")) & strip
-        rules.append((suffix, F.when(strip, rest).otherwise(word)))
-    return _first_rule(word, rules)
+            test = f"{_ends('sion', 'tion')} AND {test}"
+        rules.append((suffix, f"CASE WHEN {test} THEN {rest} ELSE w END"))
+    return _first_rule(rules)
 
 
-def _final_e(word: Column) -> Column:
-    less1 = drop_last(word, 1)
-    return F.when(
-        word.endswith("e")
-        & (
-            word.rlike(MEASURE_ABOVE_1)
-            | word.rlike(MEASURE_IS_1) & ~less1.rlike(SHORT_SYLLABLE)
-        ),
-        less1,
-    ).otherwise(word)
+def _final_e() -> str:
+    return f"""CASE WHEN endswith(w, 'e') AND (w RLIKE '{MEASURE_ABOVE_1}'
+            OR w RLIKE '{MEASURE_IS_1}' AND NOT {_cut(1)} RLIKE '{SHORT_SYLLABLE}')
+        THEN {_cut(1)} ELSE w END"""
 
 
-def _final_ll(word: Column) -> Column:
-    return F.when(
-        word.endswith("ll") & word.rlike(MEASURE_ABOVE_1), drop_last(word, 1)
-    ).otherwise(word)
+def _final_ll() -> str:
+    return f"CASE WHEN endswith(w, 'll') AND w RLIKE '{MEASURE_ABOVE_1}' THEN {_cut(1)} ELSE w END"
 
 
 STEPS = (
-    _plurals,
-    _past_and_gerund,
-    _final_y,
+    # Only the length of the whole word decides whether it is stemmed: after the
+    # first step it may be shorter and still goes on.
+    f"CASE WHEN length(w) > 2 THEN {_plurals()} END",
+    _past_and_gerund(),
+    _final_y(),
     _replace_suffix(DOUBLE_SUFFIXES),
     _replace_suffix(SINGLE_SUFFIXES),
-    _strip_suffix,
-    _final_e,
-    _final_ll,
+    _strip_suffix(),
+    _final_e(),
+    _final_ll(),
 )
 
 
-def stems_or_null(words: Column) -> Column:
-    """Stems of an array of words; null for null entries and words under three letters.
+def stems_or_null(words: str) -> Column:
+    """Stems of an array of words, given as SQL text.
 
-    Only the length of the whole word decides whether it is stemmed: after the first
-    step it may be shorter and still goes on.
+    Null for null entries and for words under three letters, which keep their form.
     """
-    state = F.transform(words, lambda word: F.when(F.length(word) > 2, STEPS[0](word)))
-    for step in STEPS[1:]:
-        state = F.transform(state, step)
-    return state
+    state = words
+    for step in STEPS:
+        state = f"transform({state}, w -> {step})"
+    return F.expr(state)
 
 
-def stem(word: Column) -> Column:
-    """Stem of one word column; words under three letters stay."""
-    return F.coalesce(F.get(stems_or_null(F.array(word)), F.lit(0)), word)
+def stem(word: str) -> Column:
+    """Stem of one word, given as SQL text."""
+    return F.coalesce(F.get(stems_or_null(f"array({word})"), F.lit(0)), F.expr(word))

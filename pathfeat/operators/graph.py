@@ -16,28 +16,26 @@ from ..options import Options
 
 
 def with_graph(arcs: DataFrame, options: Options = Options()) -> DataFrame:
-    """Add ``canon``, ``par``, ``noun`` (arrays by position) and ``nouns`` (positions)."""
-    toks = F.col("toks")
-    positions = F.transform(toks, lambda t, i: i + 1)
-    located = arcs.withColumn("canon", F.transform(toks, lambda t: F.array_position(toks, t)))
-    located = located.withColumn(
-        "_root",
-        F.array_position(
-            F.transform(toks, lambda t: (t["ptr"] == 0) & (t["word"] == F.col("head"))), F.lit(True)
-        ),
-    ).withColumn("noun", F.transform(toks, lambda t: is_noun(t, options.noun_on)))
+    """Add ``_canon``, ``_par``, ``_noun`` (arrays by position) and ``_nouns`` (positions)."""
+    # Only a repeated word can repeat a token. array_position outside generated code
+    # leaves its loop by an exception, so it is kept for the lines that need it.
+    canon = """CASE WHEN size(array_distinct(_words)) = size(_words) THEN sequence(1, size(toks))
+        ELSE transform(toks, t -> cast(array_position(toks, t) AS int)) END"""
+    root = """coalesce(get(filter(sequence(1, size(toks)),
+        p -> get(toks, p - 1).ptr = 0 AND get(_words, p - 1) = head), 0), 0)"""
+    noun = F.transform("toks", lambda t: is_noun(t, options.noun_on))
     return (
-        located.withColumn(
-            "par",
-            F.transform(
-                toks,
-                lambda t: F.when(t["ptr"] == 0, F.col("_root")).otherwise(
-                    F.get("canon", t["ptr"] - 1)
+        arcs.withColumn("_words", F.col("toks.word"))
+        .withColumns({"_canon": F.expr(canon), "_root": F.expr(root), "_noun": noun})
+        .withColumns(
+            {
+                "_par": F.expr(
+                    "transform(toks, t -> CASE WHEN t.ptr = 0 THEN _root ELSE get(_canon, t.ptr - 1) END)"
                 ),
-            ),
+                "_nouns": F.expr("filter(sequence(1, size(toks)), p -> get(_noun, p - 1))"),
+            }
         )
-        .withColumn("nouns", F.filter(positions, lambda p: F.get("noun", p - 1)))
-        .drop("_root")
+        .drop("_root", "_words")
     )
 
 
@@ -48,8 +46,8 @@ def head_graph(arcs: DataFrame, options: Options = Options()) -> DataFrame:
         *rest,
         F.inline(
             F.zip_with(
-                F.transform("canon", lambda c, i: F.struct((i + 1).alias("k"), c.alias("node"))),
-                "par",
+                F.transform("_canon", lambda c, i: F.struct((i + 1).alias("k"), c.alias("node"))),
+                "_par",
                 lambda c, p: F.struct(c["k"].alias("k"), c["node"].alias("node"), p.alias("parent")),
             )
         ),
@@ -58,8 +56,8 @@ def head_graph(arcs: DataFrame, options: Options = Options()) -> DataFrame:
 
 def first_half_bound() -> Column:
     """Position of the last noun in the first half (rounded up) of a line's nouns."""
-    half = F.ceil(F.size("nouns") / 2).cast("int")
-    return F.get("nouns", half - 1)
+    half = F.ceil(F.size("_nouns") / 2).cast("int")
+    return F.get("_nouns", half - 1)
 
 
 def noun_pairs(arcs: DataFrame, options: Options = Options()) -> DataFrame:
@@ -70,11 +68,11 @@ def noun_pairs(arcs: DataFrame, options: Options = Options()) -> DataFrame:
     half of the line's nouns.
     """
     rest = [c for c in arcs.columns if c not in ("head", "toks")]
-    first = F.explode(F.coalesce("nouns", F.array().cast("array<int>"))).alias("i")
+    first = F.explode(F.coalesce("_nouns", F.array().cast("array<int>"))).alias("i")
     pairs = (
         with_graph(arcs, options)
-        .select(*rest, F.col("toks.word").alias("_w"), "nouns", first_half_bound().alias("_half"), first)
-        .select(*rest, "_w", "_half", "i", F.explode(F.filter("nouns", lambda p: p != F.col("i"))).alias("j"))
+        .select(*rest, F.col("toks.word").alias("_w"), "_nouns", first_half_bound().alias("_half"), first)
+        .select(*rest, "_w", "_half", "i", F.explode(F.filter("_nouns", lambda p: p != F.col("i"))).alias("j"))
         .select(
             *rest,
             "i",

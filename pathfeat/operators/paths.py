@@ -20,115 +20,108 @@ from .graph import first_half_bound, with_graph
 from .stemming import stem_arcs
 
 
-def _node_texts(path_format: str):
-    """Texts of a token inside a path and, masked, at its ends."""
+def _node_texts(path_format: str) -> tuple[str, str]:
+    """Texts of a token ``t`` inside a path and, masked, at its ends."""
     if path_format == "pos":
-        return (lambda t: t["pos"],) * 2
+        return "t.pos", "t.pos"
+    tail = "t.label" if path_format == "word_label" else "t.pos, t.label"
+    return f"concat_ws('/', t.word, {tail})", f"concat_ws('/', 'X', {tail})"
 
-    def tail(t: Column) -> list[Column]:
-        return [t["label"]] if path_format == "word_label" else [t["pos"], t["label"]]
 
-    return (
-        lambda t: F.concat_ws("/", t["word"], *tail(t)),
-        lambda t: F.concat_ws("/", F.lit("X"), *tail(t)),
-    )
-
-
-def _found(path: Column, node: Column) -> Column:
-    return F.struct(
-        F.concat(path, F.lit("-"), node["end"]).alias("dp"), node["word"].alias("b")
-    )
+def _found(path: str, node: str) -> str:
+    return f"named_struct('dp', concat({path}, '-', {node}.end), 'b', {node}.word)"
 
 
-def _is_hit(node: Column, options: Options) -> Column:
-    hit = node["noun"] & (node["word"] != F.col("a"))
+def _is_hit(node: str, options: Options) -> str:
+    hit = f"{node}.noun AND {node}.word <> a"
     if options.pair_scope == "first_half":
-        hit = hit & (F.least(node["at"], F.col("start")) <= F.col("half"))
+        hit += f" AND least({node}.at, _start) <= _half"
     return hit
 
 
-def _any_walk(options: Options) -> Column:
+def _any_walk(options: Options) -> str:
     """Hits of one start as an array, whatever the line's length and cycles."""
-
-    def hop(state: Column, _: Column) -> Column:
-        node = F.get("nodes", state["up"] - 1)
-        alive = (state["up"] > 0) & ~F.array_contains(state["seen"], state["up"])
-
-        def moved(now: Column, kept: str) -> Column:
-            return F.when(alive, now).otherwise(state[kept]).alias(kept)
-
-        return F.struct(
-            F.when(alive, node["up"]).otherwise(F.lit(0)).alias("up"),
-            moved(F.concat(state["seen"], F.array(state["up"])), "seen"),
-            moved(F.concat(state["path"], F.lit("-"), node["inner"]), "path"),
-            F.when(
-                alive & _is_hit(node, options),
-                F.concat(state["hits"], F.array(_found(state["path"], node))),
-            )
-            .otherwise(state["hits"])
-            .alias("hits"),
-        )
-
-    begin = F.struct(
-        F.col("node0.up").alias("up"),
-        F.array("start").alias("seen"),
-        F.col("path0").alias("path"),
-        F.array().cast("array<struct<dp:string,b:string>>").alias("hits"),
-    )
-    hops = F.sequence(F.lit(1), F.size("nodes"))
-    return F.aggregate(hops, begin, hop, lambda state: state["hits"])
+    node = "get(_nodes, s.up - 1)"
+    alive = "s.up > 0 AND NOT array_contains(s.seen, s.up)"
+    hop = f"""named_struct(
+        'up', CASE WHEN {alive} THEN {node}.up ELSE 0 END,
+        'seen', CASE WHEN {alive} THEN concat(s.seen, array(s.up)) ELSE s.seen END,
+        'path', CASE WHEN {alive} THEN concat(s.path, '-', {node}.inner) ELSE s.path END,
+        'hits', CASE WHEN {alive} AND {_is_hit(node, options)}
+            THEN concat(s.hits, array({_found("s.path", node)})) ELSE s.hits END)"""
+    begin = """named_struct('up', get(_nodes, _start - 1).up, 'seen', array(_start),
+        'path', get(_nodes, _start - 1).end,
+        'hits', cast(array() AS array<struct<dp:string,b:string>>))"""
+    return f"aggregate(sequence(1, size(_nodes)), {begin}, (s, _) -> {hop}, s -> s.hits)"
 
 
 def walk_up(arcs: DataFrame, options: Options = Options()) -> DataFrame:
     """Path records ``dp, a, b`` of stemmed lines; other columns are carried along."""
     rest = [c for c in arcs.columns if c not in ("head", "toks")]
-    inner, ends = _node_texts(options.path_format)
+    inner, end = _node_texts(options.path_format)
+    # A self-arc is a dead end like a missing parent.
+    nodes = f"""transform(toks, (t, i) -> named_struct(
+        'at', i + 1,
+        'up', CASE WHEN get(_par, i) <> i + 1 THEN cast(get(_par, i) AS int) ELSE 0 END,
+        'noun', get(_noun, i), 'word', t.word, 'inner', {inner}, 'end', {end}))"""
     half = first_half_bound() if options.pair_scope == "first_half" else F.lit(0)
-    node = F.transform(
-        "toks",
-        lambda t, i: F.struct(
-            (i + 1).alias("at"),
-            # A self-arc is a dead end like a missing parent.
-            F.when(F.get("par", i) != i + 1, F.get("par", i).cast("int")).otherwise(0).alias("up"),
-            F.get("noun", i).alias("noun"),
-            t["word"].alias("word"),
-            inner(t).alias("inner"),
-            ends(t).alias("end"),
-        ),
-    )
     # A node that occurs twice starts one walk; a line with one noun starts none.
-    starts = F.when(
-        F.size("nouns") > 1, F.filter("nouns", lambda p: F.get("canon", p - 1) == p)
-    )
+    starts = """CASE WHEN size(_nouns) > 1
+        THEN filter(_nouns, p -> get(_canon, p - 1) = p) ELSE cast(array() AS array<int>) END"""
     walk = (
         with_graph(arcs, options)
-        .select(*rest, node.alias("nodes"), half.alias("half"), starts.alias("starts"))
-        .select(*rest, "nodes", "half", F.explode(F.coalesce("starts", F.array())).alias("start"))
-        .withColumn("node0", F.get("nodes", F.col("start") - 1))
-        .withColumn("a", F.col("node0.word"))
-        .withColumn("path0", F.col("node0.end"))
+        # One projection below the generator: beside it, it would run once per start.
+        .select(*rest, F.expr(nodes).alias("_nodes"), half.alias("_half"), "_nouns", "_canon")
+        .select(*rest, "_nodes", "_half", F.expr(f"explode({starts}) AS _start"))
+        .withColumn("_node0", F.expr("get(_nodes, _start - 1)"))
     )
-    hits = []
-    for hop in range(1, options.unrolled_hops + 1):
-        before, now = hop - 1, F.col(f"node{hop}")
-        walk = (
-            walk.withColumn(f"node{hop}", F.get("nodes", F.col(f"node{before}.up") - 1))
-            .withColumn(
-                f"hit{hop}", F.when(_is_hit(now, options), _found(F.col(f"path{before}"), now))
+    hops = options.unrolled_hops
+    for hop in range(hops + 1):
+        # The next node, and what this one adds to the path and to the hits.
+        columns = {f"_node{hop + 1}": F.expr(f"get(_nodes, _node{hop}.up - 1)")}
+        if hop == 0:
+            columns |= {"a": F.col("_node0.word"), "_path0": F.col("_node0.end")}
+        else:
+            found = _found(f"_path{hop - 1}", f"_node{hop}")
+            columns[f"_hit{hop}"] = F.expr(
+                f"CASE WHEN {_is_hit(f'_node{hop}', options)} THEN {found} END"
             )
-            .withColumn(f"path{hop}", F.concat(f"path{before}", F.lit("-"), now["inner"]))
-        )
-        hits.append(f"hit{hop}")
-    # Still on the way after the last column: a long path or a cycle.
-    ended = F.coalesce(F.col(f"node{options.unrolled_hops}.up"), F.lit(0)) == 0
-    found = F.when(ended, F.array(*hits)).otherwise(_any_walk(options))
-    return (
-        walk.select(*rest, "a", F.explode(found).alias("hit"))
-        .where(F.col("hit").isNotNull())
-        .select(*rest, F.col("hit.dp").alias("dp"), "a", F.col("hit.b").alias("b"))
+            columns[f"_path{hop}"] = F.expr(f"concat(_path{hop - 1}, '-', _node{hop}.inner)")
+        walk = walk.withColumns(columns)
+    # A walk still on the way after the last column sends its line along instead of
+    # its hits: a long path or a cycle. Both kinds of rows leave through one generator,
+    # which drops the misses before anything wide is written.
+    ended = f"_node{hops + 1} IS NULL"
+    line = "named_struct('_nodes', _nodes, '_start', _start, '_half', _half)"
+    hits = [f"named_struct('_hit', CASE WHEN {ended} THEN _hit{h} END, '_line', NULL)" for h in range(1, hops + 1)]
+    hits.append(f"named_struct('_hit', NULL, '_line', CASE WHEN NOT {ended} THEN {line} END)")
+    found = (
+        walk.select(*rest, "a", F.expr(f"inline(array({', '.join(hits)}))"))
+        .where("_hit IS NOT NULL OR _line IS NOT NULL")
+        .select(*rest, "a", "_hit", "_line.*")
     )
-
-
-def path_records(arcs: DataFrame, options: Options = Options()) -> DataFrame:
-    """Path records of parsed lines: stem the nouns, then walk up from each."""
-    return walk_up(stem_arcs(arcs, options), options)
+    return found.select(
+        *rest,
+        "a",
+        F.expr(f"explode(CASE WHEN _nodes IS NULL THEN array(_hit) ELSE {_any_walk(options)} END) AS _hit"),
+    ).select(*rest, F.col("_hit.dp").alias("dp"), "a", F.col("_hit.b").alias("b"))
+
+
+def line_text(head: Column, toks: Column) -> Column:
+    """A line as text: head, tab, blank-separated tokens."""
+    token = lambda t: F.concat_ws("/", t["word"], t["pos"], t["label"], t["ptr"])
+    return F.concat(head, F.lit("\t"), F.array_join(F.transform(toks, token), " "))
+
+
+def path_records(
+    arcs: DataFrame, options: Options = Options(), with_line: bool = False
+) -> DataFrame:
+    """Path records of parsed lines: stem the nouns, then walk up from each.
+
+    ``with_line`` adds the text of the stemmed line, which is wide; leave it out of
+    anything that is shuffled.
+    """
+    stemmed = stem_arcs(arcs, options)
+    if with_line:
+        stemmed = stemmed.withColumn("line", line_text(F.col("head"), F.col("toks")))
+    return walk_up(stemmed, options)

@@ -23,23 +23,27 @@ def stem_arcs(arcs: DataFrame, options: Options = Options()) -> DataFrame:
         arcs = arcs.withColumn("head", F.lower("head")).withColumn("toks", toks)
         toks = F.col("toks")
     rest = [c for c in arcs.columns if c not in ("head", "toks")]
-    head_is_noun = F.exists(
-        toks,
-        lambda t: (t["ptr"] == 0) & (t["word"] == F.col("head")) & is_noun(t, options.noun_on),
+    # A stemmed head has the stem of the noun it equals.
+    head_noun = F.get(
+        F.filter(
+            F.transform(
+                toks,
+                lambda t, i: F.when(
+                    (t["ptr"] == 0) & (t["word"] == F.col("head")) & is_noun(t, options.noun_on), i
+                ),
+            ),
+            lambda i: i.isNotNull(),
+        ),
+        F.lit(0),
     )
-    # The head takes part as one more word, so one chain of steps serves both.
-    nouns = F.concat(
-        F.transform(toks, lambda t: F.when(is_noun(t, options.noun_on), t["word"])),
-        F.array(F.when(head_is_noun, F.col("head"))),
-    )
-    size = F.size("toks")
+    nouns = F.transform(toks, lambda t: F.when(is_noun(t, options.noun_on), t["word"]))
     return (
-        arcs.select(*rest, "head", "toks", nouns.alias("_nouns"))
-        .select(*rest, "head", "toks", stems_or_null(F.col("_nouns")).alias("_stems"))
+        arcs.select(*rest, "head", "toks", head_noun.alias("_at"), nouns.alias("_nouns"))
+        .select(*rest, "head", "toks", "_at", stems_or_null("_nouns").alias("_stems"))
         .select(
             *rest,
-            F.coalesce(F.get("_stems", size), "head").alias("head"),
-            F.zip_with("toks", F.slice("_stems", F.lit(1), size), _replaced(options)).alias("toks"),
+            F.coalesce(F.get("_stems", F.col("_at")), "head").alias("head"),
+            F.zip_with("toks", "_stems", _replaced(options)).alias("toks"),
         )
     )
 
@@ -72,8 +76,8 @@ def _replaced(options: Options):
 def stem_labels(labels: DataFrame, options: Options = Options()) -> DataFrame:
     """``w1, w2, label`` with both words stemmed, as ``a, b, label``."""
 
-    def prepared(name: str) -> Column:
-        return F.lower(name) if options.lower else F.col(name)
+    def prepared(name: str) -> str:
+        return f"lower({name})" if options.lower else name
 
     rest = [c for c in labels.columns if c not in ("w1", "w2", "label")]
     return labels.select(

@@ -28,7 +28,9 @@ class Options:
     label_rule     a pair labelled both ways is true, or is dropped
     lower          lower-case words before stemming
     unrolled_hops  walks up to this many hops run as plain columns; longer
-                   lines take the array form, with the same result
+                   lines take the array form, with the same result. Beyond 6
+                   the generated method outgrows the JVM's limit for compiled
+                   methods and the walk gets slower.
     """
 
     dpmin: int = 750

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import vocabulary as voc
@@ -15,6 +16,7 @@ from ..operators.paths import path_records
 from ..operators.stemming import stem_labels
 from ..options import Options
 from ..sources.arff import write_arff
+from ..sources.legacy import SIZE_KEY
 from ..sources.text import read_lines, write_tsv
 from .staging import stage
 
@@ -137,8 +139,9 @@ def run(
     write(plan.vocabulary, "vocabulary")
     write(plan.size, "vector_size")
     if text_copies:
-        write_tsv(plan.vocabulary, f"{output}/vocabulary_tsv")
-        write_tsv(plan.size, f"{output}/vector_size_tsv")
+        write_tsv(plan.vocabulary.select("dp", "id"), f"{output}/vocabulary_tsv")
+        size = plan.size.select(F.lit(SIZE_KEY).alias("key"), "vec_size")
+        write_tsv(size, f"{output}/vector_size_tsv")
     if write_records:
         write(plan.kept_records, "kept_records")
         write(plan.numbered_pairs, "numbered_pairs")

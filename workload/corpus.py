@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathfeat.operators.parse import parse_labels
+
 GROUP = 4
 
 
@@ -100,3 +102,39 @@ def arc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("\t"), F.size("ws").cast("string"), F.lit("\t1999,"), F.col("line_no")),
         ).alias("value"),
     )
+
+
+def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw label lines from neighbouring words of ``conversations`` and ``benchmark``.
+
+    Marks inside a word become blanks, so some lines have another number of fields.
+    The label says whether both words have the same length modulo 3, which the tags
+    at the ends of a path follow.
+    """
+    texts = (
+        table(spark, sf_dir, "conversations")
+        .select("text")
+        .unionByName(table(spark, sf_dir, "benchmark").select("text"))
+    )
+    words = F.regexp_extract_all("text", F.lit(r"([^ \t\n\x0B\f\r]+)"), F.lit(1))
+    pairs = (
+        spread(texts)
+        .select(words.alias("ws"))
+        .select(
+            F.inline(
+                F.zip_with(
+                    F.slice("ws", F.lit(1), F.size("ws") - 1),
+                    F.slice("ws", F.lit(2), F.size("ws") - 1),
+                    lambda x, y: F.struct(x.alias("x"), y.alias("y")),
+                )
+            )
+        )
+    )
+    letters = lambda w: F.length(F.regexp_replace(w, r"[^\p{L}]", ""))
+    blanks = lambda w: F.regexp_replace(w, r"[^\p{L}]", " ")
+    truth = F.when(letters("x") % 3 == letters("y") % 3, "true").otherwise("false")
+    return pairs.select(F.concat_ws(" ", blanks("x"), blanks("y"), truth).alias("value"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_labels(label_lines(spark, sf_dir))
