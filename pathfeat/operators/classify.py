@@ -26,8 +26,8 @@ SPARSE = 0
 CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
     "decision_tree": lambda: DecisionTreeClassifier(impurity="entropy", maxDepth=10, seed=1),
     "naive_bayes": lambda: NaiveBayes(modelType="multinomial"),
-    "logistic": lambda: LogisticRegression(maxIter=50),
-    "linear_svc": lambda: LinearSVC(maxIter=50, regParam=1e-4),
+    "logistic": lambda: LogisticRegression(maxIter=20),
+    "linear_svc": lambda: LinearSVC(maxIter=20, regParam=1e-4),
 }
 
 

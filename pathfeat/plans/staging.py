@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,17 @@ from pyspark.sql.types import StructType
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="pathfeat-")
+
+
 def staging_root(spark: SparkSession) -> str | None:
     """The shared folder the session names; a temporary one in local mode only."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="pathfeat-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-        return root
-    return None
+    return _local_root() if spark.sparkContext.master.startswith("local") else None
 
 
 def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:

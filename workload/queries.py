@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +15,7 @@ from pathfeat.operators.classify import assign_folds, with_prior
 from pathfeat.operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
 from pathfeat.operators.paths import path_records
 from pathfeat.operators.stemming import stem_arcs
-from pathfeat.plans.staging import staging_root
+from pathfeat.plans.staging import CHECKPOINT_DIR, staging_root
 from pathfeat.sources import arff, legacy
 
 from . import corpus
@@ -186,7 +185,9 @@ def arff_lines(spark, sf_dir):
 
 def arff_roundtrip(spark, sf_dir):
     p = plan(spark, sf_dir)
-    root = staging_root(spark) or tempfile.mkdtemp(prefix="pathfeat-")
+    root = staging_root(spark)
+    if root is None:
+        raise ValueError(f"writing the document needs {CHECKPOINT_DIR}")
     path = f"{root}/pathfeat/arff-{uuid.uuid4().hex}"
     arff.write_arff(p.vectors, p.size, path)
     return _vector_rows(arff.read_arff_pairs(spark, path))
