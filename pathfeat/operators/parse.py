@@ -85,17 +85,15 @@ def reject_arcs(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def parse_labels(lines: DataFrame, value: str = "value") -> DataFrame:
     """``w1 w2 true|false`` lines as ``w1, w2, label``."""
-    f = fields(trim_control(F.col(value)))
     keys = [c for c in lines.columns if c != value]
-    return (
-        lines.withColumn("_f", f)
-        .where((F.size("_f") == 3) & _is_label(F.get("_f", F.lit(2))))
-        .select(
-            *keys,
-            F.get("_f", F.lit(0)).alias("w1"),
-            F.get("_f", F.lit(1)).alias("w2"),
-            F.lower(F.get("_f", F.lit(2))).contains("true").alias("label"),
-        )
+    third = F.get("_f", F.lit(2))
+    label = F.struct(
+        F.get("_f", F.lit(0)).alias("w1"),
+        F.get("_f", F.lit(1)).alias("w2"),
+        F.lower(third).contains("true").alias("label"),
+    )
+    return lines.withColumn("_f", fields(trim_control(F.col(value)))).select(
+        *keys, F.inline(F.when((F.size("_f") == 3) & _is_label(third), F.array(label)))
     )
 
 

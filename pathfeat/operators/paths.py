@@ -65,13 +65,14 @@ def walk_up(arcs: DataFrame, options: Options = Options()) -> DataFrame:
         'up', CASE WHEN get(_par, i) <> i + 1 THEN cast(get(_par, i) AS int) ELSE 0 END,
         'noun', get(_noun, i), 'word', t.word, 'inner', {inner}, 'end', {end}))"""
     half = first_half_bound() if options.pair_scope == "first_half" else F.lit(0)
-    # A node that occurs twice starts one walk; a line with one noun starts none.
+    # A node that occurs twice starts one walk; a root and a lone noun start none.
     starts = """CASE WHEN size(_nouns) > 1
-        THEN filter(_nouns, p -> get(_canon, p - 1) = p) ELSE cast(array() AS array<int>) END"""
+        THEN filter(_nouns, p -> get(_canon, p - 1) = p AND get(_par, p - 1) NOT IN (0, p))
+        ELSE cast(array() AS array<int>) END"""
     walk = (
         with_graph(arcs, options)
         # One projection below the generator: beside it, it would run once per start.
-        .select(*rest, F.expr(nodes).alias("_nodes"), half.alias("_half"), "_nouns", "_canon")
+        .select(*rest, F.expr(nodes).alias("_nodes"), half.alias("_half"), "_nouns", "_canon", "_par")
         .select(*rest, "_nodes", "_half", F.expr(f"explode({starts}) AS _start"))
         .withColumn("_node0", F.expr("get(_nodes, _start - 1)"))
     )
@@ -121,7 +122,7 @@ def path_records(
     ``with_line`` adds the text of the stemmed line, which is wide; leave it out of
     anything that is shuffled.
     """
-    stemmed = stem_arcs(arcs, options)
+    stemmed = stem_arcs(arcs, options, pairs_only=True)
     if with_line:
         stemmed = stemmed.withColumn("line", line_text(F.col("head"), F.col("toks")))
     return walk_up(stemmed, options)

@@ -10,12 +10,15 @@ from ..functions.tokens import is_noun
 from ..options import Options
 
 
-def stem_arcs(arcs: DataFrame, options: Options = Options()) -> DataFrame:
+def stem_arcs(
+    arcs: DataFrame, options: Options = Options(), pairs_only: bool = False
+) -> DataFrame:
     """Replace every noun of a line by its stem.
 
     The head is stemmed too when it equals a noun token with pointer 0. Nouns are
     stemmed in place, line by line: a join with a table of stems would shuffle the
-    whole corpus twice to save some regular expressions.
+    whole corpus twice to save some regular expressions. With ``pairs_only`` a line
+    with fewer than two nouns loses its tokens instead: it holds no pair to find.
     """
     toks = F.col("toks")
     if options.lower:
@@ -37,9 +40,12 @@ def stem_arcs(arcs: DataFrame, options: Options = Options()) -> DataFrame:
         F.lit(0),
     )
     nouns = F.transform(toks, lambda t: F.when(is_noun(t, options.noun_on), t["word"]))
+    wanted = "_nouns"
+    if pairs_only:
+        wanted = "CASE WHEN size(filter(_nouns, w -> w IS NOT NULL)) > 1 THEN _nouns END"
     return (
         arcs.select(*rest, "head", "toks", head_noun.alias("_at"), nouns.alias("_nouns"))
-        .select(*rest, "head", "toks", "_at", stems_or_null("_nouns").alias("_stems"))
+        .select(*rest, "head", "toks", "_at", stems_or_null(wanted).alias("_stems"))
         .select(
             *rest,
             F.coalesce(F.get("_stems", F.col("_at")), "head").alias("head"),
