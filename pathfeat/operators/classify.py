@@ -82,8 +82,12 @@ def cross_validate(
     the probability of true (0 or 1 for classifiers without one), ``prior`` the
     share of true in the training folds with one added to either class.
     """
-    data = ml_vectors(assign_folds(sparse, folds), size)
+    # Both classes are declared, as a small training set may hold only one.
+    classes = {"ml_attr": {"type": "nominal", "name": "target", "vals": ["false", "true"]}}
+    data = ml_vectors(assign_folds(sparse, folds), size).withMetadata("target", classes)
     used = [r["fold"] for r in data.select("fold").distinct().orderBy("fold").collect()]
+    if len(used) < 2:
+        raise ValueError("cross-validation needs vectors in at least two folds")
     parts = []
     for fold in used:
         train = data.where(F.col("fold") != fold)

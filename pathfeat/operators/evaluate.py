@@ -83,7 +83,7 @@ def ranking_areas(predictions: DataFrame) -> DataFrame:
     )
     # Totals from the top score down; what is below follows from the grand totals.
     ranked = running_totals(by_score, [F.desc("score")], {"pos_down": "pos", "neg_down": "neg"})
-    totals = by_score.agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    totals = ranked.agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     all_pos = totals.select("_pos").scalar()
     all_neg = totals.select("_neg").scalar()
     rows = ranked.withColumn("_all_pos", all_pos).withColumn("_all_neg", all_neg)

@@ -172,6 +172,31 @@ def test_run_writes_everything(spark, tmp_path):
     ]
 
 
+def test_run_with_a_classifier(spark, tmp_path):
+    from test_paths import random_lines
+
+    text = [
+        f"{h}\t" + " ".join("/".join(map(str, t)) for t in toks) for h, toks in random_lines(9, 200)
+    ]
+    (tmp_path / "arcs.txt").write_text("\n".join(text))
+    words = ["dogs", "cats", "run", "as", "NNx", "things"]
+    pairs = [f"{x} {y} {str(x < y).lower()}" for x in words for y in words if x != y]
+    (tmp_path / "labels.txt").write_text("\n".join(pairs))
+    out = str(tmp_path / "out")
+    plan = run(
+        spark, str(tmp_path / "arcs.txt"), str(tmp_path / "labels.txt"), out, Options(dpmin=2),
+        classifier="naive_bayes", folds=3,
+    )
+    read = lambda name: spark.read.parquet(f"{out}/{name}")
+    vectors = read("vectors").count()
+    assert vectors > 20
+    assert read("predictions").count() == vectors == read("summary").first()["n"]
+    assert read("class_details").count() == 2
+    assert read("samples").count() > 0
+    assert arff.read_arff_pairs(spark, f"{out}/arff").count() == vectors
+    assert plan.size.first()["vec_size"] == read("vector_size").first()["vec_size"]
+
+
 def test_text_sources_and_sinks(spark, tmp_path):
     (tmp_path / "corpus").mkdir()
     (tmp_path / "corpus" / "a").write_text(SAMPLE_ARCS[0] + "\n")
