@@ -21,23 +21,19 @@ def number_vectors(vectors: DataFrame) -> DataFrame:
 
 def arff_header(size: DataFrame) -> DataFrame:
     """Header lines with their place: ``section, num, value``."""
-    spark = size.sparkSession
-    attributes = size.select(
-        F.explode(
-            F.when(F.col("vec_size") > 0, F.sequence(F.lit(0), F.col("vec_size") - 1))
-        ).alias("num")
-    ).select(
-        F.lit(1).alias("section"),
-        F.col("num").cast("bigint").alias("num"),
-        F.format_string("@ATTRIBUTE col%d NUMERIC", "num").alias("value"),
-    )
-    first = [(0, 0, "@RELATION vectors")]
-    last = [(2, 0, "@ATTRIBUTE class {True, False}"), (3, 0, "@DATA")]
-    schema = "section int, num bigint, value string"
-    return (
-        spark.createDataFrame(first, schema)
-        .unionByName(attributes)
-        .unionByName(spark.createDataFrame(last, schema))
+
+    def line(section: int, num: str, value: str) -> str:
+        return f"named_struct('section', {section}, 'num', {num}, 'value', {value})"
+
+    ids = "CASE WHEN vec_size > 0 THEN sequence(0L, vec_size - 1) ELSE cast(array() AS array<bigint>) END"
+    attribute = line(1, "i", "concat('@ATTRIBUTE col', i, ' NUMERIC')")
+    return size.select(
+        F.expr(
+            f"""inline(concat(
+                array({line(0, "0L", "'@RELATION vectors'")}),
+                transform({ids}, i -> {attribute}),
+                array({line(2, "0L", "'@ATTRIBUTE class {True, False}'")}, {line(3, "0L", "'@DATA'")})))"""
+        )
     )
 
 
