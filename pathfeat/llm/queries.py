@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
 from .packing import packed
 from .tokens import token_counts
 
@@ -30,9 +31,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document."""
+    found = contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, share=20
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op7_packing": op7_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
