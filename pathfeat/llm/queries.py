@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .minhash import near_duplicates
 from .packing import packed
 from .tokens import token_counts
 
@@ -17,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by a similarity of 0.85 or more."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), threshold=(85, 100), width=5)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, from a cache that starts empty."""
     return token_counts(
@@ -42,6 +48,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op4_token_counts": op4_token_counts,
     "op7_packing": op7_packing,
     "op10_decontamination": op10_decontamination,
