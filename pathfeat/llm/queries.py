@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .decontaminate import contamination
 from .minhash import near_duplicates
 from .packing import packed
+from .repeats import repeats_removed
 from .tokens import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +24,16 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), threshold=(85, 100), width=5)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that earlier ones hold in strings of 50."""
+    cut = repeats_removed(
+        _table(spark, sf_dir, "documents"),
+        length=50,
+        outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"),
+    )
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, from a cache that starts empty."""
     return token_counts(
@@ -49,6 +60,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_token_counts": op4_token_counts,
     "op7_packing": op7_packing,
     "op10_decontamination": op10_decontamination,
