@@ -13,10 +13,11 @@ documents are linked if the Jaccard similarity of their sets is at least the thr
    in batches; after each, a pair is dropped once the posterior probability that its
    similarity reaches the threshold is below ``miss``. Survivors are verified exactly
    on their full sets, and confirmed links give components.
-4. Buckets that still span several components are dealt into chunks, and every pair of
-   chunks is compared by the same test, again with an exact check of what survives. So no
-   link between different components is missed for not being a star's, and members
-   already connected cost nothing more.
+4. Buckets that still span several components are dealt into chunks, and the members of
+   every pair of chunks are compared by the same tests, the exact one in the same task. A
+   task returns only links that join something, so the pairs of a large group are never
+   rows, no link between different components is missed for not being a star's, and
+   members already connected cost nothing more.
 
 Every candidate with similarity s shares a band with probability
 1 - (1 - s^rows)^bands; with the defaults a pair at the threshold is missed once in two
@@ -179,46 +180,73 @@ def _plausible_pairs(hashes: int, limits: list[tuple[int, int]]):
             if batch.num_rows:
                 tables = [_table(batch.column(c), hashes) for c in ("sig_a", "sig_b")]
                 live = pa.array(plausible(*tables, limits))
+                names = ["a", "b", "text_a", "text_b"]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(live) for c in "ab"], names=["a", "b"]
+                    [batch.column(c).take(live) for c in names], names=names
                 )
 
     return run
 
 
-def _plausible_chunks(hashes: int, limits: list[tuple[int, int]]):
-    """Pairs of different components from a pair of chunks."""
+def _linked_chunks(hashes: int, limits: list[tuple[int, int]], width: int, top: int, bottom: int):
+    """Links between different components within a chunk or a pair of chunks. A pair that
+    links found here already connect is not looked at: what comes out is a forest."""
+
+    def chunk(value: pa.StructArray):
+        ids = value.field("rep")
+        sets, edge = shingle_sets(*text_bytes(value.field("text")), width)
+        return ids, value.field("component").to_pylist(), _table(value.field("sig"), hashes), sets, edge
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                x, y = batch.column("x")[i].values, batch.column("y")[i].values
-                same = batch.column("i")[i].as_py() == batch.column("j")[i].as_py()
-                ids = [t.field("rep") for t in (x, y)]
-                comp = [t.field("component").to_numpy() for t in (x, y)]
-                sig = [_table(t.field("sig"), hashes) for t in (x, y)]
-                found: list[list[np.ndarray]] = [[], []]
-                for k in range(len(x)):
-                    others = np.flatnonzero(comp[1] != comp[0][k])
-                    if same:
-                        others = others[others > k]
-                    if len(others):
-                        left = np.broadcast_to(sig[0][k], (len(others), hashes))
-                        ok = others[plausible(left, sig[1][others], limits)]
-                        found[0].append(np.full(len(ok), k))
-                        found[1].append(ok)
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            t.take(pa.array(np.concatenate(f).astype(np.int64)))
-                            for t, f in zip(ids, found)
-                        ],
-                        names=["a", "b"],
-                    )
+                x = chunk(batch.column("x")[i].values)
+                other = batch.column("y")[i]
+                same = not other.is_valid
+                y = x if same else chunk(other.values)
+                trees = Forest()
+                number = {c: k for k, c in enumerate(dict.fromkeys([*x[1], *y[1]]))}
+                comp = [np.array([number[c] for c in side[1]]) for side in (x, y)]
+                found: list[list[int]] = [[], []]
+                for k in range(len(comp[0])):
+                    rest = np.flatnonzero(comp[1] != comp[0][k])
+                    rest = rest[rest > k] if same else rest
+                    left = np.broadcast_to(x[2][k], (len(rest), hashes))
+                    own = x[3][x[4][k] : x[4][k + 1]]
+                    for j in rest[plausible(left, y[2][rest], limits)].tolist():
+                        a, b = int(comp[0][k]), int(comp[1][j])
+                        if trees.root(a) == trees.root(b):
+                            continue
+                        his = y[3][y[4][j] : y[4][j + 1]]
+                        shared = np.intersect1d(own, his, assume_unique=True).size
+                        if bottom * shared >= top * (len(own) + len(his) - shared):
+                            trees.join(a, b)
+                            found[0].append(k)
+                            found[1].append(j)
+                yield pa.RecordBatch.from_arrays(
+                    [t[0].take(pa.array(f, pa.int64())) for t, f in zip((x, y), found)], names=["a", "b"]
+                )
 
     return run
 
 
+class Forest:
+    """Sets of small numbers that can be joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while x in self.up:
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[x] = y
+
+
 def _confirmed(width: int, top: int, bottom: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,13 +281,15 @@ def near_duplicates(
     rows: int = 5,
     batch: int = 25,
     miss: float = 1e-9,
+    most_chunks: int = 32,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row.
 
     ``threshold`` is a fraction of integers, so that the exact test has no rounding.
-    ``miss`` is the posterior probability below which a pair is dropped unverified.
+    ``miss`` is the posterior probability below which a pair is dropped unverified;
+    ``most_chunks`` is how many chunks buckets that share members may make together.
     The intermediate tables are staged when this is called.
     """
     top, bottom = threshold
@@ -300,58 +330,43 @@ def near_duplicates(
     sigs = classes.select("rep", "sig")
     pair = f"a {kind}, b {kind}"
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        # One text per id: rows may repeat an id, with texts of other sets.
-        texts = (
-            source.join(ids, "key", "left_semi")
-            .mapInArrow(_with_digests(width), f"key {kind}, text string, s1 bigint, s2 bigint")
-            .join(classes.select(F.col("rep").alias("key"), "s1", "s2"), ["key", "s1", "s2"], "left_semi")
-            .groupBy("key")
-            .agg(F.first("text").alias("text"))
-        )
-        texts = stage(texts, "texts")
-        sides = [texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-        return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(
-            _confirmed(width, top, bottom), pair
+    # One text per class: rows may repeat an id, with texts of other sets. The hint keeps
+    # one plan at every size.
+    candidates = members.select(F.col("rep").alias("key")).distinct()
+    own = classes.select(F.col("rep").alias("key"), "s1", "s2")
+    texts = (
+        source.join(candidates.hint("merge"), "key", "left_semi")
+        .mapInArrow(_with_digests(width), f"key {kind}, text string, s1 bigint, s2 bigint")
+        .join(own.hint("merge"), ["key", "s1", "s2"], "left_semi")
+        .groupBy("key")
+        .agg(F.first("text").alias("text"))
+    )
+    texts = stage(texts.join(sigs.withColumnRenamed("rep", "key"), "key"), "texts")
+
+    def side(name: str) -> DataFrame:
+        return texts.select(
+            F.col("key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("text", "sig")]
         )
 
-    sides = [sigs.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}")) for c in "ab"]
     stars = members.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
-    stars = stars.distinct().join(sides[1], "b").join(sides[0], "a")
-    stars = stage(stars.mapInArrow(_plausible_pairs(hashes, limits), pair), "stars")
-    links = stage(confirm(stars), "links")
+    links = stars.distinct().join(side("b"), "b").join(side("a"), "a")
+    links = links.mapInArrow(_plausible_pairs(hashes, limits), f"{pair}, text_a string, text_b string")
+    links = stage(links.mapInArrow(_confirmed(width, top, bottom), pair), "links")
     labels = components(links)
 
-    named = (
-        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-    )
-    open_buckets = (
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
+    spans = (
         named.groupBy("bucket")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo != hi")
         .select("bucket")
     )
-    n_chunks = F.ceil(F.col("size") / _CHUNK).cast("int")
-    chunks = (
-        named.join(open_buckets, "bucket")
-        .join(sigs, "rep")
-        .withColumn("n_chunks", n_chunks)
-        .withColumn("i", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("n_chunks")).cast("int"))
-        .groupBy("bucket", "i", "n_chunks")
-        .agg(F.collect_list(F.struct("rep", "component", "sig")).alias("x"))
-    )
-    chunks = stage(chunks, "chunks")
-    facing = chunks.select(
-        "bucket", "i", "x", F.explode(F.sequence(F.col("i"), F.col("n_chunks") - 1)).alias("j")
-    ).join(chunks.select("bucket", F.col("i").alias("j"), F.col("x").alias("y")), ["bucket", "j"])
-    rest = facing.mapInArrow(_plausible_chunks(hashes, limits), pair)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = links.union(confirm(rest))
-        labels = components(links)
+    left = stage(named.join(spans, "bucket"), "open")
+    if not left.isEmpty():
+        facing = _facing(left, texts, most_chunks)
+        more = facing.mapInArrow(_linked_chunks(hashes, limits, width, top, bottom), pair)
+        labels = components(links.union(stage(more, "links")))
 
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component")
@@ -370,6 +385,46 @@ def near_duplicates(
     )
 
 
+def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame:
+    """Chunks ``x`` and pairs of chunks ``x, y`` that cover every pair of a bucket.
+
+    Buckets that share members are taken together, so that a document is sent once, not
+    once per bucket; if that makes too many chunks, each bucket stands for itself.
+    """
+    met = components(members.select(F.col("least").alias("a"), F.col("rep").alias("b")))
+    met = met.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    sizes = met.groupBy("cluster").agg(F.count("*").alias("in_cluster"))
+    placed = (
+        members.join(met, "rep")
+        .join(sizes, "cluster")
+        .withColumn("apart", F.col("in_cluster") > most_chunks * _CHUNK)
+        .select(
+            F.when(F.col("apart"), F.col("bucket")).otherwise(F.xxhash64("cluster")).alias("grp"),
+            "apart",
+            F.when(F.col("apart"), F.col("size")).otherwise(F.col("in_cluster")).alias("size"),
+            "rep",
+            "component",
+        )
+        .distinct()
+        .join(texts.withColumnRenamed("key", "rep"), "rep")
+    )
+    chunks = (
+        placed.withColumn("n_chunks", F.ceil(F.col("size") / _CHUNK).cast("int"))
+        .withColumn("i", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("n_chunks")).cast("int"))
+        .groupBy("grp", "apart", "i", "n_chunks")
+        .agg(F.collect_list(F.struct("rep", "component", "sig", "text")).alias("x"))
+    )
+    chunks = stage(chunks, "chunks")
+    kind = chunks.schema["x"].dataType
+    alone = chunks.select("x", F.lit(None).cast(kind).alias("y"))
+    several = chunks.where("n_chunks > 1")
+    pairs = several.select(
+        "grp", "apart", "x", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("j"), "i"
+    ).where("j > i")
+    others = several.select("grp", "apart", F.col("i").alias("j"), F.col("x").alias("y"))
+    return alone.union(pairs.join(others.hint("merge"), ["grp", "apart", "j"]).select("x", "y"))
+
+
 def _with_digests(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
