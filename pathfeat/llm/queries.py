@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality, toxicity
 from .decontaminate import contamination
 from .minhash import near_duplicates
 from .packing import packed
 from .repeats import repeats_removed
+from .sampling import share
 from .tokens import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +43,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from four fifths of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, share("key", 5) != 0, per_class=3000)
+    return _judged(quality.quality(docs, model), share("doc_id", 5) == 0, 0.3)
+
+
+def _judged(scored: DataFrame, held_out: F.Column, least: float) -> DataFrame:
+    return scored.select("row.doc_id", "score").select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of 2048 tokens."""
     return packed(
@@ -48,6 +66,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from two thirds of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, share("key", 3) != 1, per_class=3000)
+    return _judged(toxicity.toxicity(docs, model), share("doc_id", 3) == 1, 0.7)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = contamination(
@@ -62,7 +87,9 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_token_counts": op4_token_counts,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
