@@ -1,26 +1,74 @@
-"""The stages that turn raw documents into packed training sequences."""
+"""The stages that turn raw documents into packed training sequences.
+
+Each stage takes the documents its predecessor kept and returns the columns of the
+documents, the last one the packed pieces. A stage's result is written and read again
+before the next one starts.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pathfeat.llm import toxicity
+from pathfeat.llm.decontaminate import decontaminated
+from pathfeat.llm.minhash import near_duplicates
 from pathfeat.llm.packing import packed
 from pathfeat.llm.queries import TOKENIZER
+from pathfeat.llm.repeats import without_repeats
+from pathfeat.llm.sampling import share
+from pathfeat.plans.staging import stage
+
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below ``TOXIC``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, share("key", 3) != 1, per_class=3000)
+    scored = toxicity.toxicity(docs, model, carry=docs.columns)
+    return scored.where(F.col("score") < TOXIC).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one of least id. Rows without
+    an id stay, and rows that repeat an id stay or go together."""
+    found = near_duplicates(docs, threshold=(85, 100), width=5)
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 50 bytes that documents of smaller id hold."""
+    return without_repeats(docs, length=50)
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated texts without the passages they share with the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminated(docs, benchmark, window=13, share=20)
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed pieces of what the stages before kept."""
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed pieces of what is left."""
     return packed(docs, public_tokenizers.path(TOKENIZER), 2048, end_id=1)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", cut_benchmark),
+    ("packing", pack),
+]
 
+# The classifier, the tokenizer and the sequences can't be stated in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

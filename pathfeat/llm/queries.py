@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality, toxicity
+from .chat import chat_texts
 from .decontaminate import contamination
+from .main_text import main_texts
 from .minhash import near_duplicates
 from .packing import packed
 from .repeats import repeats_removed
 from .sampling import share
 from .tokens import token_counts
+from .top_k import top_k
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -36,6 +39,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, from a cache that starts empty."""
     return token_counts(
@@ -43,6 +51,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest integer products of every hundredth vector with all others."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, scale=1024)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from four fifths of the labels."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -73,6 +86,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.toxicity(docs, model), share("doc_id", 3) == 1, 0.7)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations as training texts."""
+    return chat_texts(_table(spark, sf_dir, "conversations"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = contamination(
@@ -86,10 +104,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_main_text": op3_main_text,
     "op4_token_counts": op4_token_counts,
+    "op5_top_k": op5_top_k,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
 }
 

@@ -340,7 +340,7 @@ def _cutter(outputs: tuple[str, ...]):
 def repeats_removed(
     docs: DataFrame,
     length: int = 50,
-    group_bytes: int = 1 << 23,
+    group_bytes: int = 1 << 21,
     key: str = "doc_id",
     text: str = "text",
     carry: list[str] | None = None,
@@ -357,14 +357,15 @@ def repeats_removed(
         raise ValueError(f"length must be at least {_PART}")
     spark = docs.sparkSession
     total = docs.select(F.sum(F.octet_length(column(docs, text)))).first()[0] or 0
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(least, -(-total // group_bytes))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(parts, -(-total // group_bytes))
+    parts = max(parts, groups // 8)
     grouped = docs.select(
         F.pmod(F.xxhash64(column(docs, key)), F.lit(groups)).cast("int").alias("grp"),
         column(docs, key, "key").cast("bigint").alias("key"),
         F.coalesce(column(docs, text), F.lit("")).alias("text"),
         F.struct(*[column(docs, c) for c in (carry or [key])]).alias("row"),
-    ).repartition(groups, "grp")
+    ).repartition(parts, "grp")
 
     keys = grouped.groupBy("grp").applyInArrow(_key_sender(length, groups), _KEYS)
     answers = keys.groupBy("shard").applyInArrow(_answer, _KEYS)

@@ -12,21 +12,21 @@ import numpy as np
 
 
 def words_at(text: np.ndarray) -> np.ndarray:
-    """At every place the next eight bytes as a big-endian number; zeros past the end."""
+    """At every place the next eight bytes as a big-endian number; zeros past the end.
+    It is a view, so only what is looked up takes eight bytes."""
     padded = np.concatenate([text, np.zeros(64, np.uint8)])
-    view = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
-    return view.astype(np.uint64)
+    return np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
 
 
 def smaller_type(symbols: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; the last one is not."""
     n = len(symbols)
-    step = np.sign(np.diff(symbols.astype(np.int32)))
-    place = np.where(step != 0, np.arange(n - 1), n)
-    following = np.minimum.accumulate(place[::-1])[::-1] if n > 1 else place
     out = np.zeros(n, bool)
-    known = following < n
-    out[:-1][known] = step[following[known]] > 0
+    differs = np.flatnonzero(symbols[1:] != symbols[:-1])
+    rises = symbols[differs + 1] > symbols[differs]
+    # Up to the next place where it differs, a symbol's type is that place's.
+    size = np.diff(differs, prepend=-1)
+    out[: int(size.sum())] = np.repeat(rises, size)
     return out
 
 
@@ -40,13 +40,13 @@ def sort_suffixes(
     """
     # A symbol 0 closes every piece, so that types and buckets never cross pieces.
     n, pieces = len(text), len(ends)
-    shift = np.zeros(n + 1, np.int64)
-    shift[ends[ends < n]] = 1
-    moved = np.arange(n) + np.cumsum(shift[:n])
+    whole = np.int32 if n + pieces < 2**31 else np.int64
+    moved = np.arange(n, dtype=whole)
+    moved += np.repeat(np.arange(pieces, dtype=whole), np.diff(ends, prepend=0))
     symbols = np.zeros(n + pieces, np.uint16)
     symbols[moved] = text.astype(np.uint16) + 1
-    back = np.full(n + pieces, -1, np.int64)
-    back[moved] = np.arange(n)
+    back = np.full(n + pieces, -1, whole)
+    back[moved] = np.arange(n, dtype=whole)
     smaller = smaller_type(symbols)
     close = symbols == 0
     base = smaller | close
@@ -68,8 +68,12 @@ def sort_suffixes(
     direct = np.flatnonzero(live & base)
     raw = np.zeros(n + pieces, np.uint8)
     raw[moved] = text
+    del moved
     words = words_at(raw)
-    keys = [words[np.minimum(direct + at, len(words) - 1)] for at in range(0, depth, 8)]
+    keys = [
+        words[np.minimum(direct + at, len(words) - 1)].astype(np.uint64)
+        for at in range(0, depth, 8)
+    ]
     if depth % 8:
         keys[-1] = keys[-1] >> np.uint64(64 - 8 * (depth % 8))
     direct = direct[np.lexsort([*keys[::-1], symbols[direct]])]
@@ -117,7 +121,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     live = np.arange(1, len(order))
     for at in range(0, depth, 8):
         a, b = order[live - 1] + at, order[live] + at
-        differs = words[np.minimum(a, len(words) - 1)] ^ words[np.minimum(b, len(words) - 1)]
+        differs = words[np.minimum(a, len(words) - 1)].astype(np.uint64)
+        differs ^= words[np.minimum(b, len(words) - 1)].astype(np.uint64)
         bits = np.zeros(len(live), np.int64)
         some = differs != 0
         # The highest differing byte, counted from the front.
