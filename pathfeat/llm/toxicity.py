@@ -40,6 +40,7 @@ IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 _BLOCK_BYTES = 1 << 19
 _FILTER_BITS = 20
 _BEGINNINGS = (3, 4, 5, 6)
+_REST = 2.0
 
 
 def _terms(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -68,12 +69,15 @@ class Vocabulary:
         self.seen[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, term and number of the terms in texts, in this order."""
+        """Row, term and frequency per word of the terms in texts, in this order."""
         raw, offsets = _lower(texts)
         rows, terms = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        words = np.zeros(len(texts), np.int64)
         for lo, hi in blocks(offsets, _BLOCK_BYTES) if len(self.hashes) else ():
             at = offsets[lo : hi + 1] - offsets[lo]
-            for row, h in _terms(raw[offsets[lo] : offsets[hi]], at):
+            for k, (row, h) in enumerate(_terms(raw[offsets[lo] : offsets[hi]], at)):
+                if k == 0:
+                    words[lo:hi] = np.bincount(row, minlength=hi - lo)
                 maybe = self.seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
                 row, h = row[maybe], h[maybe]
                 place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
@@ -82,7 +86,7 @@ class Vocabulary:
                 terms.append(place[ok])
         width = max(1, len(self.hashes))
         both, n = np.unique(np.concatenate(rows) * width + np.concatenate(terms), return_counts=True)
-        return both // width, both % width, n
+        return both // width, both % width, n / words[both // width]
 
 
 def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.ndarray:
@@ -164,10 +168,13 @@ class Index:
     def build(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Index:
         """Examples in the order of their heaviest term, so that blocks are alike."""
         n = len(self.ids)
-        weight = self._unit(rows, terms, counts, n)
+        weight, rest = self.unit(rows, terms, counts, n)
         heaviest = np.zeros(n, np.int64)
         by = np.lexsort([weight, rows])
         heaviest[rows[by]] = terms[by]
+        rows = np.concatenate([rows, np.arange(n)])
+        terms = np.concatenate([terms, np.full(n, len(self.idf))])
+        weight = np.concatenate([weight, rest])
         self.order = np.lexsort([self.ids, heaviest])
         place = np.empty(n, np.int64)
         place[self.order] = np.arange(n)
@@ -177,21 +184,23 @@ class Index:
         terms = terms[by]
         width = self.blocks + 1
         slot = terms * width + self.post_example // self.block
-        self.post_at = np.searchsorted(slot, np.arange(len(self.idf) * width + 1)).astype(np.int64)
-        self.most = np.zeros((len(self.idf), max(self.blocks, 1)))
+        self.post_at = np.searchsorted(slot, np.arange((len(self.idf) + 1) * width + 1)).astype(np.int64)
+        self.most = np.zeros((len(self.idf) + 1, max(self.blocks, 1)))
         np.maximum.at(self.most, (terms, self.post_example // self.block), self.post_weight)
         self.width = width
         return self
 
-    def _unit(self, rows, terms, counts, n) -> np.ndarray:
-        weight = (1 + np.log(counts)) * self.idf[terms]
-        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=n))
-        return weight / norm[rows]
+    def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the terms of n unit vectors, and of the rest of each text: one more
+        component, so that the cosine tells rare use of a term from dense use."""
+        weight = np.log1p(200 * counts) * self.idf[terms]
+        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=n) + _REST * _REST)
+        return weight / norm[rows], _REST / norm
 
     def nearest(
         self, terms: np.ndarray, weight: np.ndarray, k: int, leave: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples that share a term.
+        """Places and cosines of the k nearest examples.
 
         ``leave`` is an example to leave out, by its place in ``ids``."""
         bound = weight @ self.most[terms]
@@ -241,11 +250,12 @@ class Model:
 def _searches(index: Index, rows, terms, counts, n: int, k: int, leave: bool = False):
     if not len(rows) or not len(index.ids):
         return
-    weight = index._unit(rows, terms, counts, n)
+    weight, rest = index.unit(rows, terms, counts, n)
     cut = np.flatnonzero(np.diff(rows, prepend=-1))
     for a, b in zip(cut.tolist(), np.append(cut[1:], len(rows)).tolist()):
         r = int(rows[a])
-        yield r, *index.nearest(terms[a:b], weight[a:b], k, r if leave else -1)
+        own, w = np.append(terms[a:b], len(index.idf)), np.append(weight[a:b], rest[r])
+        yield r, *index.nearest(own, w, k, r if leave else -1)
 
 
 def _curve(curve: tuple[float, float], vote: float) -> float:
