@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -23,14 +27,49 @@ from .numbering import dense_ids
 
 SPARSE = 0
 
-CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
-    "decision_tree": lambda: DecisionTreeClassifier(impurity="entropy", maxDepth=10, seed=1),
-    "naive_bayes": lambda: NaiveBayes(modelType="multinomial"),
-    "logistic": lambda: LogisticRegression(maxIter=20),
-    "linear_svc": lambda: LinearSVC(maxIter=20, regParam=1e-4),
+
+@dataclass(frozen=True)
+class ModelOptions:
+    """Limits of the trained models; none of them drops rows.
+
+    max_depth  levels of the decision tree, at most 30
+    max_bins   candidate thresholds per path of the decision tree
+    max_iter   iterations of the two linear models; a fit that needed them all
+               raises a warning
+    smoothing  added to every count by naive Bayes
+    reg_param  regularisation of the linear support vector machine
+    parallel   folds that are fitted at the same time
+    """
+
+    max_depth: int = 10
+    max_bins: int = 32
+    max_iter: int = 100
+    smoothing: float = 1.0
+    reg_param: float = 1e-4
+    parallel: int = 2
+
+
+CLASSIFIERS: dict[str, Callable[[ModelOptions], Estimator]] = {
+    "decision_tree": lambda o: DecisionTreeClassifier(
+        impurity="entropy", maxDepth=o.max_depth, maxBins=o.max_bins, seed=1
+    ),
+    "naive_bayes": lambda o: NaiveBayes(modelType="multinomial", smoothing=o.smoothing),
+    "logistic": lambda o: LogisticRegression(maxIter=o.max_iter),
+    "linear_svc": lambda o: LinearSVC(maxIter=o.max_iter, regParam=o.reg_param),
 }
 
 
+def _warn_unconverged(model: Model, classifier: str, fold: int, models: ModelOptions) -> None:
+    if classifier == "logistic":
+        used = model.summary.totalIterations
+    elif classifier == "linear_svc":
+        used = model.summary().totalIterations
+    else:
+        return
+    if used >= models.max_iter:
+        warnings.warn(f"{classifier}, fold {fold}: not converged after {used} iterations", stacklevel=2)
+
+
 def assign_folds(vectors: DataFrame, folds: int = 10) -> DataFrame:
     """Add ``fold``: the rank within the label, in (a, b) order, modulo ``folds``.
 
@@ -74,13 +113,18 @@ def ml_vectors(sparse: DataFrame, size: int) -> DataFrame:
 
 
 def cross_validate(
-    sparse: DataFrame, size: int, classifier: str = "decision_tree", folds: int = 10
+    sparse: DataFrame,
+    size: int,
+    classifier: str = "decision_tree",
+    folds: int = 10,
+    models: ModelOptions = ModelOptions(),
 ) -> DataFrame:
     """Predictions ``a, b, label, fold, score, prior, prediction`` for every vector.
 
     Each vector is predicted by the model trained on the other folds. ``score`` is
     the probability of true (0 or 1 for classifiers without one), ``prior`` the
-    share of true in the training folds with one added to either class.
+    share of true in the training folds with one added to either class. The models are
+    fitted when this is called, ``models.parallel`` folds at a time.
     """
     # Both classes are declared, as a small training set may hold only one.
     classes = {"ml_attr": {"type": "nominal", "name": "target", "vals": ["false", "true"]}}
@@ -88,12 +132,17 @@ def cross_validate(
     used = [r["fold"] for r in data.select("fold").distinct().orderBy("fold").collect()]
     if len(used) < 2:
         raise ValueError("cross-validation needs vectors in at least two folds")
-    parts = []
-    for fold in used:
-        train = data.where(F.col("fold") != fold)
-        estimator = CLASSIFIERS[classifier]()
+
+    def predict(fold: int) -> DataFrame:
+        estimator = CLASSIFIERS[classifier](models)
         estimator.setFeaturesCol("features").setLabelCol("target")
-        parts.append(estimator.fit(train).transform(data.where(F.col("fold") == fold)))
+        model = estimator.fit(data.where(F.col("fold") != fold))
+        _warn_unconverged(model, classifier, fold, models)
+        return model.transform(data.where(F.col("fold") == fold))
+
+    with ThreadPoolExecutor(max(1, models.parallel)) as pool:
+        jobs = [pool.submit(copy_context().run, predict, fold) for fold in used]
+        parts = [job.result() for job in jobs]
     predicted = reduce(DataFrame.unionByName, parts)
     if "probability" in predicted.columns:
         score = vector_to_array("probability")[1]

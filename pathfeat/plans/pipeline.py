@@ -9,40 +9,88 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import vocabulary as voc
-from ..operators.classify import cross_validate
-from ..operators.evaluate import class_details, confusion_samples, summary
+from ..operators.classify import ModelOptions, cross_validate
+from ..operators.evaluate import class_details, confusion_samples, summary, weighted_average
 from ..operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
 from ..operators.paths import path_records
 from ..operators.stemming import stem_labels
 from ..options import Options
-from ..sources.arff import write_arff
+from ..sources.arff import arff_lines, write_arff
 from ..sources.legacy import SIZE_KEY
 from ..sources.text import read_lines, write_tsv
-from .staging import stage
+from .staging import Staging, stage
 
 
 class FeaturePlan:
     """The steps over one corpus and one label list, each computed when asked for.
 
-    Tables that several steps read (``cells``, ``vocabulary``, ``pairs``, ``found``)
-    are staged once; everything else is a lazy plan over them.
+    Tables that several steps read (``cells``, ``vocabulary``, ``pairs``, ``found``, and
+    ``records`` if they are kept) are staged once, so asking for a step whose plan
+    reads them runs the jobs that write them; everything else is a lazy plan.
+
+    ``keep_records`` stages the path records, for plans that put them out: the corpus is
+    then walked once, and the cells are counted from the staged table. ``staging`` names
+    the folder for staged tables. ``close``, or leaving a ``with`` block, deletes them.
     """
 
     def __init__(
-        self, arcs: DataFrame, labels: DataFrame | None = None, options: Options = Options()
+        self,
+        arcs: DataFrame | None,
+        labels: DataFrame | None = None,
+        options: Options = Options(),
+        *,
+        keep_records: bool = False,
+        staging: str | None = None,
     ) -> None:
         self.arcs = arcs
         self.labels = labels
         self.options = options
+        self.keep_records = keep_records
+        self.staging = Staging(staging)
+
+    @classmethod
+    def from_tables(
+        cls,
+        cells: DataFrame,
+        vocabulary: DataFrame | None = None,
+        labels: DataFrame | None = None,
+        options: Options = Options(),
+        *,
+        staging: str | None = None,
+    ) -> FeaturePlan:
+        """Go on from written tables: ``cells`` as ``dp, a, b, n`` and, unless it is to be
+        made anew, ``vocabulary`` as ``dp, id``. Steps that need the corpus fail."""
+        plan = cls(None, labels, options, staging=staging)
+        plan.__dict__["cells"] = cells
+        if vocabulary is not None:
+            plan.__dict__["vocabulary"] = vocabulary
+        return plan
+
+    def __enter__(self) -> FeaturePlan:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the staged tables; what was asked for before can't be read any more."""
+        self.staging.close()
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        with self.staging:
+            return stage(df, name)
 
     @cached_property
     def records(self) -> DataFrame:
-        return path_records(self.arcs, self.options)
+        if self.arcs is None:
+            raise ValueError("this step needs the corpus")
+        records = path_records(self.arcs, self.options)
+        return self._stage(records, "records") if self.keep_records else records
 
     @cached_property
     def cells(self) -> DataFrame:
         records = self.records.select("dp", "a", "b")
-        return stage(voc.path_cells(records), "cells")
+        return self._stage(voc.path_cells(records), "cells")
 
     @cached_property
     def support(self) -> DataFrame:
@@ -54,7 +102,8 @@ class FeaturePlan:
 
     @cached_property
     def vocabulary(self) -> DataFrame:
-        return stage(voc.number_paths(self.frequent), "vocabulary")
+        with self.staging:
+            return stage(voc.number_paths(self.frequent), "vocabulary")
 
     @cached_property
     def size(self) -> DataFrame:
@@ -74,13 +123,13 @@ class FeaturePlan:
         if self.labels is None:
             raise ValueError("this step needs a label list")
         stemmed = stem_labels(self.labels.select("w1", "w2", "label"), self.options)
-        return stage(feat.pair_labels(stemmed, self.options), "pairs")
+        return self._stage(feat.pair_labels(stemmed, self.options), "pairs")
 
     @cached_property
     def found(self) -> DataFrame:
         """Cells of labelled pairs: ``a, b, label, id, n``."""
         cells = feat.labelled_cells(self.cells, self.vocabulary, self.pairs, self.options)
-        return stage(cells, "found")
+        return self._stage(cells, "found")
 
     @cached_property
     def label_join(self) -> DataFrame:
@@ -102,9 +151,23 @@ class FeaturePlan:
     def dense_cells(self) -> DataFrame:
         return feat.dense_cells(self.found, self.pairs, self.size)
 
-    def predictions(self, classifier: str = "decision_tree", folds: int = 10) -> DataFrame:
+    def arff_lines(self) -> DataFrame:
+        with self.staging:
+            return arff_lines(self.sparse, self.vocabulary, self.size)
+
+    def write_arff(self, path: str) -> None:
+        with self.staging:
+            write_arff(self.sparse, self.vocabulary, self.size, path)
+
+    def predictions(
+        self,
+        classifier: str = "decision_tree",
+        folds: int = 10,
+        models: ModelOptions = ModelOptions(),
+    ) -> DataFrame:
         size = self.size.first()["vec_size"]
-        return cross_validate(self.sparse, size, classifier, folds)
+        with self.staging:
+            return cross_validate(self.sparse, size, classifier, folds, models)
 
 
 def run(
@@ -116,25 +179,38 @@ def run(
     *,
     classifier: str | None = "decision_tree",
     folds: int = 10,
+    models: ModelOptions = ModelOptions(),
     write_records: bool = False,
     write_rejects: bool = True,
     text_copies: bool = False,
+    partitions: int | None = None,
+    staging: str | None = None,
 ) -> FeaturePlan:
     """Read a corpus and a label list, write every result below ``output``.
 
-    Parquet: ``frequent_paths``, ``vocabulary``, ``vector_size``, ``label_join``,
+    Parquet: ``cells``, ``frequent_paths``, ``vocabulary``, ``vector_size``, ``label_join``,
     ``without_evidence``, ``vectors`` (sparse) and, on request, ``kept_records`` and
     ``numbered_pairs``; ``arff`` as text. With a classifier also ``predictions``,
     ``summary``, ``class_details`` and ``samples``. ``text_copies`` adds the
-    tab-separated form of the vocabulary and its size.
+    tab-separated form of the vocabulary and its size. The corpus is walked once; its
+    lines are read a second time for the rejects. ``partitions`` spreads a corpus of
+    files that can't be split. Close the plan that is returned to delete staged tables;
+    ``FeaturePlan.from_tables`` goes on from the written ones.
     """
-    lines = read_lines(spark, corpus)
+    lines = read_lines(spark, corpus, partitions)
     label_lines = spark.read.text(label_list)
-    plan = FeaturePlan(parse_arcs(lines), parse_labels(label_lines), options)
+    plan = FeaturePlan(
+        parse_arcs(lines),
+        parse_labels(label_lines),
+        options,
+        keep_records=write_records,
+        staging=staging,
+    )
 
     def write(df: DataFrame, name: str) -> None:
         df.write.parquet(f"{output}/{name}")
 
+    write(plan.cells, "cells")
     write(plan.frequent, "frequent_paths")
     write(plan.vocabulary, "vocabulary")
     write(plan.size, "vector_size")
@@ -151,11 +227,13 @@ def run(
     write(plan.label_join, "label_join")
     write(plan.without_evidence, "without_evidence")
     write(plan.sparse, "vectors")
-    write_arff(plan.vectors, plan.size, f"{output}/arff")
+    plan.write_arff(f"{output}/arff")
     if classifier is not None:
-        predictions = plan.predictions(classifier, folds)
+        predictions = plan.predictions(classifier, folds, models)
         write(predictions, "predictions")
-        write(summary(predictions), "summary")
-        write(class_details(predictions), "class_details")
-        write(confusion_samples(predictions), "samples")
+        with plan.staging:
+            write(summary(predictions), "summary")
+            write(class_details(predictions), "class_details")
+            write(weighted_average(predictions), "weighted_average")
+            write(confusion_samples(predictions), "samples")
     return plan

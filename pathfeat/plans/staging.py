@@ -4,14 +4,47 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_scope: ContextVar[Staging | None] = ContextVar("staging", default=None)
+
+
+class Staging:
+    """Where the tables staged inside ``with`` go, and which they are.
+
+    ``root`` is a folder that all executors share; without one the session's is taken.
+    ``close`` deletes the tables.
+    """
+
+    def __init__(self, root: str | None = None) -> None:
+        self.root = root.rstrip("/") if root else None
+        self._paths: list[tuple[SparkSession, str]] = []
+        self._persisted: list[DataFrame] = []
+        self._tokens: list = []
+
+    def __enter__(self) -> Staging:
+        self._tokens.append(_scope.set(self))
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scope.reset(self._tokens.pop())
+
+    def close(self) -> None:
+        while self._paths:
+            spark, path = self._paths.pop()
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        while self._persisted:
+            self._persisted.pop().unpersist()
+
 
 @cache
 def _local_root() -> str:
@@ -19,8 +52,12 @@ def _local_root() -> str:
 
 
 def staging_root(spark: SparkSession) -> str | None:
-    """The shared folder the session names; a temporary one in local mode only."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    """The folder of the enclosing ``Staging``, else the context's checkpoint folder, else
+    the one the session's setting names; a temporary one in local mode only."""
+    scope = _scope.get()
+    if scope is not None and scope.root:
+        return scope.root
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
     return _local_root() if spark.sparkContext.master.startswith("local") else None
@@ -32,11 +69,20 @@ def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFra
     The written table cuts the lineage, survives lost executors, is read with
     column pruning, and its known size lets the planner decide on broadcasts. On a
     cluster that names no shared folder the rows are persisted on disk instead.
+    ``schema`` gives types to read the columns back as, with the same storage form.
     """
-    spark = df.sparkSession
+    spark, scope = df.sparkSession, _scope.get()
     root = staging_root(spark)
     if root is None:
-        return df.persist(StorageLevel.DISK_ONLY)
+        if schema is not None:
+            # JSON text is a storage form that both types share.
+            df = df.select(F.from_json(F.to_json(F.struct("*")), schema).alias("_row")).select("_row.*")
+        df = df.persist(StorageLevel.DISK_ONLY)
+        if scope is not None:
+            scope._persisted.append(df)
+        return df
     path = f"{root}/pathfeat/{name}-{uuid.uuid4().hex}"
+    if scope is not None:
+        scope._paths.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
