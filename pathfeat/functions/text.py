@@ -18,10 +18,6 @@ def trim_control(text: Column) -> Column:
     return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
 
 
-def drop_last(text: Column, n: int) -> Column:
-    return text.substr(F.lit(1), F.length(text) - n)
-
-
 def lpad_index(index: Column, size: Column) -> Column:
     """Zero-pad an index to the digits of the vector size, so text order is numeric.
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 SPECIAL_CHARACTERS = "!@#$%^&*()_+-=,./;:'[{}]\"\\|"
 SPECIAL_PATTERN = "[" + "".join("\\" + c for c in SPECIAL_CHARACTERS) + "]"
 
-TOKEN_TYPE = "struct<word:string,pos:string,label:string,ptr:int>"
-
 
 def keeps_field(field: Column) -> Column:
     """False for the count tail: fields with fewer than two ``/``-parts."""

@@ -86,7 +86,11 @@ def ranking_areas(predictions: DataFrame) -> DataFrame:
     totals = ranked.agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     all_pos = totals.select("_pos").scalar()
     all_neg = totals.select("_neg").scalar()
-    rows = ranked.withColumn("_all_pos", all_pos).withColumn("_all_neg", all_neg)
+    # Doubles: products of counts outgrow 64-bit integers.
+    counts = ("pos", "neg", "pos_down", "neg_down")
+    rows = ranked.withColumns({c: F.col(c).cast("double") for c in counts})
+    rows = rows.withColumn("_all_pos", all_pos.cast("double"))
+    rows = rows.withColumn("_all_neg", all_neg.cast("double"))
     below_neg = F.col("_all_neg") - F.col("neg_down")
     up_pos = F.col("_all_pos") - F.col("pos_down") + F.col("pos")
     up_neg = below_neg + F.col("neg")
@@ -141,6 +145,24 @@ def class_details(predictions: DataFrame) -> DataFrame:
     return rates.join(ranking_areas(predictions), "class")
 
 
+def weighted_average(predictions: DataFrame) -> DataFrame:
+    """One row: the class details averaged over the classes by their number of rows.
+
+    A measure that a class doesn't have (no row of it, or none predicted) is left out.
+    """
+    sizes = predictions.groupBy(F.col("label").alias("class")).agg(F.count(F.lit(1)).alias("_n"))
+    # Two rows on either side.
+    rows = class_details(predictions).join(sizes, "class")
+    weight = F.col("_n").cast("double")
+    return rows.agg(
+        *[
+            _ratio(F.sum(weight * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), weight))).alias(c)
+            for c in rows.columns
+            if c not in ("class", "_n")
+        ]
+    )
+
+
 def confusion_samples(predictions: DataFrame, per_bucket: int = 5) -> DataFrame:
     """The first pairs of every confusion bucket in (a, b) order.
 

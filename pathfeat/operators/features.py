@@ -57,12 +57,16 @@ def _lookups(labels: DataFrame, options: Options) -> DataFrame:
 def labelled_cells(
     cells: DataFrame, vocabulary: DataFrame, labels: DataFrame, options: Options = Options()
 ) -> DataFrame:
-    """``a, b, label, id, n`` for labelled pairs with evidence."""
-    evidence = cells.select(F.col("a").alias("_x"), F.col("b").alias("_y"), "dp", "n")
+    """``a, b, label, id, n`` for labelled pairs with evidence.
+
+    The vocabulary comes first: cells of infrequent paths, with some formats most of
+    them, are gone before the join with the labels.
+    """
+    kept = cells.join(vocabulary, "dp")
+    evidence = kept.select(F.col("a").alias("_x"), F.col("b").alias("_y"), "id", "n")
     return (
         _lookups(labels, options)
         .join(evidence, ["_x", "_y"])
-        .join(vocabulary, "dp")
         .groupBy("a", "b", "label", "id")
         .agg(F.sum("n").alias("n"))
     )

@@ -2,7 +2,7 @@
 
 The export is a directory of part files that, read in name order, are one ARFF
 document: the header first, then per vector a comment ``%n a b`` and the data line.
-No task sees the whole of it. ``cat part-*`` makes the single file.
+No task sees the whole of it. ``cat */part-*`` makes the single file.
 """
 
 from __future__ import annotations
@@ -10,55 +10,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.features import vector_text
+from ..operators.features import dense_array, vector_text
 from ..operators.numbering import dense_ids
 
 
-def number_vectors(vectors: DataFrame) -> DataFrame:
-    """Add the running example number ``num``, 1, 2, ... in (a, b) order."""
-    return dense_ids(vectors, ["a", "b"], "num", start=1)
+def number_vectors(sparse: DataFrame) -> DataFrame:
+    """Sparse vectors with the running example number ``num``, 1, 2, ... in (a, b) order."""
+    return dense_ids(sparse, ["a", "b"], "num", start=1)
 
 
-def arff_header(size: DataFrame) -> DataFrame:
-    """Header lines with their place: ``section, num, value``."""
-
-    def line(section: int, num: str, value: str) -> str:
-        return f"named_struct('section', {section}, 'num', {num}, 'value', {value})"
-
-    ids = "CASE WHEN vec_size > 0 THEN sequence(0L, vec_size - 1) ELSE cast(array() AS array<bigint>) END"
-    attribute = line(1, "i", "concat('@ATTRIBUTE col', i, ' NUMERIC')")
-    return size.select(
-        F.expr(
-            f"""inline(concat(
-                array({line(0, "0L", "'@RELATION vectors'")}),
-                transform({ids}, i -> {attribute}),
-                array({line(2, "0L", "'@ATTRIBUTE class {True, False}'")}, {line(3, "0L", "'@DATA'")})))"""
-        )
+def arff_header(vocabulary: DataFrame) -> DataFrame:
+    """Header lines with their place, ``section, num, value``: one row per path."""
+    spark = vocabulary.sparkSession
+    fixed = [
+        (0, 0, "@RELATION vectors"),
+        (2, 0, "@ATTRIBUTE class {True, False}"),
+        (3, 0, "@DATA"),
+    ]
+    name = F.concat(F.lit("@ATTRIBUTE col"), F.col("id").cast("string"), F.lit(" NUMERIC"))
+    attributes = vocabulary.select(
+        F.lit(1).alias("section"), F.col("id").alias("num"), name.alias("value")
     )
+    return spark.createDataFrame(fixed, "section int, num bigint, value string").unionByName(attributes)
 
 
-def arff_body(numbered: DataFrame) -> DataFrame:
-    """Two lines per vector in one value: the pair comment and the data."""
+def arff_body(numbered: DataFrame, size: DataFrame) -> DataFrame:
+    """Two lines per vector in one value: the pair comment and the data.
+
+    The dense text is made here, in the projection of the task that writes it; nothing
+    before holds zeros.
+    """
     comment = F.concat(F.lit("%"), F.col("num").cast("string"), F.lit("\t"), "a", F.lit("\t"), "b")
-    data = vector_text(F.col("features"), F.col("label"))
-    return numbered.select(
+    features = dense_array(F.col("cells"), F.col("_size"))
+    data = vector_text(features, F.col("label"))
+    return numbered.withColumn("_size", size.scalar()).select(
         F.lit(4).alias("section"), "num", F.concat_ws("\n", comment, data).alias("value")
     )
 
 
-def arff_lines(vectors: DataFrame, size: DataFrame) -> DataFrame:
+def arff_lines(sparse: DataFrame, vocabulary: DataFrame, size: DataFrame) -> DataFrame:
     """All lines of the document as ``section, num, part, value``."""
-    body = arff_body(number_vectors(vectors)).select(
+    body = arff_body(number_vectors(sparse), size).select(
         "section", "num", F.posexplode(F.split("value", "\n")).alias("part", "value")
     )
-    header = arff_header(size).select("section", "num", F.lit(0).alias("part"), "value")
+    header = arff_header(vocabulary).select("section", "num", F.lit(0).alias("part"), "value")
     return header.unionByName(body)
 
 
-def write_arff(vectors: DataFrame, size: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the document as ordered part files."""
-    lines = arff_header(size).unionByName(arff_body(number_vectors(vectors)))
-    lines.orderBy("section", "num").select("value").write.mode(mode).text(path)
+def write_arff(
+    sparse: DataFrame,
+    vocabulary: DataFrame,
+    size: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+) -> None:
+    """Write the document as ordered part files in two folders, ``0-header`` and ``1-data``.
+
+    Both are sorted as narrow rows: the paths, and the sparse vectors.
+    """
+    header = arff_header(vocabulary).orderBy("section", "num")
+    header.select("value").write.mode(mode).text(f"{path}/0-header")
+    body = arff_body(number_vectors(sparse).orderBy("num"), size)
+    body.select("value").write.mode(mode).text(f"{path}/1-data")
+
+
+def _texts(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The text of a document, whether in one file, part files or the folders above."""
+    return spark.read.option("recursiveFileLookup", "true").options(**options).text(path)
 
 
 def parse_arff(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -75,7 +93,7 @@ def parse_arff(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_arff(spark: SparkSession, path: str) -> DataFrame:
-    return parse_arff(spark.read.text(path))
+    return parse_arff(_texts(spark, path))
 
 
 def read_arff_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +102,7 @@ def read_arff_pairs(spark: SparkSession, path: str) -> DataFrame:
     The text is cut at the ``%`` that starts each comment, so a comment and its data
     line are one record. No word of a vector can hold that character.
     """
-    records = spark.read.option("lineSep", "%").text(path)
+    records = _texts(spark, path, lineSep="%")
     split = records.select(F.split("value", "[\t\n]").alias("_r")).where(F.size("_r") >= 4)
     data = split.where(F.get("_r", F.lit(0)).rlike("^[0-9]+$")).select(
         F.get("_r", F.lit(0)).cast("bigint").alias("num"),

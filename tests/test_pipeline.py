@@ -1,4 +1,4 @@
-import os
+import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +8,7 @@ from pathfeat import COMPATIBLE, FeaturePlan, Options, run
 from pathfeat.operators import features
 from pathfeat.operators.vocabulary import max_by_key, path_cells, path_support
 from pathfeat.sources import arff, legacy
-from pathfeat.sources.text import read_arcs, read_labels, write_tsv
+from pathfeat.sources.text import read_arcs, read_labels, read_tsv, write_tsv
 
 
 def rows(df, *cols):
@@ -157,8 +157,8 @@ def test_run_writes_everything(spark, tmp_path):
     assert rows(read("rejected_labels"), "value", "reason") == [("only two", "field count")]
     assert rows(spark.read.text(f"{out}/vector_size_tsv"), "value") == [("vec_size\t3",)]
     assert ("NN-NN\t1",) in rows(spark.read.text(f"{out}/vocabulary_tsv"), "value")
-    parts = sorted(f for f in os.listdir(f"{out}/arff") if f.startswith("part-"))
-    document = "".join(open(f"{out}/arff/{p}").read() for p in parts)
+    parts = sorted(glob.glob(f"{out}/arff/*/part-*"))
+    document = "".join(open(p).read() for p in parts)
     assert document == (
         "@RELATION vectors\n@ATTRIBUTE col0 NUMERIC\n@ATTRIBUTE col1 NUMERIC\n"
         "@ATTRIBUTE col2 NUMERIC\n@ATTRIBUTE class {True, False}\n@DATA\n"
@@ -211,24 +211,44 @@ def test_text_sources_and_sinks(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "tsv")), "value") == [("dog\tanimal\ttrue",)]
 
 
+def test_tsv_keeps_empty_fields(spark, tmp_path):
+    schema = "a string, b string, id bigint, n bigint"
+    data = [("a", "b", None, 7), ("c", None, 1, None), (None, None, None, None), ("d", "e", 2, 3)]
+    df = spark.createDataFrame(data, schema)
+    write_tsv(df, str(tmp_path / "tsv"))
+    assert ("a\tb\t\t7",) in rows(spark.read.text(str(tmp_path / "tsv")), "value")
+    got = read_tsv(spark, str(tmp_path / "tsv"), schema).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(data, key=str)
+
+
 def test_legacy_records(spark):
     lines = [
         "vec_size\t12",
         "NN-VB-NN\t3",
         "dog\tanimal\tTrue",
         "dog\tanimal\t03,7",
+        "dog\tanimal\t1,0,3,true",
         "dog\tanimal\t3:NN-VB-NN:animal\tanimal/NN/a/0 like/VB/x/1 dog/NN/p/2",
+        "NN-VB-NN\tdog\tanimal:animal\tanimal/NN/a/0 like/VB/x/1 dog/NN/p/2",
         "junk",
+        "dog\tanimal\tjunk",
+        "dog\tanimal\tjunk more",
     ]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = [tuple(r) for r in legacy.route_records(df).collect()]
+    line = "animal\tanimal/NN/a/0 like/VB/x/1 dog/NN/p/2"
+    nothing = (None,) * 3
     assert got == [
-        ("size", None, None, None, None, None, 12),
-        ("vocabulary", None, None, None, 3, "NN-VB-NN", None),
-        ("label", "dog", "animal", True, None, None, None),
-        ("cell", "dog", "animal", None, 3, None, 7),
-        ("numbered", "dog", "animal", None, 3, "NN-VB-NN", None),
-        ("reject", None, None, None, None, None, None),
+        ("size", None, None, None, None, None, 12, *nothing),
+        ("vocabulary", None, None, None, 3, "NN-VB-NN", None, *nothing),
+        ("label", "dog", "animal", True, None, None, None, *nothing),
+        ("cell", "dog", "animal", None, 3, None, 7, *nothing),
+        ("vector", "dog", "animal", True, None, None, None, "1,0,3", None, None),
+        ("numbered", "dog", "animal", None, 3, "NN-VB-NN", None, None, line, None),
+        ("path", "dog", "animal", None, None, "NN-VB-NN", None, None, line, None),
+        ("reject", *(None,) * 7, "junk", "field count"),
+        ("reject", *(None,) * 7, "dog\tanimal\tjunk", "third field"),
+        ("reject", *(None,) * 7, "dog\tanimal\tjunk more", "neither an id nor a word before a colon"),
     ]
 
 

@@ -10,7 +10,12 @@ _BLANK_FREE = r"[^ \t\n\x0B\f\r]+"
 
 
 def _with(*ctes: str, select: str, recursive: bool = False) -> str:
-    return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(ctes) + "\n" + select
+    text = f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(ctes) + "\n" + select
+    # Read several times each; inlined, their whole chain would be repeated.
+    for name in ("stems", "st", "heads", "graph", "ranked"):
+        text = text.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (")
+        text = text.replace(f"WITH {name} AS (", f"WITH {name} AS MATERIALIZED (")
+    return text
 
 
 def _tagged(word: str, k: str) -> str:
@@ -113,7 +118,7 @@ heads AS (SELECT h.doc_id, h.line_no, CASE WHEN bool_or(t.noun0 AND t.ptr = 0 AN
   JOIN st t USING (doc_id, line_no) GROUP BY h.doc_id, h.line_no, h.raw)"""
 
 
-_GRAPH = """graph AS (
+_GRAPH = """graph AS MATERIALIZED (
   SELECT *, pos LIKE '%NN%' OR word LIKE '%NN%' AS noun,
     min(k) OVER (PARTITION BY doc_id, line_no, word, pos, label, ptr) AS node,
     min(CASE WHEN ptr = 0 AND word = head THEN k END) OVER (PARTITION BY doc_id, line_no) AS root
@@ -175,6 +180,12 @@ _HALF = "least(a_nth, b_nth) <= ceil(n_nouns / 2.0)"
 _LABELLED = [TOK, _PAIRS_AT, _stemmed(_ALL_WORDS), _GRAPH, _walk(), _CELLS, _FREQUENT, _pairs()]
 _FOUND = [*_LABELLED, _found()]
 
+# The text of a stemmed line, head and tokens.
+_LINES = """line_texts AS (SELECT doc_id, line_no,
+    length(min(head)) + 1 + sum(length(word) + length(pos) + length(label) + length(CAST(ptr AS VARCHAR)) + 4) - 1
+      AS line_length
+  FROM st JOIN heads USING (doc_id, line_no) GROUP BY doc_id, line_no)"""
+
 _RULE = """scored AS (SELECT a, b, label,
     CAST(sum(CASE WHEN string_split(dp, '-')[1] = string_split(dp, '-')[-1] THEN n ELSE 0 END) AS DOUBLE)
       / CAST(sum(n) AS DOUBLE) AS score
@@ -328,12 +339,23 @@ UNION ALL SELECT doc_id, line_no, id, dp, b, a FROM rec JOIN vocab USING (dp)"""
         _FREQUENT,
     ),
     "legacy_text_records": _labelled_sql(
-        """SELECT 'label' AS kind, a, b, label, NULL::BIGINT AS id, NULL::VARCHAR AS dp, NULL::BIGINT AS n FROM pairs
-UNION ALL SELECT 'numbered', a, b, NULL, id, dp, NULL FROM rec JOIN vocab USING (dp)
-UNION ALL SELECT 'numbered', b, a, NULL, id, dp, NULL FROM rec JOIN vocab USING (dp)
-UNION ALL SELECT 'cell', a, b, NULL, id, NULL, n FROM found
-UNION ALL SELECT 'vocabulary', NULL, NULL, NULL, id, dp, NULL FROM vocab
-UNION ALL SELECT 'size', NULL, NULL, NULL, NULL, NULL, vec_size FROM vec"""
+        """SELECT kind, a, b, label, id, dp, n, vector, CAST(line_length AS INT) AS line_length, rejected, reason FROM (
+SELECT 'label' AS kind, a, b, label, NULL::BIGINT AS id, NULL::VARCHAR AS dp, NULL::BIGINT AS n,
+  NULL::VARCHAR AS vector, NULL AS line_length, NULL::VARCHAR AS rejected, NULL::VARCHAR AS reason FROM pairs
+UNION ALL SELECT 'numbered', a, b, NULL, id, dp, NULL, NULL, line_length, NULL, NULL
+  FROM rec JOIN vocab USING (dp) JOIN line_texts USING (doc_id, line_no)
+UNION ALL SELECT 'numbered', b, a, NULL, id, dp, NULL, NULL, line_length, NULL, NULL
+  FROM rec JOIN vocab USING (dp) JOIN line_texts USING (doc_id, line_no)
+UNION ALL SELECT 'path', a, b, NULL, NULL, dp, NULL, NULL, line_length, NULL, NULL
+  FROM rec JOIN line_texts USING (doc_id, line_no)
+UNION ALL SELECT 'vector', a, b, label, NULL, NULL, NULL, vector, NULL, NULL, NULL FROM vectors
+UNION ALL SELECT 'cell', a, b, NULL, id, NULL, n, NULL, NULL, NULL, NULL FROM found
+UNION ALL SELECT 'vocabulary', NULL, NULL, NULL, id, dp, NULL, NULL, NULL, NULL, NULL FROM vocab
+UNION ALL SELECT 'size', NULL, NULL, NULL, NULL, NULL, vec_size, NULL, NULL, NULL, NULL FROM vec
+UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, a || ' ' || b || ' ' || a, 'third field'
+  FROM pairs)""",
+        _DENSE,
+        _LINES,
     ),
     "label_rows": _with(
         _PAIRS_AT,
@@ -394,6 +416,16 @@ UNION ALL SELECT 4, num, 1, vector || CASE WHEN label THEN ',True' ELSE ',False'
         "numbered AS (SELECT *, row_number() OVER (ORDER BY a, b) AS num FROM vectors)",
     ),
     "arff_roundtrip": _labelled_sql("SELECT a, b, label, vector FROM vectors", _DENSE),
+    "resumed_vectors": _labelled_sql("SELECT a, b, label, vector FROM vectors", _DENSE),
+    "tsv_roundtrip": _labelled_sql(
+        "SELECT p.a, f.id, p.b, f.n, p.label FROM pairs p LEFT JOIN found f ON p.a = f.a AND p.b = f.b"
+    ),
+    "text_corpus": _with(
+        _RAW,
+        select="""SELECT head, CAST(n AS INT) AS n_tokens, count(*) AS n_lines
+FROM raw_lines JOIN (SELECT doc_id, line_no, count(*) AS n FROM raw GROUP BY ALL) USING (doc_id, line_no)
+WHERE head <> '' AND NOT slash AND NOT special GROUP BY ALL""",
+    ),
     "folds": _predicted_sql(
         """SELECT a, b, label, round(score, 6) AS score, prediction, fold, round(prior, 6) AS prior
 FROM predictions"""
@@ -407,6 +439,17 @@ FROM (SELECT *, ((tp + fp)::DOUBLE * (tp + fn) + (fn + tn)::DOUBLE * (fp + tn))
         _CONFUSION,
     ),
     "cv_class_details": _predicted_sql(_SIDES, _CONFUSION, _areas()),
+    "cv_weighted_average": _predicted_sql(
+        "SELECT "
+        + ", ".join(
+            f"round(sum(w * {c}) / sum(w) FILTER ({c} IS NOT NULL), 6) AS {c}"
+            for c in "tp_rate fp_rate precision recall f1 mcc roc_area prc_area".split()
+        )
+        + f" FROM ({_SIDES.replace(', 6)', ', 15)')}) JOIN "
+        "(SELECT label AS class, CAST(count(*) AS DOUBLE) AS w FROM predictions GROUP BY label) USING (class)",
+        _CONFUSION,
+        _areas(),
+    ),
     "confusion_counts": _predicted_sql(
         "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY label, prediction"
     ),

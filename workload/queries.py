@@ -17,14 +17,25 @@ from pathfeat.operators.paths import path_records
 from pathfeat.operators.stemming import stem_arcs
 from pathfeat.plans.staging import CHECKPOINT_DIR, staging_root
 from pathfeat.sources import arff, legacy
+from pathfeat.sources.text import read_arcs, read_tsv, write_tsv
 
 from . import corpus
 
 OPTIONS = Options(dpmin=100)
 
 
-def plan(spark: SparkSession, sf_dir: str, options: Options = OPTIONS) -> FeaturePlan:
-    return FeaturePlan(corpus.arcs(spark, sf_dir), corpus.labels(spark, sf_dir), options)
+def plan(
+    spark: SparkSession, sf_dir: str, options: Options = OPTIONS, keep_records: bool = False
+) -> FeaturePlan:
+    arcs, labels = corpus.arcs(spark, sf_dir), corpus.labels(spark, sf_dir)
+    return FeaturePlan(arcs, labels, options, keep_records=keep_records)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    root = staging_root(spark)
+    if root is None:
+        raise ValueError(f"writing text needs {CHECKPOINT_DIR}")
+    return f"{root}/pathfeat/{name}-{uuid.uuid4().hex}"
 
 
 def _tokens(arcs: DataFrame) -> DataFrame:
@@ -115,11 +126,11 @@ def max_by_key(spark, sf_dir):
 
 
 def kept_records(spark, sf_dir):
-    return plan(spark, sf_dir).kept_records.select("doc_id", "line_no", "dp", "a", "b")
+    return plan(spark, sf_dir, keep_records=True).kept_records.select("doc_id", "line_no", "dp", "a", "b")
 
 
 def numbered_pairs(spark, sf_dir):
-    return plan(spark, sf_dir).numbered_pairs.select("doc_id", "line_no", "id", "dp", "a", "b")
+    return plan(spark, sf_dir, keep_records=True).numbered_pairs.select("doc_id", "line_no", "id", "dp", "a", "b")
 
 
 def label_rows(spark, sf_dir):
@@ -179,26 +190,55 @@ def labeled_vectors_compatible(spark, sf_dir):
 
 
 def arff_lines(spark, sf_dir):
-    p = plan(spark, sf_dir)
-    return arff.arff_lines(p.vectors, p.size)
+    return plan(spark, sf_dir).arff_lines()
 
 
 def arff_roundtrip(spark, sf_dir):
     p = plan(spark, sf_dir)
-    root = staging_root(spark)
-    if root is None:
-        raise ValueError(f"writing the document needs {CHECKPOINT_DIR}")
-    path = f"{root}/pathfeat/arff-{uuid.uuid4().hex}"
-    arff.write_arff(p.vectors, p.size, path)
+    path = _folder(spark, "arff")
+    p.write_arff(path)
     return _vector_rows(arff.read_arff_pairs(spark, path))
 
 
+def resumed_vectors(spark, sf_dir):
+    """Vectors from cells and a vocabulary that were written and read again."""
+    first = plan(spark, sf_dir)
+    path = _folder(spark, "resumed")
+    first.cells.write.parquet(f"{path}/cells")
+    first.vocabulary.write.parquet(f"{path}/vocabulary")
+    second = FeaturePlan.from_tables(
+        spark.read.parquet(f"{path}/cells"),
+        spark.read.parquet(f"{path}/vocabulary"),
+        corpus.labels(spark, sf_dir),
+        OPTIONS,
+    )
+    return _vector_rows(second.vectors)
+
+
+def tsv_roundtrip(spark, sf_dir):
+    """All labelled pairs with their cells, written as text and read again; pairs without
+    evidence have nulls."""
+    path = _folder(spark, "tsv")
+    found = plan(spark, sf_dir).label_join.select("a", "id", "b", "n", "label")
+    write_tsv(found, path)
+    return read_tsv(spark, path, "a string, id bigint, b string, n bigint, label boolean")
+
+
+def text_corpus(spark, sf_dir):
+    """Arcs of a corpus that was written as text and read as files."""
+    path = _folder(spark, "corpus")
+    corpus.arc_lines(spark, sf_dir).select("value").write.text(path)
+    arcs = read_arcs(spark, path)
+    return arcs.groupBy("head", F.size("toks").alias("n_tokens")).agg(F.count("*").alias("n_lines"))
+
+
 def legacy_text_records(spark, sf_dir):
     """Every record type as one mix of text lines, routed and parsed back."""
     p = plan(spark, sf_dir)
     c = F.col
     records = path_records(p.arcs, p.options, with_line=True)
     numbered = features.numbered_pairs(records, p.vocabulary, p.options)
+    vectors = _vector_rows(p.vectors)
     lines = (
         p.pairs.select(legacy.label_record(c("a"), c("b"), c("label")).alias("value"))
         .unionByName(
@@ -206,6 +246,14 @@ def legacy_text_records(spark, sf_dir):
                 legacy.numbered_record(c("a"), c("b"), c("id"), c("dp"), c("line")).alias("value")
             )
         )
+        .unionByName(
+            records.select(legacy.path_record(c("dp"), c("a"), c("b"), c("line")).alias("value"))
+        )
+        .unionByName(
+            vectors.select(
+                legacy.vector_record(c("a"), c("b"), c("vector"), c("label")).alias("value")
+            )
+        )
         .unionByName(
             p.found.withColumn("size", p.size.scalar()).select(
                 legacy.cell_record(c("a"), c("b"), c("id"), c("n"), c("size")).alias("value")
@@ -215,8 +263,15 @@ def legacy_text_records(spark, sf_dir):
             p.vocabulary.select(legacy.vocabulary_record(c("dp"), c("id")).alias("value"))
         )
         .unionByName(p.size.select(legacy.size_record(c("vec_size")).alias("value")))
+        .unionByName(p.pairs.select(F.concat_ws(" ", "a", "b", "a").alias("value")))
+    )
+    routed = legacy.route_records(lines)
+    # The text of a line is long; its length tells as much.
+    length = F.when(c("kind") != "reject", F.length("line")).alias("line_length")
+    kept = F.when(c("kind") == "reject", c("line")).alias("rejected")
+    return routed.select(
+        "kind", "a", "b", "label", "id", "dp", "n", "vector", length, kept, "reason"
     )
-    return legacy.route_records(lines)
 
 
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +309,10 @@ def cv_class_details(spark, sf_dir):
     return _rounded(evaluate.class_details(rule_predictions(spark, sf_dir)))
 
 
+def cv_weighted_average(spark, sf_dir):
+    return _rounded(evaluate.weighted_average(rule_predictions(spark, sf_dir)))
+
+
 def confusion_counts(spark, sf_dir):
     return evaluate.confusion_counts(rule_predictions(spark, sf_dir))
 
@@ -310,9 +369,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labeled_vectors_compatible": labeled_vectors_compatible,
     "arff_lines": arff_lines,
     "arff_roundtrip": arff_roundtrip,
+    "resumed_vectors": resumed_vectors,
+    "tsv_roundtrip": tsv_roundtrip,
+    "text_corpus": text_corpus,
     "folds": folds,
     "cv_summary": cv_summary,
     "cv_class_details": cv_class_details,
+    "cv_weighted_average": cv_weighted_average,
     "confusion_counts": confusion_counts,
     "confusion_samples": confusion_samples,
     "tree_predictions": tree_predictions,
