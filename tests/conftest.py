@@ -15,6 +15,7 @@ def spark():
     spark.stop()
 
 
+# The sample corpus and its labels.
 SAMPLE_ARCS = [
     "chair\tfurniture/NN/acomp/0 like/VB/xcomp/1 chair/NN/prep/2",
     "chair\tfurniture/pobj/acomp/0 like/VB/xcomp/1 tahat/NN/prep/2",

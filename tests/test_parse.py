@@ -1,5 +1,6 @@
 from pathfeat.operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
 
+# A line of the published corpus format and the known rejects below.
 GOOD = "abounded\tabounded/VBD/ccomp/0 in/IN/prep/1 land/JJ/dep/4 mongers/NNS/pobj/2\t22\t1927,7\t1930,9"
 
 

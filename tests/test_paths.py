@@ -32,6 +32,7 @@ def test_formats(sample):
     assert line3("word_label") == ["X/advmod-as/prep-X/acomp"]
 
 
+# A line of the published corpus format.
 LOOPING = "abound\tabound/NN/attr/0 in/IN/prep/1 countri/NNS/pobj/2 in/IN/prep/3 world/NN/pobj/4"
 
 

@@ -15,6 +15,20 @@ KNOWN = {
     "roll": "roll", "is": "is", "ies": "i", "archaeology": "archaeolog", "possibly": "possibl",
 }
 
+# The suffix tables of the algorithm, apart from the library's.
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble",
+    "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate",
+    "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al",
+    "iviti": "ive", "biliti": "ble", "logi": "log",
+}.items()
+STEP_3 = {
+    "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
+}.items()
+STEP_4 = (
+    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+).split()
+
 
 def vowels(word):
     """Whether each letter is a vowel: y is one after a consonant."""
@@ -36,8 +50,6 @@ def short(word):
 
 def brute_force(word):
     """The algorithm letter by letter."""
-    from pathfeat.functions.stemmer import DOUBLE_SUFFIXES, LAST_SUFFIXES, SINGLE_SUFFIXES
-
     if len(word) < 3:
         return word
     w = word
@@ -60,11 +72,11 @@ def brute_force(word):
                 break
     if w.endswith("y") and any(vowels(w[:-1])):
         w = w[:-1] + "i"
-    for table in (DOUBLE_SUFFIXES, SINGLE_SUFFIXES):
+    for table in (STEP_2, STEP_3):
         hit = max((r for r in table if w.endswith(r[0])), key=lambda r: len(r[0]), default=None)
         if hit and measure(w[: -len(hit[0])]) > 0:
             w = w[: -len(hit[0])] + hit[1]
-    last = max((s for s in LAST_SUFFIXES if w.endswith(s)), key=len, default=None)
+    last = max((s for s in STEP_4 if w.endswith(s)), key=len, default=None)
     if last:
         rest = w[: -len(last)]
         if measure(rest) > 1 and (last != "ion" or rest.endswith(("s", "t"))):

@@ -2,8 +2,32 @@
 
 from __future__ import annotations
 
-from pathfeat.functions import stemmer
-from pathfeat.functions.tokens import SPECIAL_CHARACTERS
+# Fixed values, stated a second time on purpose: a wrong entry in the library's tables
+# must not be right here as well. Characters that make a word invalid, in a class.
+_SPECIAL = r"""[!@#$%^&*()_+\-=,./;:'\[{}\]"\\|]"""
+# The stemmer's suffix tables: suffix and replacement.
+_STEP_2 = """ational ate tional tion enci ence anci ance izer ize bli ble alli al entli ent eli e
+ousli ous ization ize ation ate ator ate alism al iveness ive fulness ful ousness ous aliti al
+iviti ive biliti ble logi log"""
+_STEP_3 = "icate ic ative - alize al iciti ic ical ic ful - ness -"
+_STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+
+
+def _table(text: str) -> list[tuple[str, str]]:
+    words = text.split()
+    return [(a, b.strip("-")) for a, b in zip(words[::2], words[1::2])]
+
+
+# Measures of a word by its runs of consonants (C) and vowels (V); y is a vowel after a
+# consonant.
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_START = "^(" + _C + "[aeiouy]|[aeiou])[aeiou]*"
+_M_ABOVE_0 = _START + "[^aeiou]"
+_M_IS_1 = _START + _C + "(" + _V + ")?$"
+_M_ABOVE_1 = _START + _C + _V + "[^aeiou]"
+_VOWEL = "[aeiou]|[^aeiou]y"
+_SHORT = "^" + _C + "[aeiouy][^aeiouwxy]$"
+_CONSONANT_END = _START + "(" + _C + _V + ")*" + _C + "$"
 
 DPMIN = 100
 _BLANK_FREE = r"[^ \t\n\x0B\f\r]+"
@@ -59,14 +83,13 @@ def _stems(source: str) -> str:
             )
         return f"CASE {' '.join(whens)} ELSE w END"
 
-    m0, m1, m2 = stemmer.MEASURE_ABOVE_0, stemmer.MEASURE_IS_1, stemmer.MEASURE_ABOVE_1
-    vowel, short = stemmer.HAS_VOWEL, stemmer.SHORT_SYLLABLE
+    m0, m1, m2, vowel, short = _M_ABOVE_0, _M_IS_1, _M_ABOVE_1, _VOWEL, _SHORT
     doubled = (
         "(length(w) > 1 AND right(w, 1) = left(right(w, 2), 1) AND "
         f"(NOT {has('[aeiouy]$', 'w')} OR ends_with(w, 'y') AND "
-        f"{has(stemmer.ENDS_IN_CONSONANT, 'w')}))"
+        f"{has(_CONSONANT_END, 'w')}))"
     )
-    last = sorted(((s, "") for s in stemmer.LAST_SUFFIXES), key=lambda r: -len(r[0]))
+    last = sorted(((s, "") for s in _STEP_4.split()), key=lambda r: -len(r[0]))
     return f"""p0 AS (SELECT DISTINCT word, word AS w FROM ({source}) WHERE length(word) > 2),
 p1 AS (SELECT word, CASE WHEN ends_with(w, 'sses') OR ends_with(w, 'ies') THEN {cut(2)}
   WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN {cut(1)} ELSE w END AS w FROM p0),
@@ -82,8 +105,8 @@ p3 AS (SELECT word, CASE WHEN NOT cut THEN w
     WHEN {has(short, 'w')} THEN w || 'e' ELSE w END AS w FROM p2),
 p4 AS (SELECT word, CASE WHEN ends_with(w, 'y') AND {has(vowel, cut(1))}
     THEN {cut(1)} || 'i' ELSE w END AS w FROM p3),
-p5 AS (SELECT word, {rules(stemmer.DOUBLE_SUFFIXES, m0)} AS w FROM p4),
-p6 AS (SELECT word, {rules(stemmer.SINGLE_SUFFIXES, m0)} AS w FROM p5),
+p5 AS (SELECT word, {rules(_table(_STEP_2), m0)} AS w FROM p4),
+p6 AS (SELECT word, {rules(_table(_STEP_3), m0)} AS w FROM p5),
 p7 AS (SELECT word, {rules(last, m2)} AS w FROM p6),
 p8 AS (SELECT word, CASE WHEN ends_with(w, 'e') AND ({has(m2, 'w')}
     OR {has(m1, 'w')} AND NOT {has(short, cut(1))}) THEN {cut(1)} ELSE w END AS w FROM p7),
@@ -207,9 +230,7 @@ _RAW = _tokens("raw", _BLANK_FREE) + r""",
 raw_lines AS (SELECT doc_id, line_no,
     regexp_replace(min(word) FILTER (k = 1), '[^\p{L}]', '', 'g') AS head,
     bool_or(contains(word, '/')) AS slash,
-    bool_or(regexp_matches(word, '[""" + "".join(
-    "\\" + c for c in SPECIAL_CHARACTERS
-).replace("'", "''") + """]')) AS special
+    bool_or(regexp_matches(word, '""" + _SPECIAL.replace("'", "''") + """')) AS special
   FROM raw GROUP BY doc_id, line_no)"""
 
 
