@@ -11,6 +11,7 @@ from .chat import chat_texts
 from .decontaminate import contamination
 from .main_text import main_texts
 from .minhash import near_duplicates
+from .oracles import ORACLES as ORACLES
 from .packing import packed
 from .repeats import repeats_removed
 from .sampling import share
@@ -113,5 +114,3 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLES: dict[str, str] = {}
