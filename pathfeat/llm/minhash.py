@@ -192,40 +192,36 @@ def _linked_chunks(hashes: int, limits: list[tuple[int, int]], width: int, top:
     """Links between different components within a chunk or a pair of chunks. A pair that
     links found here already connect is not looked at: what comes out is a forest."""
 
-    def chunk(value: pa.StructArray):
-        ids = value.field("rep")
-        sets, edge = shingle_sets(*text_bytes(value.field("text")), width)
-        return ids, value.field("component").to_pylist(), _table(value.field("sig"), hashes), sets, edge
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x = chunk(batch.column("x")[i].values)
-                other = batch.column("y")[i]
-                same = not other.is_valid
-                y = x if same else chunk(other.values)
-                trees = Forest()
-                number = {c: k for k, c in enumerate(dict.fromkeys([*x[1], *y[1]]))}
-                comp = [np.array([number[c] for c in side[1]]) for side in (x, y)]
-                found: list[list[int]] = [[], []]
-                for k in range(len(comp[0])):
-                    rest = np.flatnonzero(comp[1] != comp[0][k])
-                    rest = rest[rest > k] if same else rest
-                    left = np.broadcast_to(x[2][k], (len(rest), hashes))
-                    own = x[3][x[4][k] : x[4][k + 1]]
-                    for j in rest[plausible(left, y[2][rest], limits)].tolist():
-                        a, b = int(comp[0][k]), int(comp[1][j])
-                        if trees.root(a) == trees.root(b):
-                            continue
-                        his = y[3][y[4][j] : y[4][j + 1]]
-                        shared = np.intersect1d(own, his, assume_unique=True).size
-                        if bottom * shared >= top * (len(own) + len(his) - shared):
-                            trees.join(a, b)
-                            found[0].append(k)
-                            found[1].append(j)
-                yield pa.RecordBatch.from_arrays(
-                    [t[0].take(pa.array(f, pa.int64())) for t, f in zip((x, y), found)], names=["a", "b"]
-                )
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        chunk = table.column("chunk").to_numpy()
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        first, second = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        sets, edge = shingle_sets(*text_bytes(table.column("text")), width)
+        sig = _table(table.column("sig"), hashes)
+        number: dict = {}
+        comp = [number.setdefault(c, len(number)) for c in table.column("component").to_pylist()]
+        comp = np.array(comp, np.int64)
+        trees = Forest()
+        found: list[list[int]] = [[], []]
+        for k in first.tolist():
+            rest = second[comp[second] != comp[k]]
+            rest = rest[rest > k] if i == j else rest
+            own = sets[edge[k] : edge[k + 1]]
+            left = np.broadcast_to(sig[k], (len(rest), hashes))
+            for m in rest[plausible(left, sig[rest], limits)].tolist():
+                a, b = int(comp[k]), int(comp[m])
+                if trees.root(a) == trees.root(b):
+                    continue
+                his = sets[edge[m] : edge[m + 1]]
+                shared = np.intersect1d(own, his, assume_unique=True).size
+                if bottom * shared >= top * (len(own) + len(his) - shared):
+                    trees.join(a, b)
+                    found[0].append(k)
+                    found[1].append(m)
+        rep = table.column("rep")
+        links = [rep.take(pa.array(f, pa.int64())) for f in found]
+        return pa.Table.from_arrays(links, names=["a", "b"])
 
     return run
 
@@ -364,8 +360,8 @@ def near_duplicates(
     )
     left = stage(named.join(spans, "bucket"), "open")
     if not left.isEmpty():
-        facing = _facing(left, texts, most_chunks)
-        more = facing.mapInArrow(_linked_chunks(hashes, limits, width, top, bottom), pair)
+        facing = _facing(left, texts, most_chunks).groupBy("grp", "apart", "i", "j")
+        more = facing.applyInArrow(_linked_chunks(hashes, limits, width, top, bottom), pair)
         labels = components(links.union(stage(more, "links")))
 
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -386,7 +382,8 @@ def near_duplicates(
 
 
 def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame:
-    """Chunks ``x`` and pairs of chunks ``x, y`` that cover every pair of a bucket.
+    """Members by pairs of chunks ``i, j`` that cover every pair of a bucket; a member is
+    there once for each chunk its own one meets.
 
     Buckets that share members are taken together, so that a document is sent once, not
     once per bucket; if that makes too many chunks, each bucket stands for itself.
@@ -408,21 +405,20 @@ def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame
         .distinct()
         .join(texts.withColumnRenamed("key", "rep"), "rep")
     )
-    chunks = (
-        placed.withColumn("n_chunks", F.ceil(F.col("size") / _CHUNK).cast("int"))
-        .withColumn("i", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("n_chunks")).cast("int"))
-        .groupBy("grp", "apart", "i", "n_chunks")
-        .agg(F.collect_list(F.struct("rep", "component", "sig", "text")).alias("x"))
+    n_chunks = F.ceil(F.col("size") / _CHUNK).cast("int")
+    chunk = F.pmod(F.xxhash64("rep", F.lit(2)), n_chunks).cast("int").alias("chunk")
+    other = F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("other")
+    return placed.select("*", chunk).select("*", other).select(
+        "grp",
+        "apart",
+        F.least("chunk", "other").alias("i"),
+        F.greatest("chunk", "other").alias("j"),
+        "chunk",
+        "rep",
+        "component",
+        "sig",
+        "text",
     )
-    chunks = stage(chunks, "chunks")
-    kind = chunks.schema["x"].dataType
-    alone = chunks.select("x", F.lit(None).cast(kind).alias("y"))
-    several = chunks.where("n_chunks > 1")
-    pairs = several.select(
-        "grp", "apart", "x", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("j"), "i"
-    ).where("j > i")
-    others = several.select("grp", "apart", F.col("i").alias("j"), F.col("x").alias("y"))
-    return alone.union(pairs.join(others.hint("merge"), ["grp", "apart", "j"]).select("x", "y"))
 
 
 def _with_digests(width: int):
