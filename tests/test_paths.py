@@ -187,3 +187,21 @@ def test_repartitioning_changes_nothing(sample):
 def test_carried_columns_may_have_any_name(sample):
     arcs = sample[0].withColumn("hit", F.lit(1)).withColumn("start", F.lit(2)).withColumn("nodes", F.lit(3))
     assert {(r["hit"], r["start"], r["nodes"]) for r in path_records(arcs).collect()} == {(1, 2, 3)}
+
+
+def test_the_long_corpus_reaches_every_branch(spark):
+    from pathfeat import Options
+    from workload import corpus
+    from workload.queries import head_graph_long, path_records_long, reject_arcs_long
+
+    sf_dir = "/root/testdata/sf0.001"
+    reasons = {r["reason"] for r in reject_arcs_long(spark, sf_dir).select("reason").distinct().collect()}
+    assert reasons == {"empty head", "no tokens", "token arity", "special character", "pointer"}
+    hops = path_records_long(spark, sf_dir).selectExpr("size(split(dp, '-')) - 1 AS n")
+    assert hops.agg({"n": "max"}).first()[0] > Options().unrolled_hops
+    nodes = head_graph_long(spark, sf_dir)
+    assert nodes.where("parent = 0").count() > 0  # no root, or the root itself
+    # Two nodes that are each other's parent are a cycle.
+    other = nodes.selectExpr("doc_id", "line_no", "node AS parent", "parent AS node")
+    assert nodes.join(other, ["doc_id", "line_no", "node", "parent"], "left_semi").where("node <> parent").count() > 0
+    assert corpus.long_arcs(spark, sf_dir).selectExpr("max(size(toks))").first()[0] == corpus.LONG

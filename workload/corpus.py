@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathfeat.operators.parse import parse_labels
+from pathfeat.operators.parse import parse_arcs, parse_labels
 
 GROUP = 4
+LONG = 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +105,54 @@ def arc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_arc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw arc lines ``doc_id, line_no, value`` of one to ``LONG`` words.
+
+    Sentences end at full stops and line ends; each is cut into lines after every
+    ``LONG`` words, and none is dropped. Pointers may run forward and form cycles;
+    a word of 13 letters points past the end, one of 15 has a part too many, and the
+    head is any word of the line, often not one with pointer 0. A line of one word has a
+    head and no tokens.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sentences = docs.select(
+        "doc_id", F.posexplode(F.split("text", "[.\n]")).alias("line_no", "sentence")
+    )
+    words = F.regexp_extract_all("sentence", F.lit(r"([^ \t\x0B\f\r,]+)"), F.lit(1))
+    cut = F.transform(
+        F.when(F.size("_all") > 0, F.sequence(F.lit(1), F.size("_all"), F.lit(LONG))),
+        lambda at: F.slice("_all", at, F.lit(LONG)),
+    )
+    split = (
+        sentences.select("doc_id", "line_no", words.alias("_all"))
+        .select("doc_id", "line_no", F.posexplode(cut).alias("_part", "ws"))
+        .withColumn("line_no", F.col("line_no") * 100_000 + F.col("_part"))
+    )
+    size = F.size("ws")
+
+    def token(w: Column, i: Column) -> Column:
+        ahead = (F.ascii(w) + 3 * F.length(w)) % (size + 1)
+        pointer = F.when(F.length(w) == 13, size + 1).when(i == 0, 0).otherwise(ahead)
+        more = F.when(F.length(w) == 15, "/x").otherwise("")
+        return F.concat(
+            w, F.lit("/"), _pos(w), F.lit("/"), _label(w), F.lit("/"), pointer.cast("string"), more
+        )
+
+    head = F.get("ws", F.length(F.get("ws", size - 1)) % size)
+    tokens = F.when(size > 1, F.transform("ws", token)).otherwise(F.array().cast("array<string>"))
+    return split.select(
+        "doc_id",
+        "line_no",
+        F.concat(
+            F.regexp_replace(head, r"[^\p{L}]", ""), F.lit("\t"), F.array_join(tokens, " ")
+        ).alias("value"),
+    )
+
+
+def long_arcs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_arcs(long_arc_lines(spark, sf_dir))
+
+
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw label lines from neighbouring words of ``conversations`` and ``benchmark``.
 

@@ -129,15 +129,18 @@ _WORDS = "SELECT word FROM nouns0 WHERE noun"
 _ALL_WORDS = f"{_WORDS} UNION ALL SELECT w1 FROM label_list UNION ALL SELECT w2 FROM label_list"
 
 
-def _stemmed(all_words: str) -> str:
-    return _stems(all_words) + """,
+_FIRST_WORDS = "SELECT doc_id, line_no, word AS raw FROM tok WHERE k = 1"
+
+
+def _stemmed(all_words: str, head_words: str = _FIRST_WORDS) -> str:
+    return _stems(all_words) + f""",
 st AS (SELECT t.doc_id, t.line_no, t.k, t.pos, t.label, t.ptr,
     CASE WHEN t.noun THEN coalesce(s.stem, t.word) ELSE t.word END AS word, t.word AS raw, t.noun AS noun0
   FROM nouns0 t LEFT JOIN stems s USING (word)),
 heads AS (SELECT h.doc_id, h.line_no, CASE WHEN bool_or(t.noun0 AND t.ptr = 0 AND t.raw = h.raw)
     THEN min(h.stem) ELSE min(h.raw) END AS head
-  FROM (SELECT t.doc_id, t.line_no, t.word AS raw, coalesce(s.stem, t.word) AS stem
-    FROM tok t LEFT JOIN stems s USING (word) WHERE k = 1) h
+  FROM (SELECT h.doc_id, h.line_no, h.raw, coalesce(s.stem, h.raw) AS stem
+    FROM ({head_words}) h LEFT JOIN stems s ON s.word = h.raw) h
   JOIN st t USING (doc_id, line_no) GROUP BY h.doc_id, h.line_no, h.raw)"""
 
 
@@ -233,6 +236,42 @@ raw_lines AS (SELECT doc_id, line_no,
     bool_or(regexp_matches(word, '""" + _SPECIAL.replace("'", "''") + """')) AS special
   FROM raw GROUP BY doc_id, line_no)"""
 
+# Sentences of any length as tokens, and why a line is rejected.
+_LONG = r"""sentences AS (
+  SELECT doc_id, i, regexp_extract_all(parts[i], '[^ \t\x0B\f\r,]+') AS ws
+  FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i
+    FROM (SELECT doc_id, regexp_split_to_array(text, '[.\n]') AS parts FROM documents))),
+long_words AS (
+  SELECT doc_id, CAST((i - 1) * 100000 + g AS INT) AS line_no, ws[12 * g + 1:12 * g + 12] AS ws
+  FROM (SELECT *, unnest(generate_series(0, (len(ws) - 1) // 12)) AS g FROM sentences WHERE len(ws) > 0)),
+long_heads AS (
+  SELECT doc_id, line_no, ws, len(ws) AS n,
+    regexp_replace(ws[length(ws[-1]) % len(ws) + 1], '[^\p{L}]', '', 'g') AS raw
+  FROM long_words WHERE len(ws) > 0),
+long_tok AS (
+  SELECT doc_id, line_no, n, CAST(k AS INT) AS k, word,
+    CASE length(word) % 3 WHEN 0 THEN 'VB' WHEN 1 THEN 'NN' ELSE 'NNS' END AS pos,
+    CASE length(word) % 2 WHEN 0 THEN 'prep' ELSE 'pobj' END AS label,
+    CAST(CASE WHEN length(word) = 13 THEN n + 1 WHEN k = 1 THEN 0
+      ELSE (ascii(word) + 3 * length(word)) % (n + 1) END AS INT) AS ptr
+  FROM (SELECT doc_id, line_no, n, k, ws[k] AS word
+    FROM (SELECT *, unnest(generate_series(1, n)) AS k FROM long_heads WHERE n > 1))),
+long_lines AS (
+  SELECT doc_id, line_no, bool_or(contains(word, '/') OR length(word) = 15) AS arity,
+    bool_or(regexp_matches(word, '""" + _SPECIAL.replace("'", "''") + r"""')) AS special,
+    bool_or(ptr > n) AS pointer FROM long_tok GROUP BY doc_id, line_no),
+reasons AS (
+  SELECT doc_id, line_no, raw, CASE WHEN raw = '' THEN 'empty head' WHEN n = 1 THEN 'no tokens'
+    WHEN arity THEN 'token arity' WHEN special THEN 'special character' WHEN pointer THEN 'pointer' END AS reason
+  FROM long_heads LEFT JOIN long_lines USING (doc_id, line_no)),
+tok AS MATERIALIZED (SELECT doc_id, line_no, k, word, pos, label, ptr
+  FROM long_tok JOIN reasons USING (doc_id, line_no) WHERE reason IS NULL),
+nouns0 AS (SELECT *, pos LIKE '%NN%' OR word LIKE '%NN%' AS noun FROM tok)"""
+_LONG_STEMMED = _stemmed(
+    f"{_WORDS} UNION ALL SELECT raw FROM reasons WHERE reason IS NULL",
+    "SELECT doc_id, line_no, raw FROM reasons WHERE reason IS NULL",
+)
+
 
 def _areas() -> str:
     by_score = "SELECT score, count(*) FILTER (label) AS pos, count(*) FILTER (NOT label) AS neg FROM predictions GROUP BY score"
@@ -343,6 +382,20 @@ LEFT JOIN stems USING (word)""",
     "path_records_first_half": _records_sql(
         f"SELECT doc_id, line_no, dp, a, b FROM rec WHERE {_HALF}"
     ),
+    "reject_arcs_long": _with(
+        _LONG, select="SELECT doc_id, line_no, reason FROM reasons WHERE reason IS NOT NULL"
+    ),
+    "head_graph_long": _with(
+        _LONG, _LONG_STEMMED, _GRAPH, select="SELECT doc_id, line_no, k, node, parent FROM edges"
+    ),
+    "path_records_long": _with(
+        _LONG,
+        _LONG_STEMMED,
+        _GRAPH,
+        _walk(),
+        select="SELECT doc_id, line_no, dp, a, b FROM rec",
+        recursive=True,
+    ),
     "path_formats": _formats(),
     "path_cells": _records_sql("SELECT dp, a, b, n FROM cells", _CELLS),
     "path_support": _records_sql("SELECT * FROM support", _CELLS),

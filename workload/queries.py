@@ -90,6 +90,19 @@ def records_first_half(spark, sf_dir):
     )
 
 
+def reject_arcs_long(spark, sf_dir):
+    return reject_arcs(corpus.long_arc_lines(spark, sf_dir)).select("doc_id", "line_no", "reason")
+
+
+def head_graph_long(spark, sf_dir):
+    return graph.head_graph(stem_arcs(corpus.long_arcs(spark, sf_dir)))
+
+
+def path_records_long(spark, sf_dir):
+    """Walks of any length, with cycles, missing roots and lines of any length."""
+    return path_records(corpus.long_arcs(spark, sf_dir)).select("doc_id", "line_no", "dp", "a", "b")
+
+
 def path_formats(spark, sf_dir):
     arcs = corpus.arcs(spark, sf_dir)
     parts = [
@@ -347,6 +360,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "noun_pairs_first_half": noun_pairs_first_half,
     "path_records": records,
     "path_records_first_half": records_first_half,
+    "reject_arcs_long": reject_arcs_long,
+    "head_graph_long": head_graph_long,
+    "path_records_long": path_records_long,
     "path_formats": path_formats,
     "path_cells": path_cells,
     "path_support": path_support,
