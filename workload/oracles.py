@@ -221,6 +221,41 @@ folded AS (SELECT *, score > 0.5 AS prediction,
 predictions AS (SELECT f.*, (g.t - h.t + 1) / CAST(g.n - h.n + 2 AS DOUBLE) AS prior FROM folded f
   JOIN (SELECT fold, count(*) AS n, count(*) FILTER (label) AS t FROM folded GROUP BY fold) h USING (fold)
   CROSS JOIN (SELECT count(*) AS n, count(*) FILTER (label) AS t FROM folded) g)"""
+# Multinomial naive Bayes in closed form, for every fold from the rows outside it.
+_BAYES = """examples AS (SELECT a, b, label,
+    CAST((row_number() OVER (PARTITION BY label ORDER BY a, b) - 1) % 10 AS INT) AS fold
+  FROM (SELECT DISTINCT a, b, label FROM found)),
+cell AS (SELECT f.*, e.fold FROM found f JOIN examples e USING (a, b)),
+fold_cells AS (SELECT fold, label, id, sum(n) AS n FROM cell GROUP BY fold, label, id),
+all_cells AS (SELECT label, id, sum(n) AS n FROM cell GROUP BY label, id),
+sizes AS (SELECT fold, label, count(*) AS n FROM examples GROUP BY fold, label),
+folds AS (SELECT DISTINCT fold FROM examples),
+classes AS (SELECT DISTINCT label FROM examples),
+weights AS (
+  SELECT f.fold, c.label, v.id, coalesce(t.n, 0) - coalesce(x.n, 0) AS n
+  FROM folds f CROSS JOIN classes c CROSS JOIN vocab v
+  LEFT JOIN all_cells t ON t.label = c.label AND t.id = v.id
+  LEFT JOIN fold_cells x ON x.fold = f.fold AND x.label = c.label AND x.id = v.id),
+theta AS (
+  SELECT fold, label, id,
+    ln(n + 1.0::DOUBLE) - ln(sum(n) OVER (PARTITION BY fold, label) + (SELECT vec_size FROM vec)::DOUBLE) AS t
+  FROM weights),
+priors AS (
+  SELECT f.fold, c.label,
+    ln((SELECT count(*) FROM examples e WHERE e.fold <> f.fold AND e.label = c.label) + 1.0::DOUBLE)
+      - ln((SELECT count(*) FROM examples e WHERE e.fold <> f.fold) + 2.0::DOUBLE) AS p
+  FROM folds f CROSS JOIN classes c),
+raw_scores AS (
+  SELECT x.a, x.b, x.label, x.fold, t.label AS class, min(p.p) + sum(x.n * t.t) AS r
+  FROM cell x JOIN theta t ON t.fold = x.fold AND t.id = x.id
+  JOIN priors p ON p.fold = x.fold AND p.label = t.label GROUP BY ALL),
+scored AS (
+  SELECT a, b, label, fold, round(1 / (1 + exp(max(r) FILTER (NOT class) - max(r) FILTER (class))), 6) AS score,
+    max(r) FILTER (class) > max(r) FILTER (NOT class) AS prediction
+  FROM raw_scores GROUP BY a, b, label, fold),
+predictions AS (SELECT f.*, (g.t - h.t + 1) / CAST(g.n - h.n + 2 AS DOUBLE) AS prior FROM scored f
+  JOIN (SELECT fold, count(*) AS n, count(*) FILTER (label) AS t FROM examples GROUP BY fold) h USING (fold)
+  CROSS JOIN (SELECT count(*) AS n, count(*) FILTER (label) AS t FROM examples) g)"""
 _CONFUSION = """conf AS (SELECT count(*) AS n, count(*) FILTER (prediction AND label) AS tp,
     count(*) FILTER (prediction AND NOT label) AS fp, count(*) FILTER (NOT prediction AND label) AS fn,
     count(*) FILTER (NOT prediction AND NOT label) AS tn,
@@ -524,6 +559,10 @@ FROM (SELECT *, ((tp + fp)::DOUBLE * (tp + fn) + (fn + tn)::DOUBLE * (fp + tn))
         _CONFUSION,
         _areas(),
     ),
+    "naive_bayes_predictions": _labelled_sql(
+        "SELECT a, b, label, fold, score, round(prior, 6) AS prior, prediction FROM predictions", _BAYES
+    ),
+    "naive_bayes_class_details": _labelled_sql(_SIDES, _BAYES, _CONFUSION, _areas()),
     "confusion_counts": _predicted_sql(
         "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY label, prediction"
     ),

@@ -341,6 +341,17 @@ def _trained(classifier: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def naive_bayes_predictions(spark, sf_dir):
+    return _rounded(plan(spark, sf_dir).predictions("naive_bayes"))
+
+
+def naive_bayes_class_details(spark, sf_dir):
+    """Over scores of six digits, so that equal ones are equal in any order of sums."""
+    predictions = plan(spark, sf_dir).predictions("naive_bayes")
+    predictions = predictions.withColumn("score", F.round("score", 6))
+    return _rounded(evaluate.class_details(predictions))
+
+
 def tree_predictions(spark, sf_dir):
     """Pairs with their label and the prediction of the tree that did not see them."""
     return plan(spark, sf_dir).predictions("decision_tree")
@@ -397,7 +408,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_predictions": tree_predictions,
     "tree_summary": tree_summary,
     "tree_class_details": _trained("decision_tree"),
-    "naive_bayes_class_details": _trained("naive_bayes"),
+    "naive_bayes_predictions": naive_bayes_predictions,
+    "naive_bayes_class_details": naive_bayes_class_details,
     "logistic_class_details": _trained("logistic"),
     "linear_svc_class_details": _trained("linear_svc"),
 }
