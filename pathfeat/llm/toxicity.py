@@ -7,9 +7,9 @@ terms are counted over all documents.
 
 The examples lie in an inverted index whose posting lists are cut into blocks of
 examples, each with the largest weight of its term. A document's terms and these maxima
-bound the cosine with any example of a block; blocks are read in descending order of the
-bound until the k-th best cosine found reaches it, so the neighbours are exact. The
-votes of the neighbours, weighted by distance, go through a logistic curve fitted on
+bound the cosine with any example of a block. The blocks of the highest bounds are read
+first; of the others only those whose bound reaches the k-th best cosine found, so the
+neighbours are exact. The votes of the neighbours, weighted by distance, go through a logistic curve fitted on
 votes that leave the example itself out, and give a score, with the neighbours as
 evidence.
 
@@ -92,13 +92,17 @@ class Vocabulary:
 def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.ndarray:
     """Rows of the sample without those that share much of their sketch with an earlier
     one: else the words of a copied document would look like signs of its label."""
+    sketches = []
     raw, offsets = _lower(pa.array(sample.texts, pa.string()))
-    starts, ends, first = word_spans(raw, offsets, IS_WORD)
-    h = span_hashes(raw, starts, ends)
+    for lo, hi in blocks(offsets, _BLOCK_BYTES):
+        part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        starts, ends, first = word_spans(part, at, IS_WORD)
+        h = mixed(span_hashes(part, starts, ends))
+        edges = zip(first.tolist(), first[1:].tolist())
+        sketches += [np.unique(h[a:b])[:sketch].tolist() for a, b in edges]
     seen: dict[int, list[int]] = {}
     kept = []
-    for i in range(len(sample.texts)):
-        own = np.unique(mixed(h[first[i] : first[i + 1]]))[:sketch].tolist()
+    for i, own in enumerate(sketches):
         count: dict[int, int] = {}
         for x in own:
             for j in seen.get(x, ()):
@@ -111,36 +115,29 @@ def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.nda
 
 
 def _significant(
-    texts: pa.Array, labels: np.ndarray, most: int, least_gain: float
+    texts: pa.Array, labels: np.ndarray, most: int, least_gain: float, least_held: int = 3
 ) -> np.ndarray:
     """Hashes of the terms that label 1 holds more often, by the G statistic."""
     raw, offsets = _lower(texts)
-    held: list[list[np.ndarray]] = [[], []]
-    for lo, hi in blocks(offsets, _BLOCK_BYTES):
-        at = offsets[lo : hi + 1] - offsets[lo]
-        parts = [*_terms(raw[offsets[lo] : offsets[hi]], at)]
-        row = np.concatenate([r for r, _ in parts])
-        h = np.concatenate([x for _, x in parts])
-        order = np.lexsort([h, row])
-        row, h = row[order], h[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-        for value in (0, 1):
-            held[value].append(h[new & (labels[row + lo] == value)])
-    values, counts = [], []
-    for value in (0, 1):
-        own = np.concatenate([np.zeros(0, np.uint64), *held[value]])
-        v, c = np.unique(own, return_counts=True)
-        values.append(v)
-        counts.append(c)
     n = [int((labels == value).sum()) for value in (0, 1)]
     if not min(n):
         return np.zeros(0, np.uint64)
-    one = counts[1].astype(float)
-    place = np.minimum(np.searchsorted(values[0], values[1]), max(len(values[0]) - 1, 0))
+    # Label 1 first; of label 0 only the terms that are left are counted.
+    values, one = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for h in _held(raw, offsets, labels == 1):
+        both, place = np.unique(np.concatenate([values, h]), return_inverse=True)
+        one = np.bincount(place[: len(values)], one, len(both)) + np.bincount(
+            place[len(values) :], minlength=len(both)
+        )
+        values = both
+    often = one >= least_held
+    values, one = values[often], one[often].astype(float)
     zero = np.zeros(len(one))
-    if len(values[0]):
-        zero = np.where(values[0][place] == values[1], counts[0][place], 0).astype(float)
+    if not len(values):
+        return values
+    for h in _held(raw, offsets, labels == 0):
+        place = np.minimum(np.searchsorted(values, h), len(values) - 1)
+        zero += np.bincount(place[values[place] == h], minlength=len(values))
     total = one + zero
     gain = np.zeros(len(one))
     for observed, size in ((one, n[1]), (zero, n[0])):
@@ -152,7 +149,23 @@ def _significant(
             gain[some] += 2 * part[some] * np.log(part[some] / expected[some])
     ok = np.flatnonzero((gain >= least_gain) & (one / n[1] > zero / n[0]))
     ok = ok[np.argsort(-gain[ok], kind="stable")][:most]
-    return np.sort(values[1][ok])
+    return np.sort(values[ok])
+
+
+def _held(raw: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> Iterator[np.ndarray]:
+    """The terms of the texts asked for, each once per text, block by block."""
+    for lo, hi in blocks(offsets, _BLOCK_BYTES):
+        at = offsets[lo : hi + 1] - offsets[lo]
+        parts = [*_terms(raw[offsets[lo] : offsets[hi]], at)]
+        row = np.concatenate([r for r, _ in parts])
+        h = np.concatenate([x for _, x in parts])
+        own = which[row + lo]
+        row, h = row[own], h[own]
+        order = np.lexsort([h, row])
+        row, h = row[order], h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+        yield h[new]
 
 
 @dataclass
@@ -182,12 +195,10 @@ class Index:
         by = np.lexsort([place[rows], terms])
         self.post_example, self.post_weight = place[rows][by], weight[by]
         terms = terms[by]
-        width = self.blocks + 1
-        slot = terms * width + self.post_example // self.block
-        self.post_at = np.searchsorted(slot, np.arange((len(self.idf) + 1) * width + 1)).astype(np.int64)
+        self.post_block = self.post_example // self.block
+        self.post_at = np.searchsorted(terms, np.arange(len(self.idf) + 2))
         self.most = np.zeros((len(self.idf) + 1, max(self.blocks, 1)))
-        np.maximum.at(self.most, (terms, self.post_example // self.block), self.post_weight)
-        self.width = width
+        np.maximum.at(self.most, (terms, self.post_block), self.post_weight)
         return self
 
     def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
@@ -202,24 +213,34 @@ class Index:
     ) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples.
 
-        ``leave`` is an example to leave out, by its place in ``ids``."""
+        ``leave`` is an example to leave out, by its place in ``ids``. The blocks of the
+        highest bounds give a first k-th best cosine; then all blocks whose bound reaches
+        it are read at once."""
         bound = weight @ self.most[terms]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < cosine[-1] - 1e-9):
-                break
-            score = np.zeros(self.block)
-            for t, w in zip(terms.tolist(), weight.tolist()):
-                lo, hi = self.post_at[t * self.width + b], self.post_at[t * self.width + b + 1]
-                score[self.post_example[lo:hi] - b * self.block] += w * self.post_weight[lo:hi]
+        begin, size = self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms]
+        place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+        example, block = self.post_example[place], self.post_block[place]
+        part = self.post_weight[place] * np.repeat(weight, size)
+
+        def read(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keep = which[block]
+            score = np.bincount(example[keep], part[keep], minlength=len(self.ids))
             some = np.flatnonzero(score)
-            found = self.order[some + b * self.block]
-            keep = found != leave
-            best = np.concatenate([best, found[keep]])
-            cosine = np.round(np.concatenate([cosine, score[some[keep]]]), 12)
-            by = np.lexsort([self.ids[best], -cosine])[:k]
-            best, cosine = best[by], cosine[by]
-        return best, cosine
+            found = self.order[some]
+            some, found = some[found != leave], found[found != leave]
+            cosine = np.round(score[some], 12)
+            if len(found) > k:
+                least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+                found, cosine = found[cosine >= least], cosine[cosine >= least]
+            by = np.lexsort([self.ids[found], -cosine])[:k]
+            return found[by], cosine[by]
+
+        first = np.zeros(len(bound), bool)
+        first[np.argsort(-bound, kind="stable")[: 2 + k // self.block]] = True
+        best, cosine = read(first)
+        least = cosine[-1] - 1e-9 if len(best) == k else 0.0
+        rest = (bound > 0) & (bound >= least)
+        return (best, cosine) if not (rest & ~first).any() else read(rest | first)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """Share of label 1 among neighbours; a nearer one and a rarer label count more."""
