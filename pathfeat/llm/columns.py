@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Odd multipliers with well mixed bits (the fractional bits of square roots of primes).
 _MIX_1 = np.uint64(0xBB67AE8584CAA73B)
@@ -133,6 +134,11 @@ def row_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+def schema_after(first: StructField, fields: str) -> StructType:
+    """A schema of one column as it is, nullability within it included, and new ones."""
+    return StructType([first, *StructType.fromDDL(fields).fields])
+
+
 def column(df: DataFrame, name: str, alias: str | None = None) -> Column:
     """A column by its exact name, also where the name holds dots."""
     return F.col("`" + name.replace("`", "``") + "`").alias(alias or name)

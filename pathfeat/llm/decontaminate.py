@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, lowered, row_of, span_hashes, text_bytes, word_spans
+from .columns import blocks, column, lowered, row_of, schema_after, span_hashes, text_bytes, word_spans
 from .fm_index import FMIndex
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 
-_SHARD_BYTES = 1 << 25
+_SHARD_BYTES = 1 << 23
 _BLOCK_BYTES = 1 << 19
 _FILTER_BITS = 22
 
@@ -244,8 +244,9 @@ def _searched(
     text: str,
     item_key: str,
     item_text: str,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """``row``, a struct of the carried columns, and the results."""
+    """``row``, a struct of the carried columns, the text if asked for, and the results."""
     items = benchmark.select(
         column(benchmark, item_key).cast("string").alias("item"),
         column(benchmark, item_text, "text"),
@@ -256,15 +257,16 @@ def _searched(
     source = docs.select(
         F.struct(*[column(docs, c) for c in carried]).alias("row"), column(docs, text, "text")
     )
-    row_type = source.schema["row"].dataType.simpleString()
+    row = source.schema["row"]
     for b in range(n_blocks):
         own = [(r.item, r.text) for r in items.where(block == b).collect()]
         windows = docs.sparkSession.sparkContext.broadcast(Windows.of(own, window))
         last = b == n_blocks - 1
         fields = _RESULT if last else _STATE
-        schema = f"row {row_type}, {fields}" if last else f"row {row_type}, text string, {fields}"
+        texts = keep_text or not last
+        schema = schema_after(row, ("text string, " if texts else "") + fields)
         names = [f.split()[0] for f in fields.split(", ")]
-        source = source.mapInArrow(_searcher(windows, b > 0, last, share, names), schema)
+        source = source.mapInArrow(_searcher(windows, b > 0, last, share, names, texts), schema)
     return source
 
 
@@ -300,22 +302,23 @@ def decontaminated(
 ) -> DataFrame:
     """``docs`` with the spans cut from the texts of contaminated documents; nothing is
     put in a span's place, and all other rows and columns stay as they are."""
+    others = [c for c in docs.columns if c != text]
     found = _searched(
-        docs, docs.columns, benchmark, window, share, block_bytes, text, item_key, item_text
+        docs, others, benchmark, window, share, block_bytes, text, item_key, item_text, keep_text=True
     )
-    whole = F.encode(F.col("row")[text], "utf-8")
+    whole = F.encode("text", "utf-8")
     gaps = F.zip_with(
         F.concat(F.array(F.lit(0)), F.col("span_ends")),
         F.concat(F.col("span_starts"), F.array(F.octet_length(whole))),
         lambda a, b: F.decode(F.substr(whole, a + 1, b - a), "utf-8"),
     )
-    left = F.when(F.col("contaminated"), F.array_join(gaps, "")).otherwise(F.col("row")[text])
+    left = F.when(F.col("contaminated"), F.array_join(gaps, "")).otherwise(F.col("text"))
     return found.select(
         *[left.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
     )
 
 
-def _searcher(shared, stated: bool, last: bool, share: int, names: list[str]):
+def _searcher(shared, stated: bool, last: bool, share: int, names: list[str], texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows: Windows = shared.value
         windows.prepare()
@@ -328,7 +331,7 @@ def _searcher(shared, stated: bool, last: bool, share: int, names: list[str]):
                     state = [pa.concat_arrays([part.column(c)]) for c in ("starts", "ends", "items")]
                 out = _results(part.column("text"), state, windows, last, share)
                 head = {"row": part.column("row")}
-                if not last:
+                if texts:
                     head["text"] = part.column("text")
                 yield pa.RecordBatch.from_arrays([*head.values(), *out], names=[*head, *names])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import column
+from .columns import column, schema_after
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
@@ -271,8 +271,8 @@ def main_texts(
                 names=["row", "text", "n_chars"],
             )
 
-    kind = source.schema["row"].dataType.simpleString()
-    found = source.mapInArrow(run, f"row {kind}, text string, n_chars bigint")
+    schema = schema_after(source.schema["row"], "text string, n_chars bigint")
+    found = source.mapInArrow(run, schema)
     return found.select(
         F.col("row")[key].alias(key), F.col("row")[url].alias(url), "text", "n_chars"
     )

@@ -245,14 +245,11 @@ def fit(
 
 
 def _scorer(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = shared.value.score(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(score, pa.float64())], names=["row", "score"]
-            )
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array(shared.value.score(batch), pa.float64())
 
-    return run
+    return F.arrow_udf(score, "double")
 
 
 def quality(
@@ -265,9 +262,8 @@ def quality(
     """``row``, a struct of the carried columns (the key alone unless said otherwise),
     and ``score``, the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(
+    # Only the texts go to Python.
+    return docs.select(
         F.struct(*[column(docs, c) for c in (carry or [key])]).alias("row"),
-        column(docs, text, "text"),
+        _scorer(shared)(column(docs, text)).alias("score"),
     )
-    row_type = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(_scorer(shared), f"row {row_type}, score double")

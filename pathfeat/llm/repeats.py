@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, mixed, row_of, span_hashes, text_bytes
+from .columns import blocks, column, mixed, row_of, schema_after, span_hashes, text_bytes
 from .suffixes import common_prefixes, sort_suffixes
 
 _PART = 16
@@ -378,8 +378,8 @@ def repeats_removed(
     kinds = {"kept": "binary", "kept_sha256": "string", "kept_text": "string"}
     kinds |= dict.fromkeys(("n_bytes", "n_removed", "n_spans"), "bigint")
     kinds |= dict.fromkeys(("span_starts", "span_ends"), "array<int>")
-    row_type = grouped.schema["row"].dataType
-    schema = f"row {row_type.simpleString()}, " + ", ".join(f"{c} {kinds[c]}" for c in outputs)
+    fields = ", ".join(f"{c} {kinds[c]}" for c in outputs)
+    schema = schema_after(grouped.schema["row"], fields)
     cut = grouped.groupBy("grp").cogroup(marks.groupBy("grp"))
     return cut.applyInArrow(_cutter(outputs), schema)
 
@@ -390,10 +390,19 @@ def without_repeats(
     """``docs`` with the repeated bytes cut from the texts; a document of which nothing
     but white space is left goes, if it lost something. Bytes of a character that a cut
     runs through go too."""
+    void = "void"
+    while void in docs.columns:
+        void += "_"
+    others = [c for c in docs.columns if c != text]
     cut = repeats_removed(
-        docs, length, key=key, text=text, carry=docs.columns, outputs=("n_removed", "kept_text")
+        docs.withColumn(void, column(docs, text).isNull()),
+        length,
+        key=key,
+        text=text,
+        carry=[*others, void],
+        outputs=("n_removed", "kept_text"),
     )
-    left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row")[text])
+    left = F.when(~F.col("row")[void], F.col("kept_text"))
     gone = (F.col("n_removed") > 0) & (F.trim("kept_text") == "")
     return cut.where(~gone).select(
         *[left.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]

@@ -356,21 +356,18 @@ def fit(
 
 
 def _scorer(shared, evidence: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for batch in batches:
-            score, ids, cosines = model.score(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    pa.array(score, pa.float64()),
-                    pa.array([x[:evidence] for x in ids], pa.list_(pa.int64())),
-                    pa.array([x[:evidence] for x in cosines], pa.list_(pa.float64())),
-                ],
-                names=["row", "score", "neighbours", "cosines"],
-            )
+    kind = pa.struct(
+        [("score", pa.float64()), ("neighbours", pa.list_(pa.int64())), ("cosines", pa.list_(pa.float64()))]
+    )
 
-    return run
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found, ids, cosines = shared.value.score(batch)
+            ids, cosines = ([x[:evidence] for x in own] for own in (ids, cosines))
+            parts = [pa.array(x, f.type) for x, f in zip((found, ids, cosines), kind)]
+            yield pa.StructArray.from_arrays(parts, fields=[*kind])
+
+    return F.arrow_udf(score, "score double, neighbours array<bigint>, cosines array<double>")
 
 
 def toxicity(
@@ -384,12 +381,9 @@ def toxicity(
     """``row``, a struct of the carried columns (the key alone unless said otherwise),
     ``score``, and as evidence the ids and cosines of the nearest examples."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Only the texts go to Python.
     source = docs.select(
         F.struct(*[column(docs, c) for c in (carry or [key])]).alias("row"),
-        column(docs, text, "text"),
-    )
-    row_type = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(
-        _scorer(shared, evidence),
-        f"row {row_type}, score double, neighbours array<bigint>, cosines array<double>",
+        _scorer(shared, evidence)(column(docs, text)).alias("found"),
     )
+    return source.select("row", "found.score", "found.neighbours", "found.cosines")
