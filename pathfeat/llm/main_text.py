@@ -211,6 +211,10 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         return ""
     usable = [not any(n.aside and not n.void for n in _above(node)) for _, _, node in page.lines]
     ratios = [len(t) / max(1, tags) if ok else 0.0 for (t, tags, _), ok in zip(page.lines, usable)]
+    if not any(usable):
+        # Marks on everything say nothing; tags still do.
+        usable = [not any(n.tag in _ASIDE for n in _above(node)) for _, _, node in page.lines]
+        ratios = [len(t) / max(1, k) if ok else 0.0 for (t, k, _), ok in zip(page.lines, usable)]
     if not any(usable):
         return ""
     smooth = _smoothed([sqrt(r) for r in ratios], sigma)

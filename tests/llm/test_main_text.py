@@ -22,6 +22,7 @@ LONG = "a sentence of the article that goes on for quite a while, word after wor
         (f"<ul><li><a>x</a><li><a>y</a></ul><div><p>{LONG}</p><p>mid</p><p>{LONG}</p></div><div class=cookie-notice>{LONG}</div>", f"{LONG.strip()} mid {LONG.strip()}"),
         (f"<article><p>teaser</p></article><article><p>{LONG}</p></article>", LONG.strip()),
         ("</div></p><article>only</b></article>", "only"),
+        (f"<body><div class='has-sidebar'><p>{LONG}</p></div></body>", LONG.strip()),
         ("<article><!-- no --><p>a</p><form>no<input></form><p hidden>no</p><p>b</p></article>", "a b"),
     ],
 )
