@@ -1,20 +1,21 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are lower-cased words and their beginnings of 3 to 6 bytes. The model is fitted on
-a bounded sample of labelled documents, of which near copies count once: it keeps the
-terms that toxic examples hold significantly more often. Document frequencies of these
-terms are counted over all documents.
-
-The examples lie in an inverted index whose posting lists are cut into blocks of
-examples, each with the largest weight of its term. A document's terms and these maxima
-bound the cosine with any example of a block. The blocks of the highest bounds are read
-first; of the others only those whose bound reaches the k-th best cosine found, so the
-neighbours are exact. The votes of the neighbours, weighted by distance, go through a logistic curve fitted on
-votes that leave the example itself out, and give a score, with the neighbours as
-evidence.
+The model is fitted on a bounded sample of labelled documents. Near copies
+count once. Terms are all lower-cased words of the
+examples; words that none of them holds are ignored, but count in the density. Words and
+their beginnings of 3 to 6 bytes that toxic examples hold significantly more often are a
+lexicon: they weigh more, and decide nothing else. Document frequencies are counted over
+all documents.
+
+The products of a batch of texts with all examples are computed in single precision: by
+a dense matrix for common terms, by posting lists for the others. Examples that reach the
+k-th largest one, less what rounding can do, get their cosine in double precision, so the
+neighbours are exact. The votes of the neighbours, weighted by distance, go through a
+logistic curve fitted on votes that leave the example itself out, and give a score, with
+the neighbours as evidence.
 
 Defined results: a text without any of the terms (a null or empty one too) has no
-neighbours and gets the share of toxic examples among such; ties of cosine go to the
+neighbours and gets the share of toxic examples among such, or among all if there are none; ties of cosine go to the
 example of smaller id; a null id counts as not held out; repeated rows are scored each;
 an empty table gives no rows; without labels of both kinds the score is the share of
 toxic ones, 0 if there are none; columns other than those named are ignored.
@@ -40,7 +41,9 @@ IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 _BLOCK_BYTES = 1 << 19
 _FILTER_BITS = 20
 _BEGINNINGS = (3, 4, 5, 6)
-_REST = 2.0
+_REST = 16.0
+_LEXICON = 4.0
+_QUERIES = 128
 
 
 def _terms(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -71,22 +74,24 @@ class Vocabulary:
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, term and frequency per word of the terms in texts, in this order."""
         raw, offsets = _lower(texts)
-        rows, terms = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        words = np.zeros(len(texts), np.int64)
+        rows, terms, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for lo, hi in blocks(offsets, _BLOCK_BYTES) if len(self.hashes) else ():
             at = offsets[lo : hi + 1] - offsets[lo]
+            own = []
             for k, (row, h) in enumerate(_terms(raw[offsets[lo] : offsets[hi]], at)):
                 if k == 0:
-                    words[lo:hi] = np.bincount(row, minlength=hi - lo)
+                    words = np.bincount(row, minlength=hi - lo)
                 maybe = self.seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
                 row, h = row[maybe], h[maybe]
                 place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
                 ok = self.hashes[place] == h
-                rows.append(row[ok] + lo)
-                terms.append(place[ok])
-        width = max(1, len(self.hashes))
-        both, n = np.unique(np.concatenate(rows) * width + np.concatenate(terms), return_counts=True)
-        return both // width, both % width, n / words[both // width]
+                own.append(row[ok] * len(self.hashes) + place[ok])
+            both, n = np.unique(np.concatenate(own), return_counts=True)
+            row = both // len(self.hashes)
+            rows.append(row + lo)
+            terms.append(both % len(self.hashes))
+            counts.append(n / words[row])
+        return np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)
 
 
 def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.ndarray:
@@ -114,6 +119,16 @@ def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.nda
     return np.array(kept, np.int64)
 
 
+def _words(texts: pa.Array) -> np.ndarray:
+    """Hashes of all words of the texts."""
+    raw, offsets = _lower(texts)
+    found = [np.zeros(0, np.uint64)]
+    for lo, hi in blocks(offsets, _BLOCK_BYTES):
+        at = offsets[lo : hi + 1] - offsets[lo]
+        found.append(np.unique(next(_terms(raw[offsets[lo] : offsets[hi]], at))[1]))
+    return np.unique(np.concatenate(found))
+
+
 def _significant(
     texts: pa.Array, labels: np.ndarray, most: int, least_gain: float, least_held: int = 3
 ) -> np.ndarray:
@@ -170,40 +185,41 @@ def _held(raw: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> Iterator[n
 
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors, searched for their largest cosines."""
+    """Unit vectors of the examples, searched for their largest cosines."""
 
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
     idf: np.ndarray
-    block: int = 64
+    common: int = 16
 
     def build(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Index:
-        """Examples in the order of their heaviest term, so that blocks are alike."""
+        """Vectors by example, and by term: a dense row for a term that at least one in
+        ``common`` examples holds, a posting list for any other."""
         n = len(self.ids)
         weight, rest = self.unit(rows, terms, counts, n)
-        heaviest = np.zeros(n, np.int64)
-        by = np.lexsort([weight, rows])
-        heaviest[rows[by]] = terms[by]
         rows = np.concatenate([rows, np.arange(n)])
         terms = np.concatenate([terms, np.full(n, len(self.idf))])
         weight = np.concatenate([weight, rest])
-        self.order = np.lexsort([self.ids, heaviest])
-        place = np.empty(n, np.int64)
-        place[self.order] = np.arange(n)
-        self.blocks = -(-n // self.block)
-        by = np.lexsort([place[rows], terms])
-        self.post_example, self.post_weight = place[rows][by], weight[by]
-        terms = terms[by]
-        self.post_block = self.post_example // self.block
-        self.post_at = np.searchsorted(terms, np.arange(len(self.idf) + 2))
-        self.most = np.zeros((len(self.idf) + 1, max(self.blocks, 1)))
-        np.maximum.at(self.most, (terms, self.post_block), self.post_weight)
+        by = np.lexsort([terms, rows])
+        self.terms, self.weight = terms[by], weight[by]
+        self.at = np.searchsorted(rows[by], np.arange(n + 1))
+        held = np.bincount(terms, minlength=len(self.idf) + 1)
+        often = np.flatnonzero(self.common * held >= max(n, 1))
+        self.dense_row = np.full(len(held), -1, np.int64)
+        self.dense_row[often] = np.arange(len(often))
+        own = self.dense_row[terms] >= 0
+        self.dense = np.zeros((len(often), n), np.float32)
+        self.dense[self.dense_row[terms[own]], rows[own]] = weight[own]
+        rows, terms, weight = rows[~own], terms[~own], weight[~own]
+        by = np.lexsort([rows, terms])
+        self.post_example, self.post_weight = rows[by], weight[by]
+        self.post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
         return self
 
     def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of the terms of n unit vectors, and of the rest of each text: one more
-        component, so that the cosine tells rare use of a term from dense use."""
+        """Weights of the terms of n unit vectors, and of one more component that all
+        texts have, so that the cosine tells rare use of a term from dense use."""
         weight = np.log1p(200 * counts) * self.idf[terms]
         norm = np.sqrt(np.bincount(rows, weight * weight, minlength=n) + _REST * _REST)
         return weight / norm[rows], _REST / norm
@@ -211,36 +227,52 @@ class Index:
     def nearest(
         self, terms: np.ndarray, weight: np.ndarray, k: int, leave: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples.
-
-        ``leave`` is an example to leave out, by its place in ``ids``. The blocks of the
-        highest bounds give a first k-th best cosine; then all blocks whose bound reaches
-        it are read at once."""
-        bound = weight @ self.most[terms]
-        begin, size = self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms]
+        """Places and cosines of the k nearest examples; ``leave`` is one to leave out."""
+        at = np.array([0, len(terms)])
+        return self.nearest_of_each(at, terms, weight, k, np.array([leave]))[0]
+
+    def nearest_of_each(
+        self, at: np.ndarray, terms: np.ndarray, weight: np.ndarray, k: int, leave: np.ndarray
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for a batch of queries, the terms of each from ``at`` on."""
+        m, n = len(at) - 1, len(self.ids)
+        query = row_of(at)
+        column = self.dense_row[terms]
+        own = column >= 0
+        block = np.zeros((m, len(self.dense)), np.float32)
+        block[query[own], column[own]] = weight[own]
+        score = block @ self.dense
+        own = np.flatnonzero(~own)
+        begin = self.post_at[terms[own]]
+        size = self.post_at[terms[own] + 1] - begin
         place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
-        example, block = self.post_example[place], self.post_block[place]
-        part = self.post_weight[place] * np.repeat(weight, size)
-
-        def read(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            keep = which[block]
-            score = np.bincount(example[keep], part[keep], minlength=len(self.ids))
-            some = np.flatnonzero(score)
-            found = self.order[some]
-            some, found = some[found != leave], found[found != leave]
-            cosine = np.round(score[some], 12)
-            if len(found) > k:
-                least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
-                found, cosine = found[cosine >= least], cosine[cosine >= least]
-            by = np.lexsort([self.ids[found], -cosine])[:k]
-            return found[by], cosine[by]
-
-        first = np.zeros(len(bound), bool)
-        first[np.argsort(-bound, kind="stable")[: 2 + k // self.block]] = True
-        best, cosine = read(first)
-        least = cosine[-1] - 1e-9 if len(best) == k else 0.0
-        rest = (bound > 0) & (bound >= least)
-        return (best, cosine) if not (rest & ~first).any() else read(rest | first)
+        cell = np.repeat(query[own] * n, size) + self.post_example[place]
+        part = self.post_weight[place] * np.repeat(weight[own], size)
+        score += np.bincount(cell, part, minlength=m * n).reshape(m, n)
+        left_out = np.flatnonzero(leave >= 0)
+        score[left_out, leave[left_out]] = 0
+        # Two products of unit vectors are off by this at most, each by half of it.
+        slack = 2 * (len(self.dense) + 8) * 2.0**-24 + 1e-9
+        least = np.zeros(m)
+        if n > k:
+            least = np.partition(score, n - k, axis=1)[:, n - k] - slack
+        dense = np.zeros(len(self.idf) + 1)
+        found = []
+        for q in range(m):
+            near = np.flatnonzero((score[q] >= least[q]) & (score[q] > 0))
+            mine = slice(at[q], at[q + 1])
+            dense[terms[mine]] = weight[mine]
+            size = self.at[near + 1] - self.at[near]
+            edge = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) + np.repeat(self.at[near] - edge, size)
+            cosine = np.zeros(0)
+            if len(near):
+                cosine = np.add.reduceat(dense[self.terms[place]] * self.weight[place], edge)
+            cosine = np.round(cosine, 12)
+            by = np.lexsort([self.ids[near], -cosine])[:k]
+            found.append((near[by], cosine[by]))
+            dense[terms[mine]] = 0
+        return found
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """Share of label 1 among neighbours; a nearer one and a rarer label count more."""
@@ -272,11 +304,20 @@ def _searches(index: Index, rows, terms, counts, n: int, k: int, leave: bool = F
     if not len(rows) or not len(index.ids):
         return
     weight, rest = index.unit(rows, terms, counts, n)
-    cut = np.flatnonzero(np.diff(rows, prepend=-1))
-    for a, b in zip(cut.tolist(), np.append(cut[1:], len(rows)).tolist()):
-        r = int(rows[a])
-        own, w = np.append(terms[a:b], len(index.idf)), np.append(weight[a:b], rest[r])
-        yield r, *index.nearest(own, w, k, r if leave else -1)
+    having = np.unique(rows)
+    rows = np.concatenate([rows, having])
+    terms = np.concatenate([terms, np.full(len(having), len(index.idf))])
+    weight = np.concatenate([weight, rest[having]])
+    by = np.argsort(rows, kind="stable")
+    rows, terms, weight = rows[by], terms[by], weight[by]
+    for lo in range(0, len(having), _QUERIES):
+        own = having[lo : lo + _QUERIES]
+        at = np.searchsorted(rows, np.append(own, own[-1] + 1))
+        part = slice(at[0], at[-1])
+        out = own if leave else np.full(len(own), -1)
+        best = index.nearest_of_each(at - at[0], terms[part], weight[part], k, out)
+        for r, (places, cosine) in zip(own.tolist(), best):
+            yield r, places, cosine
 
 
 def _curve(curve: tuple[float, float], vote: float) -> float:
@@ -312,14 +353,16 @@ def fit(
     text: str = "text",
     label: str = "toxic",
 ) -> Model:
-    """Fit on at most ``per_class`` labelled documents of each kind and ``most_terms``
-    terms of a G statistic of ``least_gain`` or more."""
+    """Fit on at most ``per_class`` labelled documents of each kind, with a lexicon of at
+    most ``most_terms`` terms of a G statistic of ``least_gain`` or more."""
     sample = labelled_sample(docs, labels, label, learnable, per_class, key, text)
     kept = _first_of_copies(sample)
     texts = pa.array([sample.texts[i] for i in kept], pa.string())
     y, weights = sample.labels[kept], sample.weights[kept]
     ids = np.array([sample.ids[i] for i in kept], np.int64)
-    vocabulary = Vocabulary(_significant(texts, y, most_terms, least_gain))
+    lexicon = _significant(texts, y, most_terms, least_gain)
+    both_kinds = len(np.unique(y)) == 2
+    vocabulary = Vocabulary(np.union1d(_words(texts), lexicon) if both_kinds else lexicon)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     found = (
         docs.select(column(docs, text, "text"))
@@ -332,6 +375,7 @@ def fit(
     n_docs = frequency.get(-1, 0)
     idf = np.array([frequency.get(t, 0) for t in range(len(vocabulary.hashes))], float)
     idf = np.log((n_docs + 1) / (idf + 1)) + 1
+    idf[np.searchsorted(vocabulary.hashes, lexicon)] *= _LEXICON
 
     rows, terms, counts = vocabulary.counts(texts)
     having = np.unique(rows)

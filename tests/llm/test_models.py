@@ -96,3 +96,18 @@ def test_logistic():
     y = (rnd.uniform(0, 1, 4000) < 1 / (1 + np.exp(-(6 * x - 3)))).astype(float)
     slope, constant = fit_logistic(x, y, np.ones(4000), ridge=1e-6)
     assert abs(slope - 6) < 0.6 and abs(constant + 3) < 0.4
+
+
+def test_copy_of_a_rare_example_finds_it(spark):
+    docs, labels = corpus("toxic")
+    rnd = random.Random(9)
+    rare = " ".join("".join(rnd.choices("klmnopq", k=7)) for _ in range(40))
+    docs = [*docs, (9000, rare), (9001, rare)]
+    labels = [*labels, (9000, 0, 1)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = toxicity.fit(
+        d, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), F.lit(True)
+    )
+    (found,) = toxicity.toxicity(d.where("doc_id = 9001"), model).collect()
+    assert found.neighbours[0] == 9000 and found.cosines[0] == pytest.approx(1)
+    assert found.score >= 0.7
