@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-The model is fitted on a bounded sample of labelled documents. Near copies
-count once. Terms are all lower-cased words of the
+The model is fitted on a bounded sample of labelled documents. Of near copies of one
+label the first stands for all, with their weight. Terms are all lower-cased words of the
 examples; words that none of them holds are ignored, but count in the density. Words and
 their beginnings of 3 to 6 bytes that toxic examples hold significantly more often are a
 lexicon: they weigh more, and decide nothing else. Document frequencies are counted over
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import blocks, column, mixed, row_of, span_hashes, text_bytes, word_spans
+from .minhash import shingle_sets
 from .sampling import Sample, fit_logistic, labelled_sample
 
 IS_WORD = np.zeros(256, bool)
@@ -94,29 +95,50 @@ class Vocabulary:
         return np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)
 
 
-def _first_of_copies(sample: Sample, sketch: int = 8, shared: int = 4) -> np.ndarray:
-    """Rows of the sample without those that share much of their sketch with an earlier
-    one: else the words of a copied document would look like signs of its label."""
-    sketches = []
-    raw, offsets = _lower(pa.array(sample.texts, pa.string()))
+def _first_of_copies(
+    sample: Sample, alike: tuple[int, int] = (4, 5), width: int = 5
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the sample without near copies of an earlier one of the same label, and
+    their weights, those of their copies included.
+
+    Near copies are equal texts, or texts whose sets of shingles of ``width`` words are
+    ``alike`` or more. Such sets share one of their rarest shingles, of which each set
+    has as many as the other may lack, and one more; pairs that do are compared."""
+    top, bottom = alike
+    raw, offsets = text_bytes(pa.array(sample.texts, pa.string()))
+    sets: list[np.ndarray] = []
     for lo, hi in blocks(offsets, _BLOCK_BYTES):
-        part, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        starts, ends, first = word_spans(part, at, IS_WORD)
-        h = mixed(span_hashes(part, starts, ends))
-        edges = zip(first.tolist(), first[1:].tolist())
-        sketches += [np.unique(h[a:b])[:sketch].tolist() for a, b in edges]
-    seen: dict[int, list[int]] = {}
+        part = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        values, edge = shingle_sets(*part, width)
+        sets += [values[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
+    known, often = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+    weights = sample.weights.astype(float)
+    texts: dict[tuple, int] = {}
+    seen: dict[tuple, list[int]] = {}
     kept = []
-    for i, own in enumerate(sketches):
-        count: dict[int, int] = {}
-        for x in own:
-            for j in seen.get(x, ()):
-                count[j] = count.get(j, 0) + 1
-        if not own or max(count.values(), default=0) < min(shared, len(own)):
-            kept.append(i)
-            for x in own:
-                seen.setdefault(x, []).append(i)
-    return np.array(kept, np.int64)
+    for i, own in enumerate(sets):
+        label = int(sample.labels[i])
+        first = texts.setdefault((label, sample.texts[i]), i)
+        rare: list[int] = []
+        if first == i and len(own):
+            rarest = np.argsort(often[np.searchsorted(known, own)], kind="stable")
+            rare = own[rarest[: len(own) - -(-top * len(own) // bottom) + 1]].tolist()
+            for j in sorted({j for x in rare for j in seen.get((label, x), ())}):
+                few, many = sorted((len(own), len(sets[j])))
+                if bottom * few < top * many:
+                    continue
+                shared = np.intersect1d(own, sets[j], assume_unique=True).size
+                if bottom * shared >= top * (few + many - shared):
+                    first = texts[label, sample.texts[i]] = j
+                    break
+        if first != i:
+            weights[first] += weights[i]
+            continue
+        kept.append(i)
+        for x in rare:
+            seen.setdefault((label, x), []).append(i)
+    places = np.array(kept, np.int64)
+    return places, weights[places]
 
 
 def _words(texts: pa.Array) -> np.ndarray:
@@ -356,9 +378,9 @@ def fit(
     """Fit on at most ``per_class`` labelled documents of each kind, with a lexicon of at
     most ``most_terms`` terms of a G statistic of ``least_gain`` or more."""
     sample = labelled_sample(docs, labels, label, learnable, per_class, key, text)
-    kept = _first_of_copies(sample)
+    kept, weights = _first_of_copies(sample)
     texts = pa.array([sample.texts[i] for i in kept], pa.string())
-    y, weights = sample.labels[kept], sample.weights[kept]
+    y = sample.labels[kept]
     ids = np.array([sample.ids[i] for i in kept], np.int64)
     lexicon = _significant(texts, y, most_terms, least_gain)
     both_kinds = len(np.unique(y)) == 2

@@ -7,7 +7,7 @@ from cases import AWKWARD
 from pyspark.sql import functions as F
 
 from pathfeat.llm import quality, toxicity
-from pathfeat.llm.sampling import fit_logistic, labelled_sample
+from pathfeat.llm.sampling import Sample, fit_logistic, labelled_sample
 
 INSULTS = ["vexlark", "vexlorn", "grubnik"]
 
@@ -111,3 +111,63 @@ def test_copy_of_a_rare_example_finds_it(spark):
     (found,) = toxicity.toxicity(d.where("doc_id = 9001"), model).collect()
     assert found.neighbours[0] == 9000 and found.cosines[0] == pytest.approx(1)
     assert found.score >= 0.7
+
+
+def _sample(rows):
+    ids, texts, labels = zip(*rows)
+    return Sample([*ids], [*texts], np.array(labels), np.arange(1.0, len(rows) + 1))
+
+
+def test_unrelated_texts_are_no_copies():
+    rnd = np.random.default_rng(3)
+    share = 1 / np.arange(1, 2001)
+    rows = []
+    for i in range(300):
+        words = rnd.choice(2000, 400, p=share / share.sum())
+        rows.append((i, " ".join(f"w{'abcdefghij'[w % 10]}{np.base_repr(w, 26).translate(LETTERS)}" for w in words), i % 2))
+    kept, weights = toxicity._first_of_copies(_sample(rows))
+    assert kept.tolist() == [*range(300)] and weights.tolist() == [*range(1, 301)]
+
+
+LETTERS = str.maketrans("0123456789ABCDEFGHIJKLMNOPQ", "zabcdefghijklmnopqrstuvwxyy")
+
+
+def test_near_copies_of_one_label_count_once():
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(100)]
+    text, other = " ".join(words), " ".join(words[::-1])
+    rows = [
+        (1, text, 0),
+        (2, text, 0),
+        (3, f"vexlark {text}", 1),  # the clean text but for an insult
+        (4, f"{text} grubnik", 0),
+        (5, " ".join([*words[:80], *words[:20]]), 0),  # 76 of 100 shingles, below 4/5
+        (6, other, 0),
+        (7, "", 0),
+        (8, "", 0),
+        (9, "vexlark", 1),
+        (10, "vexlark you", 1),
+    ]
+    kept, weights = toxicity._first_of_copies(_sample(rows))
+    assert [rows[i][0] for i in kept] == [1, 3, 5, 6, 7, 9, 10]
+    assert weights.tolist() == [1 + 2 + 4, 3, 5, 6, 7 + 8, 9, 10]
+    assert weights.sum() == sum(range(1, 11))
+
+
+def test_copies_by_brute_force():
+    rnd = random.Random(8)
+    base = [["".join(rnd.choices("abcdef", k=5)) for _ in range(60)] for _ in range(6)]
+    rows = []
+    for i in range(150):
+        words = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 4)):
+            words[rnd.randrange(60)] = "new" + rnd.choice("abcdefgh")
+        rows.append((i, " ".join(words), rnd.randint(0, 1)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(56)} for _, t, _ in rows]
+    want = []
+    for i, (_, text, label) in enumerate(rows):
+        same = [j for j in want if rows[j][2] == label]
+        if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in same):
+            want.append(i)
+    kept, weights = toxicity._first_of_copies(_sample(rows))
+    assert kept.tolist() == want and weights.sum() == sum(range(1, 151))
