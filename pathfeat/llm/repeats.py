@@ -5,18 +5,22 @@ with a smaller id. Strings are judged on the texts as given; they never cross do
 
 1. The strings that start at neighbouring places mostly share the same least hash of
    their 16-byte parts, so a document falls into short runs of starts with one such key.
-   Equal strings have equal keys. A key goes to its shard once per group of documents;
-   shards answer which keys more than one document holds.
-2. The runs with such keys are sent to their shards with the bytes they need. Equal runs
-   of a group are settled inside it, and only those of its least document are sent, so
-   any number of copies costs a shard one run per group.
+   Equal strings have equal keys. A key goes to its shard once per group of documents,
+   with the number of its runs; shards answer which keys more than one document holds,
+   and which of them are crowded: have more than ``most_runs`` runs in all.
+2. The runs with such keys are sent to their shards with the bytes they need. Runs of a
+   crowded key, those around a common phrase, are cut into single starts first, and dealt
+   by the hash of their whole string. Equal runs of a group are settled inside it, and
+   only those of its least document are sent, so copies cost a shard one run per group.
 3. A shard sorts the suffixes of its runs in two stages (see ``suffixes``), computes
    adjacent common prefixes, and marks the strings whose least document is another one.
 4. Every document's marks are merged and its text is cut.
 
-The documents are dealt by their id into groups of about ``group_bytes``, and the
-groups are read by three of these steps from one shuffle. The number of shards grows
-with the groups, so neither grows with the input.
+The documents are dealt by their id and text into groups of about ``group_bytes``, and
+the groups are read by three of these steps from one shuffle. The number of shards grows
+with the groups, so neither grows with the input, but for rows that are equal in id and
+text, and for equal strings, of which each group sends those of one document. Rows
+without an id are cut, that is, kept whole, where they are read.
 
 Defined results: a null text is empty, and texts shorter than ``length`` keep all bytes;
 a row without an id loses nothing and takes nothing from others; rows that repeat an id
@@ -27,7 +31,7 @@ carried whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +45,10 @@ _PART = 16
 _BLOCK_BYTES = 1 << 18
 _LOW = np.uint64(0xFFFFFFFF)
 _CODEC = "zstd"
+_MOST = np.iinfo(np.uint16).max
 
-_KEYS = "shard int, grp int, keys binary, several binary"
+_KEYS = "shard int, grp int, keys binary, several binary, runs binary"
+_ANSWERS = "shard int, grp int, keys binary, crowded binary"
 _SENT = "shard int, grp int, settled boolean, payload binary, size bigint"
 _MARKS = "grp int, payload binary, size bigint"
 
@@ -101,21 +107,15 @@ def _sorted_rows(table: pa.Table) -> pa.Table:
 
 
 def _with_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes and offsets with rows without an id emptied, and the ids."""
-    key = table.column("key").combine_chunks()
+    """Bytes, offsets and ids of the rows."""
     raw, offsets = text_bytes(table.column("text"))
-    ids = key.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    if key.null_count:
-        keep = np.asarray(key.is_valid())
-        raw = raw[np.repeat(keep, np.diff(offsets))]
-        offsets = np.concatenate([[0], np.cumsum(np.where(keep, np.diff(offsets), 0))])
-    return raw, offsets, ids
+    return raw, offsets, table.column("key").to_numpy().astype(np.int64)
 
 
 def _key_sender(length: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
         raw, offsets, ids = _with_ids(table)
-        row, _, _, keys = _runs(raw, offsets, length)
+        row, first, final, keys = _runs(raw, offsets, length)
         shard = _shards_of(keys, shards)
         low = keys & _LOW
         order = np.lexsort([ids[row], low, shard])
@@ -127,12 +127,29 @@ def _key_sender(length: int, shards: int):
         if len(at):
             last = np.append(at[1:], len(low)) - 1
             several = owner[at] != owner[last]
+        # Of each key, the runs that would be sent; a long one counts as several.
+        of_key = np.empty(len(order), np.int64)
+        of_key[order] = np.cumsum(new) - 1
+        more = np.flatnonzero(np.bincount(of_key)[of_key] > 1)
+        weight = -(-(final - first + 1) // (length - _PART + 1))
+        content = _content(raw, offsets, row[more], first[more], final[more], length)
+        weight[more[_later(ids[row[more]], content)]] = 0
+        runs = np.minimum(np.bincount(of_key, weight, len(at)), _MOST).astype(np.uint16)
         shard, low = shard[at], low[at].astype(np.uint32)
         cut = np.flatnonzero(np.diff(shard, prepend=-1))
         edges = np.append(cut, len(shard)).tolist()
         grp = table.column("grp")[0].as_py()
-        rows = [(int(shard[a]), grp, low[a:b].tobytes(), np.packbits(several[a:b]).tobytes()) for a, b in zip(edges, edges[1:])]
-        return _table(rows, [pa.int32(), pa.int32(), pa.binary(), pa.binary()], _KEYS)
+        rows = [
+            (
+                int(shard[a]),
+                grp,
+                low[a:b].tobytes(),
+                np.packbits(several[a:b]).tobytes(),
+                runs[a:b].tobytes(),
+            )
+            for a, b in zip(edges, edges[1:])
+        ]
+        return _table(rows, [pa.int32(), pa.int32(), *[pa.binary()] * 3], _KEYS)
 
     return run
 
@@ -143,23 +160,36 @@ def _table(rows: list[tuple], kinds: list[pa.DataType], schema: str) -> pa.Table
     return pa.Table.from_arrays(columns, names=names)
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """For each group the keys of this shard that more than one document holds."""
-    parts = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
-    flags = [
-        np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)).astype(bool)
-        for x, p in zip(table.column("several").to_pylist(), parts)
-    ]
-    low, several = np.concatenate(parts), np.concatenate(flags)
-    values, count = np.unique(low, return_counts=True)
-    shared = np.union1d(values[count > 1], low[several])
-    rows = []
-    shard = table.column("shard")[0].as_py()
-    for grp, own in zip(table.column("grp").to_pylist(), parts):
-        own = own[_contains(shared, own)]
-        if len(own):
-            rows.append((shard, grp, own.tobytes(), b""))
-    return _table(rows, [pa.int32(), pa.int32(), pa.binary(), pa.binary()], _KEYS)
+def _answer(most_runs: int):
+    """For each group the keys of this shard that more than one document holds, and
+    which of them have more than ``most_runs`` runs."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
+        several = np.concatenate(
+            [_flags(x, len(p)) for x, p in zip(table.column("several").to_pylist(), parts)]
+        )
+        runs = np.concatenate(
+            [np.frombuffer(x, np.uint16) for x in table.column("runs").to_pylist()]
+        )
+        low = np.concatenate(parts)
+        values, of, count = np.unique(low, return_inverse=True, return_counts=True)
+        shared = np.union1d(values[count > 1], low[several])
+        crowded = values[np.bincount(of, runs) > most_runs]
+        rows = []
+        shard = table.column("shard")[0].as_py()
+        for grp, own in zip(table.column("grp").to_pylist(), parts):
+            own = own[_contains(shared, own)]
+            if len(own):
+                flags = np.packbits(_contains(crowded, own))
+                rows.append((shard, grp, own.tobytes(), flags.tobytes()))
+        return _table(rows, [pa.int32(), pa.int32(), pa.binary(), pa.binary()], _ANSWERS)
+
+    return run
+
+
+def _flags(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
 
 def _contains(members: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -200,18 +230,24 @@ def _run_sender(length: int, shards: int):
             np.frombuffer(k, np.uint32).astype(np.uint64) | np.uint64(s << 32)
             for s, k in zip(answers.column("shard").to_pylist(), answers.column("keys").to_pylist())
         ]
-        keep = np.flatnonzero(_contains(np.sort(np.concatenate(shared)), full))
+        flags = [_flags(x, len(k)) for x, k in zip(answers.column("crowded").to_pylist(), shared)]
+        shared, flags = np.concatenate(shared), np.concatenate(flags)
+        keep = np.flatnonzero(_contains(np.sort(shared), full))
         row, first, last, shard = row[keep], first[keep], last[keep], shard[keep]
+
+        # Runs of crowded keys are cut into single starts.
+        crowded = _contains(np.sort(shared[flags]), full[keep])
+        starts = np.where(crowded, last - first + 1, 1)
+        of = np.repeat(np.arange(len(keep)), starts)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(starts) - starts, starts)
+        row, shard, crowded = row[of], shard[of], crowded[of]
+        first, last = first[of] + step, last[of]
+        last[crowded] = first[crowded]
         content = _content(raw, offsets, row, first, last, length)
+        shard[crowded] = _shards_of(content[crowded], shards)
 
         # Equal runs: those of a later document are settled here.
-        order = np.lexsort([row, content])
-        same = np.zeros(len(order), bool)
-        same[1:] = content[order][1:] == content[order][:-1]
-        group = np.cumsum(~same) - 1
-        least = ids[row[order]][np.flatnonzero(~same)]
-        settled = np.zeros(len(order), bool)
-        settled[order] = ids[row[order]] > least[group]
+        settled = _later(ids[row], content)
         grp = table.column("grp")[0].as_py()
         rows = []
         here = np.flatnonzero(settled)
@@ -240,6 +276,17 @@ def _run_sender(length: int, shards: int):
     return run
 
 
+def _later(ids: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Whether the same content has a smaller id."""
+    order = np.lexsort([ids, content])
+    same = np.zeros(len(order), bool)
+    same[1:] = content[order][1:] == content[order][:-1]
+    least = ids[order][np.flatnonzero(~same)]
+    later = np.zeros(len(order), bool)
+    later[order] = ids[order] > least[np.cumsum(~same) - 1]
+    return later
+
+
 def _content(raw, offsets, row, first, last, length) -> np.ndarray:
     """Hashes of the bytes of the runs, block by block."""
     out = np.zeros(len(row), np.uint64)
@@ -300,43 +347,55 @@ def _cutter(outputs: tuple[str, ...]):
     def run(table: pa.Table, marks: pa.Table) -> pa.Table:
         if table.num_rows:
             table = _sorted_rows(table)
-        raw, offsets = text_bytes(table.column("text"))
-        gone = np.zeros(len(raw) + 1, np.int32)
-        for payload, size in zip(marks.column("payload").to_pylist(), marks.column("size").to_pylist()):
-            row, lo, hi, _ = _unpacked(payload, size, [np.int32] * 3)
-            np.add.at(gone, offsets[row] + lo, 1)
-            np.add.at(gone, offsets[row] + hi, -1)
-        flags = np.cumsum(gone[:-1]) > 0
-        before = np.append(False, flags[:-1])
-        before[offsets[:-1][offsets[:-1] < len(raw)]] = False
-        opens = np.flatnonzero(flags & ~before)
-        closes = np.flatnonzero(flags & ~np.append(flags[1:], False)) + 1
-        ends = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(raw))]
-        closes = np.union1d(closes, ends[flags[ends - 1]])
-        runs = np.searchsorted(opens, offsets)
-        kept = raw[~flags].tobytes()
-        kept_at = np.concatenate([[0], np.cumsum(~flags)])[offsets]
-        pieces = [kept[a:b] for a, b in zip(kept_at.tolist(), kept_at[1:].tolist())]
-        rows = row_of(runs)
-        n = np.diff(offsets)
-        edges = pa.array(runs, pa.int32())
-        columns = {
-            "row": table.column("row"),
-            "n_bytes": pa.array(n, pa.int64()),
-            "n_removed": pa.array(n - np.diff(kept_at), pa.int64()),
-            "n_spans": pa.array(np.diff(runs), pa.int64()),
-            "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()),
-            "kept": pa.array(pieces, pa.binary()),
-            "kept_text": pa.array([p.decode(errors="ignore") for p in pieces], pa.string()),
-            "span_starts": pa.ListArray.from_arrays(edges, pa.array(opens - offsets[rows], pa.int32())),
-            "span_ends": pa.ListArray.from_arrays(edges, pa.array(closes - offsets[rows], pa.int32())),
-        }
-        names = ["row", *outputs]
-        return pa.Table.from_arrays([columns[c] for c in names], names=names)
+        return _cut(table, zip(*(marks.column(c).to_pylist() for c in ("payload", "size"))), outputs)
+
+    return run
+
+
+def _keeper(outputs: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _cut(pa.Table.from_batches([batch]), (), outputs).to_batches()
 
     return run
 
 
+def _cut(table: pa.Table, marks: Iterable[tuple[bytes, int]], outputs: tuple[str, ...]) -> pa.Table:
+    raw, offsets = text_bytes(table.column("text"))
+    gone = np.zeros(len(raw) + 1, np.int32)
+    for payload, size in marks:
+        row, lo, hi, _ = _unpacked(payload, size, [np.int32] * 3)
+        np.add.at(gone, offsets[row] + lo, 1)
+        np.add.at(gone, offsets[row] + hi, -1)
+    flags = np.cumsum(gone[:-1]) > 0
+    before = np.append(False, flags[:-1])
+    before[offsets[:-1][offsets[:-1] < len(raw)]] = False
+    opens = np.flatnonzero(flags & ~before)
+    closes = np.flatnonzero(flags & ~np.append(flags[1:], False)) + 1
+    ends = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(raw))]
+    closes = np.union1d(closes, ends[flags[ends - 1]])
+    runs = np.searchsorted(opens, offsets)
+    kept = raw[~flags].tobytes()
+    kept_at = np.concatenate([[0], np.cumsum(~flags)])[offsets]
+    pieces = [kept[a:b] for a, b in zip(kept_at.tolist(), kept_at[1:].tolist())]
+    rows = row_of(runs)
+    n = np.diff(offsets)
+    edges = pa.array(runs, pa.int32())
+    columns = {
+        "row": table.column("row"),
+        "n_bytes": pa.array(n, pa.int64()),
+        "n_removed": pa.array(n - np.diff(kept_at), pa.int64()),
+        "n_spans": pa.array(np.diff(runs), pa.int64()),
+        "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()),
+        "kept": pa.array(pieces, pa.binary()),
+        "kept_text": pa.array([p.decode(errors="ignore") for p in pieces], pa.string()),
+        "span_starts": pa.ListArray.from_arrays(edges, pa.array(opens - offsets[rows], pa.int32())),
+        "span_ends": pa.ListArray.from_arrays(edges, pa.array(closes - offsets[rows], pa.int32())),
+    }
+    names = ["row", *outputs]
+    return pa.Table.from_arrays([columns[c] for c in names], names=names)
+
+
 def repeats_removed(
     docs: DataFrame,
     length: int = 50,
@@ -345,6 +404,7 @@ def repeats_removed(
     text: str = "text",
     carry: list[str] | None = None,
     outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"),
+    most_runs: int = 1 << 15,
 ) -> DataFrame:
     """``row``, a struct of the carried columns (the key alone unless said otherwise),
     and the outputs asked for: ``n_bytes, n_removed, n_spans, kept_sha256``, the
@@ -360,15 +420,16 @@ def repeats_removed(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(parts, -(-total // group_bytes))
     parts = max(parts, groups // 8)
-    grouped = docs.select(
-        F.pmod(F.xxhash64(column(docs, key)), F.lit(groups)).cast("int").alias("grp"),
+    source = docs.select(
         column(docs, key, "key").cast("bigint").alias("key"),
         F.coalesce(column(docs, text), F.lit("")).alias("text"),
         F.struct(*[column(docs, c) for c in (carry or [key])]).alias("row"),
-    ).repartition(parts, "grp")
+    )
+    group = F.pmod(F.xxhash64("key", "text"), F.lit(groups)).cast("int").alias("grp")
+    grouped = source.where(F.col("key").isNotNull()).select(group, "*").repartition(parts, "grp")
 
     keys = grouped.groupBy("grp").applyInArrow(_key_sender(length, groups), _KEYS)
-    answers = keys.groupBy("shard").applyInArrow(_answer, _KEYS)
+    answers = keys.groupBy("shard").applyInArrow(_answer(most_runs), _ANSWERS)
     sent = (
         grouped.groupBy("grp")
         .cogroup(answers.groupBy("grp"))
@@ -379,9 +440,12 @@ def repeats_removed(
     kinds |= dict.fromkeys(("n_bytes", "n_removed", "n_spans"), "bigint")
     kinds |= dict.fromkeys(("span_starts", "span_ends"), "array<int>")
     fields = ", ".join(f"{c} {kinds[c]}" for c in outputs)
-    schema = schema_after(grouped.schema["row"], fields)
+    schema = schema_after(source.schema["row"], fields)
     cut = grouped.groupBy("grp").cogroup(marks.groupBy("grp"))
-    return cut.applyInArrow(_cutter(outputs), schema)
+    loose = source.where(F.col("key").isNull()).select("row", "text")
+    return cut.applyInArrow(_cutter(outputs), schema).union(
+        loose.mapInArrow(_keeper(outputs), schema)
+    )
 
 
 def without_repeats(

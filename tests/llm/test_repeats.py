@@ -2,10 +2,14 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from cases import AWKWARD
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from pathfeat.llm import repeats
 from pathfeat.llm.repeats import repeats_removed, without_repeats
 from pathfeat.llm.suffixes import common_prefixes, sort_suffixes
 
@@ -90,3 +94,44 @@ def test_texts_are_cut(spark):
         if not r[2] or left.strip(" "):
             want.append((key, left))
     assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted(want, key=str)
+
+
+def test_crowded_keys_are_dealt_by_whole_strings(spark):
+    rows = documents()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for most_runs in (0, 3, 40):
+        got = repeats_removed(df.repartition(5), 50, 700, outputs=OUTPUTS, most_runs=most_runs)
+        got = [(r.row.doc_id, *[r[c] for c in OUTPUTS]) for r in got.collect()]
+        assert sorted(got, key=str) == sorted([r[:7] for r in brute(rows, 50)], key=str)
+
+
+def test_a_common_phrase_spreads_over_shards():
+    rnd = random.Random(5)
+    phrase = "all of these words stand in every page "
+    texts = [
+        "".join(rnd.choices("abcdefgh", k=60)) + phrase + "".join(rnd.choices("abcdefgh", k=60))
+        for _ in range(600)
+    ]
+    tables = [
+        pa.table({"grp": [g] * 200, "key": [*range(g, 600, 3)], "text": texts[g::3]}) for g in range(3)
+    ]
+    keys = pa.concat_tables([repeats._key_sender(50, 32)(t) for t in tables])
+    answer = repeats._answer(100)
+    shards = sorted(set(keys.column("shard").to_pylist()))
+    answers = pa.concat_tables([answer(keys.filter(pc.equal(keys["shard"], s))) for s in shards])
+    runs = {}
+    for g, table in enumerate(tables):
+        sent = repeats._run_sender(50, 32)(table, answers.filter(pc.equal(answers["grp"], g)))
+        for r in sent.to_pylist():
+            first = repeats._unpacked(r["payload"], r["size"], [np.int64, *[np.int32] * 3])[0]
+            runs[r["shard"]] = runs.get(r["shard"], 0) + len(first)
+    assert max(runs.values()) < sum(runs.values()) / 8
+
+
+def test_rows_without_an_id_stay_where_they_are(spark):
+    df = spark.range(1000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("x" * 80).alias("text"))
+    out = repeats_removed(df.repartition(8), 50, outputs=("n_removed",))
+    parts = out.select(F.spark_partition_id().alias("p"), "n_removed").groupBy("p", "n_removed").count()
+    found = parts.collect()
+    assert sum(r["count"] for r in found) == 1000 and {r.n_removed for r in found} == {0}
+    assert max(r["count"] for r in found) < 500
