@@ -250,7 +250,7 @@ def _searched(
     items = benchmark.select(
         column(benchmark, item_key).cast("string").alias("item"),
         column(benchmark, item_text, "text"),
-    ).where(F.length("text") > 0)
+    ).where(F.length("text") > 0).distinct()
     total = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))

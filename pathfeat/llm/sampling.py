@@ -31,8 +31,9 @@ def labelled_sample(
     """At most ``per_class`` documents of each label, those of least hash.
 
     ``learnable`` is a condition on the column ``key`` of the labels that says which of
-    them may be used. An id with several labels has the larger one. The ids of the
-    sample are of bounded number, so they are broadcast, and only its texts come here.
+    them may be used. An id with several labels has the larger one, one with several texts
+    the largest. The ids of the sample are of bounded number, so they are broadcast, and
+    only one text of each comes here.
     """
     known = (
         labels.select(column(labels, key, "key"), column(labels, label, "label"))
@@ -47,8 +48,8 @@ def labelled_sample(
         part = part.orderBy(F.xxhash64("key"), "key").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     source = docs.select(column(docs, key, "key"), column(docs, text, "text"))
-    rows = source.join(F.broadcast(chosen), "key").collect()
-    rows = sorted({r.key: r for r in sorted(rows, key=lambda r: r.text or "")}.values())
+    found = source.join(F.broadcast(chosen), "key").groupBy("key", "label")
+    rows = sorted(found.agg(F.max("text").alias("text")).collect(), key=lambda r: r.key)
     found = np.array([r.label for r in rows], np.int64)
     weights = np.ones(len(rows))
     for value in (0, 1):

@@ -115,3 +115,14 @@ def test_empty_tables(spark, empty, tables):
     assert contamination(empty, b).collect() == []
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert all(r.n_hit == 0 and not r.contaminated for r in contamination(d, none).collect())
+
+
+def test_repeated_items_are_collected_once(spark, tables, monkeypatch):
+    docs, items, d, b = tables
+    many = b.union(spark.createDataFrame([(3, "one two three four", 3)] * 400, b.schema))
+    sizes, collect = [], type(b).collect
+    monkeypatch.setattr(type(b), "collect", lambda df: (found := collect(df), sizes.append(len(found)))[0])
+    contamination(d, many, window=4, share=3, block_bytes=60)
+    assert 0 < max(sizes) < 20
+    monkeypatch.undo()
+    assert rows(contamination(d, many, window=4, share=3)) == brute(docs, [*items, (3, "one two three four")], 4, 3)

@@ -171,3 +171,12 @@ def test_copies_by_brute_force():
             want.append(i)
     kept, weights = toxicity._first_of_copies(_sample(rows))
     assert kept.tolist() == want and weights.sum() == sum(range(1, 151))
+
+
+def test_sample_takes_one_row_of_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    sizes, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: (rows := collect(df), sizes.append(len(rows)))[0])
+    sample = labelled_sample(docs, labels, "toxic", F.lit(True), 10)
+    assert (sample.ids, sample.texts) == ([1, 2], ["text 99", ""]) and max(sizes) == 2
