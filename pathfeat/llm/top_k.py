@@ -49,12 +49,15 @@ class Block:
     """Queries of one length, with the best results of a task so far."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.levels = [_statistics(vectors, s) for s in _RESOLUTIONS]
+        self.ids, self.whole, self.k = ids, vectors, k
+        self.vectors = vectors.astype(np.float64)
+        self.levels = [_statistics(self.vectors, s) for s in _RESOLUTIONS]
         self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, whole: np.ndarray) -> None:
+        vectors = whole.astype(np.float64)
         levels = [_statistics(vectors, s) for s in _RESOLUTIONS]
+        largest = _largest(whole) * _largest(self.whole) * whole.shape[1]
         # Products of equal statistics can exceed a bound by rounding only.
         slack = 1e-6 * (1 + np.abs(vectors).max() * np.abs(self.vectors).max() * vectors.shape[1])
         coarse = levels[0] @ self.levels[0].T
@@ -66,11 +69,24 @@ class Block:
                 left = left[theirs[left] @ mine[q] >= least]
             if not len(left):
                 continue
-            score = np.rint(vectors[left] @ self.vectors[q]).astype(np.int64)
+            # Exact in doubles, in 64 bits, or in Python's integers.
+            if largest < 1 << 53:
+                score = np.rint(vectors[left] @ self.vectors[q]).astype(np.int64)
+            else:
+                kind = np.int64 if largest < 1 << 63 else object
+                score = whole[left].astype(kind) @ self.whole[q].astype(kind)
             have = np.concatenate([have, ids[left]])
             scores = np.concatenate([scores, score])
-            order = np.lexsort([have, -scores])[: self.k]
-            self.best[q] = have[order], scores[order]
+            if scores.dtype == object:
+                order = np.array(sorted(range(len(have)), key=lambda i: (-scores[i], have[i])))
+            else:
+                order = np.lexsort([have, -scores])
+            self.best[q] = have[order[: self.k]], scores[order[: self.k]]
+
+
+def _largest(whole: np.ndarray) -> int:
+    """The largest absolute value, exactly."""
+    return max(int(whole.max()), -int(whole.min()))
 
 
 def _searcher(shared, k: int):
@@ -89,15 +105,14 @@ def _searcher(shared, k: int):
                 for n in np.unique(size).tolist():
                     if n in found:
                         own = np.flatnonzero(size == n)
-                        vectors = flat[begin[own][:, None] + np.arange(n)].astype(np.float64)
-                        found[n].add(ids[own], vectors)
+                        found[n].add(ids[own], flat[begin[own][:, None] + np.arange(n)])
         for block in found.values():
             sizes = [len(b[0]) for b in block.best]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(block.ids, sizes)),
                     pa.array(np.concatenate([b[0] for b in block.best])),
-                    pa.array(np.concatenate([b[1] for b in block.best])),
+                    pa.array(np.concatenate([b[1] for b in block.best]).astype(np.int64)),
                 ],
                 names=["query_id", "vec_id", "score"],
             )
@@ -116,20 +131,26 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k largest products of every query.
 
-    ``is_query`` is a condition on the column ``id``. Scaled components must be below
-    2^20, so that products and sums are exact in doubles.
+    ``is_query`` is a condition on the column ``id``. Products and sums are exact at any
+    size; a scaled component or a score of the result that 64 bits can't hold is an error.
     """
     x = F.col("v")
     usable = F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
     )
+    beyond = F.raise_error(F.lit("a scaled component does not fit 64 bits"))
+
+    def scaled(c: Column) -> Column:
+        fits = F.abs(c * scale) < F.lit(2.0**63)
+        return F.when(fits, F.floor(c * scale).cast("bigint")).otherwise(beyond.cast("bigint"))
+
     whole = (
         vectors.select(
             column(vectors, key).cast("bigint").alias("id"),
             column(vectors, vector).cast("array<double>").alias("v"),
         )
         .where(F.col("id").isNotNull() & x.isNotNull() & usable & (F.size(x) > 0))
-        .select("id", F.transform(x, lambda c: F.floor(c * scale).cast("bigint")).alias("v"))
+        .select("id", F.transform(x, scaled).alias("v"))
     )
     queries = whole.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     n_blocks = max(1, -(-queries.count() // block_rows))
@@ -140,7 +161,7 @@ def top_k(
         for r in queries.where(block == b).orderBy("id").collect():
             by_size.setdefault(len(r.v), []).append(r)
         own = {
-            n: (np.array([r.id for r in rows], np.int64), np.array([r.v for r in rows], np.float64))
+            n: (np.array([r.id for r in rows], np.int64), np.array([r.v for r in rows], np.int64))
             for n, rows in by_size.items()
         }
         shared = vectors.sparkSession.sparkContext.broadcast(own)

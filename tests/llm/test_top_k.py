@@ -35,3 +35,18 @@ def test_top_k(spark, block_rows):
     got = top_k(df.repartition(4), F.col("id") % 10 == 0, 7, block_rows=block_rows)
     assert sorted(map(tuple, got.collect())) == brute(rows, 7, 10)
     assert top_k(df.where("vec_id > 5000"), F.col("id") % 10 == 0, 7).collect() == []
+
+
+def test_large_components_are_exact(spark):
+    rnd = random.Random(7)
+    rows = [(i, [rnd.gauss(0, 1e5) for _ in range(20)]) for i in range(60)]
+    rows += [(100 + i, [1.75e6, -1.75e6, rnd.uniform(0, 1e6)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = top_k(df.repartition(3), F.col("id") % 10 == 0, 7)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 7, 10)
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    df = spark.createDataFrame([(i, [1e300, 1.0]) for i in range(3)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(df, F.col("id") == 0, 2).collect()
