@@ -103,7 +103,8 @@ def _first_of_copies(
 
     Near copies are equal texts, or texts whose sets of shingles of ``width`` words are
     ``alike`` or more. Such sets share one of their rarest shingles, of which each set
-    has as many as the other may lack, and one more; pairs that do are compared."""
+    has as many as the other may lack, and one more; pairs that do are compared. Shingles
+    that one set alone holds need no place in the index."""
     top, bottom = alike
     raw, offsets = text_bytes(pa.array(sample.texts, pa.string()))
     sets: list[np.ndarray] = []
@@ -121,8 +122,10 @@ def _first_of_copies(
         first = texts.setdefault((label, sample.texts[i]), i)
         rare: list[int] = []
         if first == i and len(own):
-            rarest = np.argsort(often[np.searchsorted(known, own)], kind="stable")
-            rare = own[rarest[: len(own) - -(-top * len(own) // bottom) + 1]].tolist()
+            held = often[np.searchsorted(known, own)]
+            rarest = np.argsort(held, kind="stable")
+            rarest = rarest[: len(own) - -(-top * len(own) // bottom) + 1]
+            rare = own[rarest[held[rarest] > 1]].tolist()
             for j in sorted({j for x in rare for j in seen.get((label, x), ())}):
                 few, many = sorted((len(own), len(sets[j])))
                 if bottom * few < top * many:
@@ -391,12 +394,11 @@ def fit(
         .mapInArrow(_frequencies(shared), "term bigint, n bigint")
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
-        .collect()
+        .toArrow()
     )
-    frequency = {r.term: r.n for r in found}
-    n_docs = frequency.get(-1, 0)
-    idf = np.array([frequency.get(t, 0) for t in range(len(vocabulary.hashes))], float)
-    idf = np.log((n_docs + 1) / (idf + 1)) + 1
+    frequency = np.zeros(len(vocabulary.hashes) + 1)
+    frequency[found["term"].to_numpy() + 1] = found["n"].to_numpy()
+    idf = np.log((frequency[0] + 1) / (frequency[1:] + 1)) + 1
     idf[np.searchsorted(vocabulary.hashes, lexicon)] *= _LEXICON
 
     rows, terms, counts = vocabulary.counts(texts)
