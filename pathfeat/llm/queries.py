@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import quality, toxicity
 from .chat import chat_texts
+from .collocations import collocations
 from .decontaminate import contamination
 from .main_text import main_texts
 from .minhash import near_duplicates
@@ -15,8 +16,10 @@ from .oracles import ORACLES as ORACLES
 from .packing import packed
 from .repeats import repeats_removed
 from .sampling import share
+from .secrets import secret_spans, span_digest
 from .tokens import token_counts
 from .top_k import top_k
+from .whitening import whitened_vectors
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -102,6 +105,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened."""
+    return whitened_vectors(_table(spark, sf_dir, "embeddings"), most=8)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words in each language."""
+    return collocations(_table(spark, sf_dir, "documents"), least=10, most=2000)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, weak ones where their parts meet."""
+    found = span_digest(secret_spans(_table(spark, sf_dir, "documents")))
+    return found.select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -113,4 +132,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_secrets": op13_secrets,
 }
