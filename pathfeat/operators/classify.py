@@ -1,4 +1,9 @@
-"""Cross-validated classifiers on sparse vectors, with Spark ML."""
+"""Cross-validated classifiers on sparse vectors.
+
+Decision trees and naive Bayes come from aggregates over all folds at once; a tree on
+binned counts, logistic regression and a linear support vector machine from Spark ML, one
+fit per fold.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +19,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
     LogisticRegression,
-    NaiveBayes,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -23,7 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..plans.staging import stage
+from .bayes import naive_bayes
 from .numbering import dense_ids
+from .tree import Trees, grow_trees
 
 SPARSE = 0
 
@@ -32,16 +38,18 @@ SPARSE = 0
 class ModelOptions:
     """Limits of the trained models; none of them drops rows.
 
-    max_depth  levels of the decision tree, at most 30
-    max_bins   candidate thresholds per path of the decision tree
+    max_depth  levels of the trees, at most 30 with bins
+    min_leaf   rows that either side of a split must have
+    max_bins   candidate thresholds per path of the binned tree
     max_iter   iterations of the two linear models; a fit that needed them all
                raises a warning
     smoothing  added to every count by naive Bayes
     reg_param  regularisation of the linear support vector machine
-    parallel   folds that are fitted at the same time
+    parallel   folds that Spark ML fits at the same time
     """
 
     max_depth: int = 10
+    min_leaf: int = 2
     max_bins: int = 32
     max_iter: int = 100
     smoothing: float = 1.0
@@ -49,14 +57,15 @@ class ModelOptions:
     parallel: int = 2
 
 
-CLASSIFIERS: dict[str, Callable[[ModelOptions], Estimator]] = {
-    "decision_tree": lambda o: DecisionTreeClassifier(
-        impurity="entropy", maxDepth=o.max_depth, maxBins=o.max_bins, seed=1
+# Estimators of Spark ML, fitted once per fold.
+ESTIMATORS: dict[str, Callable[[ModelOptions], Estimator]] = {
+    "binned_tree": lambda o: DecisionTreeClassifier(
+        impurity="entropy", maxDepth=o.max_depth, maxBins=o.max_bins, minInstancesPerNode=o.min_leaf, seed=1
     ),
-    "naive_bayes": lambda o: NaiveBayes(modelType="multinomial", smoothing=o.smoothing),
     "logistic": lambda o: LogisticRegression(maxIter=o.max_iter),
     "linear_svc": lambda o: LinearSVC(maxIter=o.max_iter, regParam=o.reg_param),
 }
+CLASSIFIERS = ("decision_tree", "naive_bayes", *ESTIMATORS)
 
 
 def _warn_unconverged(model: Model, classifier: str, fold: int, models: ModelOptions) -> None:
@@ -124,17 +133,45 @@ def cross_validate(
     Each vector is predicted by the model trained on the other folds. ``score`` is
     the probability of true (0 or 1 for classifiers without one), ``prior`` the
     share of true in the training folds with one added to either class. The models are
-    fitted when this is called, ``models.parallel`` folds at a time.
+    fitted when this is called.
     """
-    # Both classes are declared, as a small training set may hold only one.
-    classes = {"ml_attr": {"type": "nominal", "name": "target", "vals": ["false", "true"]}}
-    data = ml_vectors(assign_folds(sparse, folds), size).withMetadata("target", classes)
+    if classifier not in CLASSIFIERS:
+        raise ValueError(f"classifier must be one of {', '.join(CLASSIFIERS)}")
+    if classifier in ESTIMATORS:
+        return with_prior(stage(_fitted_per_fold(sparse, size, classifier, folds, models), "predictions"))
+    data, used = _folded(stage(assign_folds(sparse, folds), "folded"))
+    if classifier == "naive_bayes":
+        result = naive_bayes(data, used, size, models.smoothing)
+    else:
+        result = grow_trees(data, used, models.max_depth, models.min_leaf).predictions()
+    return with_prior(stage(result, "predictions"))
+
+
+def decision_trees(
+    sparse: DataFrame, folds: int = 10, models: ModelOptions = ModelOptions()
+) -> Trees:
+    """The trees that ``cross_validate`` predicts with."""
+    data, used = _folded(stage(assign_folds(sparse, folds), "folded"))
+    return grow_trees(data, used, models.max_depth, models.min_leaf)
+
+
+def _folded(data: DataFrame) -> tuple[DataFrame, list[int]]:
     used = [r["fold"] for r in data.select("fold").distinct().orderBy("fold").collect()]
     if len(used) < 2:
         raise ValueError("cross-validation needs vectors in at least two folds")
+    return data, used
+
+
+def _fitted_per_fold(
+    sparse: DataFrame, size: int, classifier: str, folds: int, models: ModelOptions
+) -> DataFrame:
+    """Predictions of Spark ML's models, ``models.parallel`` folds at a time."""
+    # Both classes are declared, as a small training set may hold only one.
+    classes = {"ml_attr": {"type": "nominal", "name": "target", "vals": ["false", "true"]}}
+    data, used = _folded(ml_vectors(assign_folds(sparse, folds), size).withMetadata("target", classes))
 
     def predict(fold: int) -> DataFrame:
-        estimator = CLASSIFIERS[classifier](models)
+        estimator = ESTIMATORS[classifier](models)
         estimator.setFeaturesCol("features").setLabelCol("target")
         model = estimator.fit(data.where(F.col("fold") != fold))
         _warn_unconverged(model, classifier, fold, models)
@@ -148,10 +185,9 @@ def cross_validate(
         score = vector_to_array("probability")[1]
     else:
         score = F.col("prediction")
-    result = predicted.select(
+    return predicted.select(
         "a", "b", "label", "fold", score.alias("score"), (F.col("prediction") == 1).alias("prediction")
     )
-    return with_prior(stage(result, "predictions"))
 
 
 def with_prior(predictions: DataFrame) -> DataFrame:

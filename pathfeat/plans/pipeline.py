@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import vocabulary as voc
-from ..operators.classify import ModelOptions, cross_validate
+from ..operators.classify import ModelOptions, cross_validate, decision_trees
 from ..operators.evaluate import class_details, confusion_samples, summary, weighted_average
 from ..operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
 from ..operators.paths import path_records
@@ -169,6 +169,11 @@ class FeaturePlan:
         with self.staging:
             return cross_validate(self.sparse, size, classifier, folds, models)
 
+    def trees(self, folds: int = 10, models: ModelOptions = ModelOptions()) -> DataFrame:
+        """The nodes of every fold's decision tree, see ``operators.tree``."""
+        with self.staging:
+            return decision_trees(self.sparse, folds, models).table()
+
 
 def run(
     spark: SparkSession,

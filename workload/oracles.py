@@ -51,12 +51,12 @@ def _tagged(word: str, k: str) -> str:
 def _tokens(name: str, pattern: str) -> str:
     """Tokens of all documents in groups of four."""
     return f"""{name}_at AS (
-  SELECT doc_id, ws, unnest(generate_series(1, len(ws))) AS i
+  SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS i
   FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ws FROM documents)),
 {name} AS (
   SELECT doc_id, CAST((i - 1) // 4 AS INT) AS line_no, CAST((i - 1) % 4 + 1 AS INT) AS k, word,
     {_tagged('word', '((i - 1) % 4 + 1)')}
-  FROM (SELECT doc_id, i, ws[i] AS word FROM {name}_at))"""
+  FROM {name}_at)"""
 
 
 TOK = _tokens("tok", r"\p{L}+") + """,
@@ -256,6 +256,63 @@ scored AS (
 predictions AS (SELECT f.*, (g.t - h.t + 1) / CAST(g.n - h.n + 2 AS DOUBLE) AS prior FROM scored f
   JOIN (SELECT fold, count(*) AS n, count(*) FILTER (label) AS t FROM examples GROUP BY fold) h USING (fold)
   CROSS JOIN (SELECT count(*) AS n, count(*) FILTER (label) AS t FROM examples) g)"""
+_PRIORS = """FROM scored f
+  JOIN (SELECT fold, count(*) AS n, count(*) FILTER (label) AS t FROM examples GROUP BY fold) h USING (fold)
+  CROSS JOIN (SELECT count(*) AS n, count(*) FILTER (label) AS t FROM examples) g)"""
+
+
+def _spread(n: str, t: str) -> str:
+    """n times the entropy of n rows of which t are true."""
+    part = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2(CAST({x} AS DOUBLE)) ELSE 0 END"
+    return f"({part(n)} - {part(t)} - {part(f'({n} - {t})')})"
+
+
+def _tree_level(k: int) -> str:
+    """One level of every fold's tree: the rows of all nodes, learnt from or not, their
+    best split, and where it sends them."""
+    return f"""total{k} AS (SELECT tree, node, count(*) AS n, count(*) FILTER (label) AS t
+  FROM place{k} WHERE fold <> tree GROUP BY ALL),
+right{k} AS (SELECT tree, node, id, n AS "at", sum(c) OVER w AS rn, sum(t) OVER w AS rt FROM (
+    SELECT p.tree, p.node, c.id, c.n, count(*) AS c, count(*) FILTER (p.label) AS t
+    FROM place{k} p JOIN held c USING (e) WHERE p.fold <> p.tree GROUP BY ALL)
+  WINDOW w AS (PARTITION BY tree, node, id ORDER BY n DESC)),
+split{k} AS (SELECT tree, node, id, "at", gain FROM (
+    SELECT r.*, round(({_spread("n", "t")} - {_spread("rn", "rt")} - {_spread("(n - rn)", "(t - rt)")}) / n, 12) AS gain
+    FROM right{k} r JOIN total{k} USING (tree, node) WHERE rn >= 2 AND n - rn >= 2)
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, id, "at") = 1),
+place{k + 1} AS (SELECT p.tree, p.e, p.label, p.fold,
+    2 * p.node + CASE WHEN coalesce(c.n, 0) >= s."at" THEN 1 ELSE 0 END AS node
+  FROM place{k} p JOIN split{k} s USING (tree, node)
+  LEFT JOIN held c ON c.e = p.e AND c.id = s.id)"""
+
+
+def _trees(depth: int) -> str:
+    """Entropy trees grown to a depth, and the predictions of the one that left a row out."""
+    levels = ",\n".join(_tree_level(k) for k in range(depth))
+    ends = "\nUNION ALL ".join(
+        f"SELECT * FROM place{k}" + (f" ANTI JOIN split{k} USING (tree, node)" if k < depth else "")
+        for k in range(depth + 1)
+    )
+    totals = "\nUNION ALL ".join(
+        f"SELECT *, {k} AS depth FROM total{k}" for k in range(depth)
+    )
+    return f"""{_BAYES[: _BAYES.index("fold_cells AS")].rstrip().rstrip(",")},
+numbered AS (SELECT *, row_number() OVER (ORDER BY a, b) AS e FROM examples),
+held AS (SELECT e, id, n FROM cell JOIN numbered USING (a, b)),
+place0 AS (SELECT f.fold AS tree, e, label, e.fold, 1::BIGINT AS node
+  FROM (SELECT DISTINCT fold FROM examples) f CROSS JOIN numbered e),
+{levels},
+total{depth} AS (SELECT tree, node, count(*) AS n, count(*) FILTER (label) AS t
+  FROM place{depth} WHERE fold <> tree GROUP BY ALL),
+ends AS ({ends}),
+totals AS ({totals}
+UNION ALL SELECT *, {depth} FROM total{depth}),
+scored AS (SELECT x.a, x.b, x.label, x.fold, t / CAST(n AS DOUBLE) AS score, t / CAST(n AS DOUBLE) > 0.5 AS prediction
+  FROM ends JOIN totals USING (tree, node) JOIN numbered x USING (e) WHERE ends.fold = tree),
+predictions AS (SELECT f.*, (g.t - h.t + 1) / CAST(g.n - h.n + 2 AS DOUBLE) AS prior {_PRIORS}"""
+
+
+_TREES = _trees(10)
 _CONFUSION = """conf AS (SELECT count(*) AS n, count(*) FILTER (prediction AND label) AS tp,
     count(*) FILTER (prediction AND NOT label) AS fp, count(*) FILTER (NOT prediction AND label) AS fn,
     count(*) FILTER (NOT prediction AND NOT label) AS tn,
@@ -383,6 +440,12 @@ WHERE x.noun AND y.noun AND x.word <> y.word{where}""",
     )
 
 
+_SUMMARY = """SELECT n, tp + tn AS correct, fp + fn AS incorrect, round((tp + tn) / n::DOUBLE, 6) AS accuracy,
+  round(((tp + tn) / n::DOUBLE - chance) / (1 - chance), 6) AS kappa, round(mae, 6) AS mae,
+  round(rmse, 6) AS rmse, round(100 * mae / mae0, 6) AS relative_absolute_error,
+  round(100 * rmse / rmse0, 6) AS root_relative_squared_error
+FROM (SELECT *, ((tp + fp)::DOUBLE * (tp + fn) + (fn + tn)::DOUBLE * (fp + tn)) / (n::DOUBLE * n) AS chance FROM conf)"""
+
 ORACLES: dict[str, str] = {
     "parse_arcs": _with(
         _RAW,
@@ -540,11 +603,7 @@ WHERE head <> '' AND NOT slash AND NOT special GROUP BY ALL""",
 FROM predictions"""
     ),
     "cv_summary": _predicted_sql(
-        """SELECT n, tp + tn AS correct, fp + fn AS incorrect, round((tp + tn) / n::DOUBLE, 6) AS accuracy,
-  round(((tp + tn) / n::DOUBLE - chance) / (1 - chance), 6) AS kappa, round(mae, 6) AS mae,
-  round(rmse, 6) AS rmse, round(100 * mae / mae0, 6) AS relative_absolute_error,
-  round(100 * rmse / rmse0, 6) AS root_relative_squared_error
-FROM (SELECT *, ((tp + fp)::DOUBLE * (tp + fn) + (fn + tn)::DOUBLE * (fp + tn)) / (n::DOUBLE * n) AS chance FROM conf)""",
+        _SUMMARY,
         _CONFUSION,
     ),
     "cv_class_details": _predicted_sql(_SIDES, _CONFUSION, _areas()),
@@ -563,6 +622,18 @@ FROM (SELECT *, ((tp + fp)::DOUBLE * (tp + fn) + (fn + tn)::DOUBLE * (fp + tn))
         "SELECT a, b, label, fold, score, round(prior, 6) AS prior, prediction FROM predictions", _BAYES
     ),
     "naive_bayes_class_details": _labelled_sql(_SIDES, _BAYES, _CONFUSION, _areas()),
+    "tree_nodes": _labelled_sql(
+        """SELECT CAST(tree AS INT) AS tree, node, CAST(depth AS INT) AS depth, n, t AS n_true, id, "at", round(gain, 9) AS gain
+FROM totals LEFT JOIN (SELECT * FROM split0 UNION ALL SELECT * FROM split1) USING (tree, node)""",
+        _trees(2),
+    ),
+    "tree_predictions": _labelled_sql(
+        """SELECT a, b, label, fold, round(score, 6) AS score, round(prior, 6) AS prior, prediction
+FROM predictions""",
+        _TREES,
+    ),
+    "tree_summary": _labelled_sql(_SUMMARY, _TREES, _CONFUSION),
+    "tree_class_details": _labelled_sql(_SIDES, _TREES, _CONFUSION, _areas()),
     "confusion_counts": _predicted_sql(
         "SELECT label, prediction, count(*) AS n FROM predictions GROUP BY label, prediction"
     ),

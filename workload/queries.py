@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pathfeat import FeaturePlan, Options
 from pathfeat.functions.stemmer import stem
 from pathfeat.operators import evaluate, features, graph, vocabulary
-from pathfeat.operators.classify import assign_folds, with_prior
+from pathfeat.operators.classify import ModelOptions, assign_folds, with_prior
 from pathfeat.operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
 from pathfeat.operators.paths import path_records
 from pathfeat.operators.stemming import stem_arcs
@@ -352,13 +352,23 @@ def naive_bayes_class_details(spark, sf_dir):
     return _rounded(evaluate.class_details(predictions))
 
 
+def tree_nodes(spark, sf_dir):
+    """The upper two levels of every fold's tree, with the nodes they end in."""
+    nodes = plan(spark, sf_dir).trees(models=ModelOptions(max_depth=2))
+    return nodes.withColumn("gain", F.round("gain", 9))
+
+
 def tree_predictions(spark, sf_dir):
     """Pairs with their label and the prediction of the tree that did not see them."""
-    return plan(spark, sf_dir).predictions("decision_tree")
+    return _rounded(plan(spark, sf_dir).predictions("decision_tree"))
 
 
 def tree_summary(spark, sf_dir):
-    return evaluate.summary(plan(spark, sf_dir).predictions("decision_tree"))
+    return _rounded(evaluate.summary(plan(spark, sf_dir).predictions("decision_tree")))
+
+
+def tree_class_details(spark, sf_dir):
+    return _rounded(evaluate.class_details(plan(spark, sf_dir).predictions("decision_tree")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -407,7 +417,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_samples": confusion_samples,
     "tree_predictions": tree_predictions,
     "tree_summary": tree_summary,
-    "tree_class_details": _trained("decision_tree"),
+    "tree_class_details": tree_class_details,
+    "tree_nodes": tree_nodes,
+    "binned_tree_class_details": _trained("binned_tree"),
     "naive_bayes_predictions": naive_bayes_predictions,
     "naive_bayes_class_details": naive_bayes_class_details,
     "logistic_class_details": _trained("logistic"),
