@@ -2,8 +2,8 @@
 
 The library splits a text into pieces with a fixed pattern and encodes each piece for
 itself, and most pieces of a corpus have been seen before. So the split is done on flat
-arrays, a piece is looked up by its hash in a bounded table, and only pieces that are
-not there go through the library. Texts whose split the arrays can't state (they hold an
+arrays, a piece is looked up by its hash in a bounded table and compared with the piece
+found there, and only pieces that are not there go through the library. Texts whose split the arrays can't state (they hold an
 added token or a code point that Python's Unicode tables don't know) go through the
 library whole, so the ids are the library's in every case.
 """
@@ -31,6 +31,7 @@ _SPACES = (
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 _SLOTS = 1 << 18
+_MOST_POINTS = 1 << 24
 _BLOCK = 1 << 19
 
 
@@ -52,8 +53,8 @@ def _classes() -> np.ndarray:
 class Encoder:
     """Ids of texts by the tokenizers file at ``path``.
 
-    ``most_pieces`` bounds the pieces that are remembered; beyond it the memory starts
-    afresh. It changes the speed only.
+    ``most_pieces`` bounds the pieces that are remembered, as does the length they have
+    together; beyond that the memory starts afresh. It changes the speed only.
     """
 
     def __init__(self, path: str, most_pieces: int = 300_000) -> None:
@@ -85,6 +86,10 @@ class Encoder:
         self.count = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint16)
         self.used = 0
+        # The pieces themselves, by entry.
+        self.points = np.zeros(1 << 14, np.uint32)
+        self.piece = np.zeros((2, 1 << 12), np.int64)
+        self.n_points = self.n_entries = 0
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of UTF-8 bytes, one after the other, and n + 1 id offsets."""
@@ -197,7 +202,7 @@ class Encoder:
         return np.flatnonzero(begin)
 
     def _look_up(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(self.entries) > self.most_pieces:
+        if len(self.entries) > self.most_pieces or self.n_points > _MOST_POINTS:
             self._forget()
         key = span_hashes(points, starts, ends)
         slot = [(key >> np.uint64(40)) & np.uint64(_SLOTS - 1), key & np.uint64(_SLOTS - 1)]
@@ -213,32 +218,64 @@ class Encoder:
             found = np.array([self.entries.get(k, -1) for k in rest.tolist()], np.int64)
             new = np.flatnonzero(found < 0)
             if len(new):
-                found[new] = self._learn(points, starts, ends, miss[where[new]], rest[new])
+                found[new] = self._learn(points, starts, ends, miss[where[new]])
+                self._remember(rest[new], found[new])
             entry[miss] = found[back]
+        other = self._unlike(points, starts, ends, entry)
+        if len(other):
+            # Pieces that share a hash with another one are learnt apart from the table.
+            entry[other] = self._learn(points, starts, ends, other)
         return entry
 
-    def _learn(self, points, starts, ends, which, keys) -> np.ndarray:
-        flat, n = self.pieces(points, starts[which], ends[which])
+    def _unlike(self, points, starts, ends, entry) -> np.ndarray:
+        """Which pieces of a block differ from their entry's. Pieces fill the block."""
+        if not len(starts):
+            return starts
+        begin, size = self.piece[:, entry]
+        place = np.arange(len(points)) + np.repeat(begin - starts, ends - starts)
+        place = np.minimum(place, len(self.points) - 1)
+        same = np.logical_and.reduceat(self.points[place] == points, starts)
+        return np.flatnonzero(~same | (size != ends - starts))
+
+    def _learn(self, points, starts, ends, which) -> np.ndarray:
+        """New entries of some pieces."""
+        starts, ends = starts[which], ends[which]
+        flat, n = self.pieces(points, starts, ends)
         if len(flat) and flat.max() > 0xFFFF and self.ids.dtype == np.uint16:
             self.ids = self.ids.astype(np.uint32)
-        first = len(self.entries)
-        while first + len(n) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        new = np.arange(first, first + len(n))
+        size = ends - starts
+        new = np.arange(self.n_entries, self.n_entries + len(n))
+        self.begin, self.count = (_grown(x, new[-1] + 1) for x in (self.begin, self.count))
+        self.piece = np.stack([_grown(x, new[-1] + 1) for x in self.piece])
+        self.ids = _grown(self.ids, self.used + len(flat))
+        self.points = _grown(self.points, self.n_points + int(size.sum()))
         self.begin[new] = self.used + np.cumsum(n) - n
         self.count[new] = n
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
+        edge = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(starts - edge, size)
+        self.points[self.n_points : self.n_points + len(place)] = points[place]
+        self.piece[0, new], self.piece[1, new] = self.n_points + edge, size
+        self.n_points += len(place)
+        self.n_entries += len(n)
+        return new
+
+    def _remember(self, keys: np.ndarray, new: np.ndarray) -> None:
         self.entries.update(zip(keys.tolist(), new.tolist()))
         for k, where in enumerate((keys >> np.uint64(40), keys)):
             where = (where & np.uint64(_SLOTS - 1)).astype(np.int64)
             free = self.keys[k][where] == 0
             self.keys[k][where[free]] = keys[free]
             self.slots[k][where[free]] = new[free]
-        return new
+
+
+def _grown(x: np.ndarray, least: int) -> np.ndarray:
+    """x with room for so many, its size doubled as often as that takes."""
+    size = len(x)
+    while size < least:
+        size *= 2
+    return x if size == len(x) else np.concatenate([x, np.zeros(size - len(x), x.dtype)])
 
 
 @cache

@@ -59,46 +59,71 @@ def blocks(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+# A Mersenne prime, a base with well mixed bits below it, and the parts of a number.
+_PRIME = np.uint64((1 << 61) - 1)
+_LOW, _SHIFT = np.uint64((1 << 31) - 1), np.uint64(31)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for any 64-bit x."""
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """2^31 x modulo the prime: its 61 bits turned by 31."""
+    return ((x << _SHIFT) & _PRIME) | (x >> np.uint64(30))
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a b modulo the prime, in parts of 31 and 30 bits."""
+    a0, a1, b0, b1 = a & _LOW, a >> _SHIFT, b & _LOW, b >> _SHIFT
+    middle = a1 * b0 + a0 * b1
+    # 2^62 is 2 and 2^61 is 1.
+    high = np.uint64(2) * a1 * b1 + (middle >> np.uint64(30))
+    return _reduced(high + ((middle << _SHIFT) & _PRIME) + _reduced(a0 * b0))
+
+
 def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least n of them."""
+    """Powers of the base and of its inverse modulo the prime, at least n of them."""
     have = _powers.get(0)
     if have is None or len(have[0]) < n:
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        size = 1 << max(16, int(n - 1).bit_length())
+        base, size = int(_BASE) % int(_PRIME), 1 << max(16, int(n - 1).bit_length())
 
-        def table(base: np.uint64) -> np.ndarray:
-            out = np.full(size, base, np.uint64)
-            out[0] = 1
-            return np.multiply.accumulate(out)
+        def table(base: int) -> np.ndarray:
+            out = np.ones(1, np.uint64)
+            while len(out) < size:
+                step = np.uint64(pow(base, len(out), int(_PRIME)))
+                out = np.concatenate([out, _product(out, step)])
+            return out
 
-        have = _powers[0] = table(_BASE), table(inverse)
+        have = _powers[0] = table(base), table(pow(base, -1, int(_PRIME)))
     return have
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans ``values[start:end]``, equal for equal spans.
+    """64-bit hashes of the spans ``values[start:end]`` of bytes or code points, equal for
+    equal spans.
 
-    A polynomial in an odd base modulo 2^64 over mixed values, from prefix sums: every
-    span costs the same whatever its length.
+    A polynomial modulo the prime 2^61 - 1, from prefix sums: every span costs the same
+    whatever its length. Two spans of n values that differ agree for at most n bases.
     """
     n = len(values)
     power, inverse = _base_powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    if values.dtype == np.uint8:
-        terms = _BYTE_MIX[values]
-    else:
-        terms = mixed(values.astype(np.uint64) + np.uint64(1))
-    np.cumsum(terms * power[:n], out=sums[1:])
-    out = (sums[ends] - sums[starts]) * inverse[starts]
+    power, v = power[:n], values.astype(np.uint64) + np.uint64(1)
+    # Values are below 2^21, so the product of a power is one number of 62 bits.
+    high = v * (power >> _SHIFT)
+    terms = ((high & np.uint64((1 << 30) - 1)) << _SHIFT) + (high >> np.uint64(30))
+    terms += v * (power & _LOW)
+    sums = np.zeros((2, n + 1), np.uint64)
+    np.cumsum(terms & _LOW, out=sums[0, 1:])
+    np.cumsum(terms >> _SHIFT, out=sums[1, 1:])
+    low, high = (_reduced(x[ends] - x[starts]) for x in sums)
+    out = _product(_reduced(low + _shifted(high)), inverse[starts])
     return mixed(out + (ends - starts).astype(np.uint64) * _BASE)
 
 
-_BYTE_MIX = mixed(np.arange(1, 257, dtype=np.uint64))
-
-
 def lowered(raw: np.ndarray) -> np.ndarray:
     """A-Z to a-z, every other byte as it is."""
     return _LOWER[raw]
