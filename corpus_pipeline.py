@@ -2,7 +2,11 @@
 
 Each stage takes the documents its predecessor kept and returns the columns of the
 documents, the last one the packed pieces. A stage's result is written and read again
-before the next one starts.
+before the next one starts, and deleted once that one has written its own.
+
+Defined results of every stage: a null text is an empty one, and only packing shows it, as
+a document of its end id alone; an empty table gives no rows; columns beside ``doc_id`` and
+``text`` are carried as they are and read by no stage.
 """
 
 from __future__ import annotations
@@ -18,13 +22,14 @@ from pathfeat.llm.packing import packed
 from pathfeat.llm.queries import TOKENIZER
 from pathfeat.llm.repeats import without_repeats
 from pathfeat.llm.sampling import share
-from pathfeat.plans.staging import stage
+from pathfeat.plans.staging import Staging, stage, staging_root
 
 TOXIC = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below ``TOXIC``."""
+    """Documents whose toxicity is below ``TOXIC``. Rows that repeat an id are each judged
+    by their own text; empty texts have the score of texts without any known word."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels, share("key", 3) != 1, per_class=3000)
     scored = toxicity.toxicity(docs, model, carry=docs.columns)
@@ -40,18 +45,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 50 bytes that documents of smaller id hold."""
+    """Texts without the strings of 50 bytes that documents of smaller id hold. Texts that
+    are cut in the middle of a character lose its remaining bytes; rows without an id and
+    rows of one id take nothing from one another."""
     return without_repeats(docs, length=50)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated texts without the passages they share with the benchmark."""
+    """Contaminated texts without the passages they share with the benchmark. Repeated rows
+    and rows without an id are each searched; an empty benchmark changes nothing."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminated(docs, benchmark, window=13, share=20)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed pieces of what is left."""
+    """Packed pieces of what is left; repeated rows are packed each."""
     return packed(docs, public_tokenizers.path(TOKENIZER), 2048, end_id=1)
 
 
@@ -68,7 +76,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), Staging()
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = step(spark, docs, sf_dir)
+        scope = Staging(staging_root(spark))
+        with scope:
+            docs = stage(kept, f"pipeline-{name}")
+        before.close()
+        before = scope
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,6 +37,10 @@ class Staging:
     def __exit__(self, *_) -> None:
         _scope.reset(self._tokens.pop())
 
+    def add(self, spark: SparkSession, path: str) -> None:
+        """Delete what is at ``path`` as well."""
+        self._paths.append((spark, path))
+
     def close(self) -> None:
         while self._paths:
             spark, path = self._paths.pop()
