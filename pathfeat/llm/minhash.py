@@ -13,11 +13,12 @@ documents are linked if the Jaccard similarity of their sets is at least the thr
    in batches; after each, a pair is dropped once the posterior probability that its
    similarity reaches the threshold is below ``miss``. Survivors are verified exactly
    on their full sets, and confirmed links give components.
-4. Buckets that still span several components are dealt into chunks, and the members of
-   every pair of chunks are compared by the same tests, the exact one in the same task. A
-   task returns only links that join something, so the pairs of a large group are never
-   rows, no link between different components is missed for not being a star's, and
-   members already connected cost nothing more.
+4. Buckets that still span several components are dealt into chunks of bounded members
+   and bytes. Members of the bucket's largest component are already connected: they meet
+   the chunks of the others, which meet one another too, by the same tests, the exact one
+   in the same task. So a stray in a large group sends each member once. A task returns
+   only links that join something, so the pairs of a large group are never rows, and no
+   link between different components is missed for not being a star's.
 
 Every candidate with similarity s shares a band with probability
 1 - (1 - s^rows)^bands; with the defaults a pair at the threshold is missed once in two
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.staging import stage
+from ..plans.staging import Staging, stage, staging_root
 from .columns import blocks, column, lowered, mixed, row_of, span_hashes, text_bytes, word_spans
 from .components import components
 
@@ -48,6 +49,7 @@ IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 _BLOCK_BYTES = 1 << 19
 _CHUNK = 256
+_CHUNK_BYTES = 4 << 20
 
 
 def shingle_sets(
@@ -286,8 +288,28 @@ def near_duplicates(
     ``threshold`` is a fraction of integers, so that the exact test has no rounding.
     ``miss`` is the posterior probability below which a pair is dropped unverified;
     ``most_chunks`` is how many chunks buckets that share members may make together.
-    The intermediate tables are staged when this is called.
+    The jobs run when this is called; tables on the way are deleted.
     """
+    own = Staging(staging_root(docs.sparkSession))
+    with own:
+        found = _near_duplicates(docs, threshold, width, bands, rows, batch, miss, most_chunks, key, text)
+    found = stage(found, "near-duplicates")
+    own.close()
+    return found
+
+
+def _near_duplicates(
+    docs: DataFrame,
+    threshold: tuple[int, int],
+    width: int,
+    bands: int,
+    rows: int,
+    batch: int,
+    miss: float,
+    most_chunks: int,
+    key: str,
+    text: str,
+) -> DataFrame:
     top, bottom = threshold
     hashes = bands * rows
     limits = least_matches(batch, hashes, top / bottom, miss)
@@ -336,6 +358,7 @@ def near_duplicates(
         .join(own.hint("merge"), ["key", "s1", "s2"], "left_semi")
         .groupBy("key")
         .agg(F.first("text").alias("text"))
+        .withColumn("bytes", F.octet_length("text"))
     )
     texts = stage(texts.join(sigs.withColumnRenamed("rep", "key"), "key"), "texts")
 
@@ -382,8 +405,8 @@ def near_duplicates(
 
 
 def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame:
-    """Members by pairs of chunks ``i, j`` that cover every pair of a bucket; a member is
-    there once for each chunk its own one meets.
+    """Members by pairs of chunks ``i, j`` that cover every pair of a bucket but those in
+    its largest component; a member is there once for each chunk its own one meets.
 
     Buckets that share members are taken together, so that a document is sent once, not
     once per bucket; if that makes too many chunks, each bucket stands for itself.
@@ -398,19 +421,38 @@ def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame
         .select(
             F.when(F.col("apart"), F.col("bucket")).otherwise(F.xxhash64("cluster")).alias("grp"),
             "apart",
-            F.when(F.col("apart"), F.col("size")).otherwise(F.col("in_cluster")).alias("size"),
             "rep",
             "component",
         )
         .distinct()
-        .join(texts.withColumnRenamed("key", "rep"), "rep")
+        .join(texts.select(F.col("key").alias("rep"), "bytes"), "rep")
+    )
+    placed = stage(placed, "placed")
+    group = ["grp", "apart"]
+    parts = placed.groupBy(*group, "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    total = lambda c, big: F.sum(F.when(F.col("big") == big, F.col(c)).otherwise(0))
+    largest = parts.groupBy(*group).agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    chunks = lambda big: F.greatest(
+        F.ceil(total("n", big) / _CHUNK), F.ceil(total("bytes", big) / _CHUNK_BYTES)
+    ).cast("int")
+    dealt = (
+        parts.join(largest, group)
+        .withColumn("big", F.col("component") == F.col("largest"))
+        .groupBy(*group, "largest")
+        .agg(chunks(False).alias("n_small"), chunks(True).alias("n_big"))
+    )
+    place = F.pmod(F.xxhash64("rep", F.lit(2)), F.when(F.col("big"), F.col("n_big")).otherwise(F.col("n_small")))
+    chunk = (place + F.when(F.col("big"), F.col("n_small")).otherwise(0)).cast("int").alias("chunk")
+    # The largest component meets the others' chunks, these meet all.
+    last = F.when(F.col("big"), F.col("n_small")).otherwise(F.col("n_small") + F.col("n_big")) - 1
+    sent = (
+        placed.join(dealt, group)
+        .withColumn("big", F.col("component") == F.col("largest"))
+        .select(*group, "rep", "component", chunk, F.explode(F.sequence(F.lit(0), last)).alias("other"))
     )
-    n_chunks = F.ceil(F.col("size") / _CHUNK).cast("int")
-    chunk = F.pmod(F.xxhash64("rep", F.lit(2)), n_chunks).cast("int").alias("chunk")
-    other = F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("other")
-    return placed.select("*", chunk).select("*", other).select(
-        "grp",
-        "apart",
+    rest = texts.select(F.col("key").alias("rep"), "sig", "text")
+    return sent.join(rest, "rep").select(
+        *group,
         F.least("chunk", "other").alias("i"),
         F.greatest("chunk", "other").alias("j"),
         "chunk",

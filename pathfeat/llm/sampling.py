@@ -66,17 +66,18 @@ def share(key: str, parts: int) -> Column:
 
 def fit_logistic(
     x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 1e-2
-) -> tuple[float, float]:
-    """Slope and intercept of a weighted logistic curve, by Newton's method."""
-    design = np.stack([x, np.ones_like(x)], axis=1)
+) -> tuple[float, ...]:
+    """Slopes and intercept of a weighted logistic curve over one feature or over the
+    columns of several, by Newton's method."""
+    design = np.column_stack([x, np.ones(len(x))])
     w = weights / weights.mean()
-    beta = np.zeros(2)
+    beta = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         gradient = design.T @ (w * (p - y)) + ridge * beta
-        hessian = (design * (w * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+        hessian = (design * (w * p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(beta))
         step = np.linalg.solve(hessian, gradient)
         beta = beta - np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return tuple(float(b) for b in beta)

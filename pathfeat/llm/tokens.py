@@ -3,7 +3,8 @@
 A content is known by the digest of its normalised text and by the digest of the
 tokenizer's file; a count, once stored, is never computed again. A run joins the
 digests of the documents to the cache, encodes each missing content once, appends the
-new counts and reads every document's count from the cache.
+new counts and reads every document's count from the cache. Texts follow only where
+their digest is missing; into an empty cache they go with their digests, in one pass.
 
 The tokenizers this serves normalise nothing, so the normalised content of a text is its
 UTF-8 bytes, with null as the empty text.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..plans.staging import staging_root
+from ..plans.staging import CHECKPOINT_DIR, Staging, stage, staging_root
 from .bpe import encoder
 from .columns import column, text_bytes
 
@@ -39,7 +40,10 @@ def tokenizer_version(path: str) -> str:
 
 def new_cache(df: DataFrame) -> str:
     """A place for a cache that nothing else uses, in the folder that executors share."""
-    return f"{staging_root(df.sparkSession)}/pathfeat/token-cache-{uuid.uuid4().hex}"
+    root = staging_root(df.sparkSession)
+    if root is None:
+        raise ValueError(f"a cache needs a folder that executors share: give one, or set {CHECKPOINT_DIR}")
+    return f"{root}/pathfeat/token-cache-{uuid.uuid4().hex}"
 
 
 def read_cache(df: DataFrame, path: str, version: str) -> DataFrame:
@@ -68,13 +72,14 @@ def append_misses(docs: DataFrame, path: str, tokenizer: str, text: str = "text"
     """
     version = tokenizer_version(tokenizer)
     known = read_cache(docs, path, version).select("digest")
-    contents = (
-        docs.select(column(docs, text, "text"))
-        .select(_digest(), "text")
-        .groupBy("digest")
-        .agg(F.first("text").alias("text"))
-        .join(known, "digest", "left_anti")
-    )
+    own = Staging(staging_root(docs.sparkSession))
+    contents = docs.select(column(docs, text, "text")).select(_digest(), "text")
+    if known.head(1):
+        with own:
+            missing = contents.select("digest").distinct().join(known, "digest", "left_anti")
+            missing = stage(missing, "missing")
+        contents = contents.join(missing, "digest", "left_semi")
+    contents = contents.groupBy("digest").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -90,6 +95,7 @@ def append_misses(docs: DataFrame, path: str, tokenizer: str, text: str = "text"
             )
 
     contents.mapInArrow(count, CACHE_SCHEMA).write.mode("append").parquet(path)
+    own.close()
 
 
 def token_counts(
@@ -104,9 +110,14 @@ def token_counts(
 
     ``tokenizer`` is a file of the tokenizers library that every executor can read at
     that path. ``cache`` is a folder that all executors share; without one the run gets
-    a cache of its own. The misses are encoded when this is called.
+    a cache of its own, which is deleted. The misses are encoded when this is called.
     """
-    cache = cache or new_cache(docs)
+    if cache is None:
+        own = Staging(staging_root(docs.sparkSession))
+        own.add(docs.sparkSession, cache := new_cache(docs))
+        result = stage(token_counts(docs, tokenizer, cache, limit, key, text), "token-counts")
+        own.close()
+        return result
     append_misses(docs, cache, tokenizer, text)
     stored = read_cache(docs, cache, tokenizer_version(tokenizer))
     keyed = docs.select(column(docs, key, "key"), column(docs, text, "text")).select(

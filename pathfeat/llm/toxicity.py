@@ -1,21 +1,28 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 The model is fitted on a bounded sample of labelled documents. Of near copies of one
-label the first stands for all, with their weight. Terms are all lower-cased words of the
-examples; words that none of them holds are ignored, but count in the density. Words and
-their beginnings of 3 to 6 bytes that toxic examples hold significantly more often are a
-lexicon: they weigh more, and decide nothing else. Document frequencies are counted over
-all documents.
-
-The products of a batch of texts with all examples are computed in single precision: by
-a dense matrix for common terms, by posting lists for the others. Examples that reach the
-k-th largest one, less what rounding can do, get their cosine in double precision, so the
-neighbours are exact. The votes of the neighbours, weighted by distance, go through a
-logistic curve fitted on votes that leave the example itself out, and give a score, with
-the neighbours as evidence.
-
-Defined results: a text without any of the terms (a null or empty one too) has no
-neighbours and gets the share of toxic examples among such, or among all if there are none; ties of cosine go to the
+label the first stands for all, with their weight. Vectors are term frequency times
+inverse document frequency over all lower-cased words of the examples; document
+frequencies are counted over all documents.
+
+Neighbours are found by block-max pruning. Examples are ordered so that like ones stand
+together, and cut into blocks; the posting lists of common terms are cut at the same
+places and store their largest weight in each block. A block's maxima bound the cosine of
+all its examples; rare terms, whose lists are short, are added up as they are. Blocks of
+the largest bounds come first, and one whose bound is below the k-th cosine so far is
+skipped. Products are taken in single precision with room for its rounding; examples that
+may be among the k nearest get their cosine in double precision, so neighbours are exact.
+
+Neighbours vote by their distance, and with them, as one more voter of the weight that an
+example of cosine ``_TRUST`` has, a lexicon: the words and beginnings of 3 to 6 bytes that
+toxic examples hold significantly more often. Its vote is a logistic curve of its density
+in the text; it has no part in the cosines. The vote goes through a logistic curve, fitted
+on votes that leave the example itself out, and gives a score, with the neighbours as
+evidence.
+
+Defined results: a text without any word of the examples (a null or empty one too) has no
+neighbours and gets the share of toxic examples among such, or among all if there are
+none; ties of cosine go to the
 example of smaller id; a null id counts as not held out; repeated rows are scored each;
 an empty table gives no rows; without labels of both kinds the score is the share of
 toxic ones, 0 if there are none; columns other than those named are ignored.
@@ -42,9 +49,11 @@ IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 _BLOCK_BYTES = 1 << 19
 _FILTER_BITS = 20
 _BEGINNINGS = (3, 4, 5, 6)
-_REST = 16.0
-_LEXICON = 4.0
+_SCALE = 200.0  # of the lexicon's density
+_TRUST = 0.99
 _QUERIES = 128
+_WIDTH = 32  # examples in a block
+_AXES = 8
 
 
 def _terms(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -63,36 +72,62 @@ def _lower(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text_bytes(pc.utf8_lower(texts.fill_null("")))
 
 
+def _seen(hashes: np.ndarray) -> np.ndarray:
+    seen = np.zeros(1 << _FILTER_BITS, bool)
+    seen[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+    return seen
+
+
 @dataclass
 class Vocabulary:
+    """Sorted hashes of the words of the vectors and of the terms of the lexicon."""
+
     hashes: np.ndarray
-    seen: np.ndarray = field(init=False)
+    lexicon: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
     def __post_init__(self) -> None:
-        self.seen = np.zeros(1 << _FILTER_BITS, bool)
-        self.seen[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.filters = [_seen(self.hashes), _seen(self.lexicon)]
+
+    def __getstate__(self) -> dict:
+        return {"hashes": self.hashes, "lexicon": self.lexicon}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
 
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, term and frequency per word of the terms in texts, in this order."""
+        return self.scan(texts)[0]
+
+    def scan(self, texts: pa.Array, lexicon: bool = False):
+        """The counts, and for each text the terms of the lexicon that it holds per word."""
         raw, offsets = _lower(texts)
         rows, terms, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        density = np.zeros(len(texts))
         for lo, hi in blocks(offsets, _BLOCK_BYTES) if len(self.hashes) else ():
             at = offsets[lo : hi + 1] - offsets[lo]
-            own = []
-            for k, (row, h) in enumerate(_terms(raw[offsets[lo] : offsets[hi]], at)):
-                if k == 0:
-                    words = np.bincount(row, minlength=hi - lo)
-                maybe = self.seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
-                row, h = row[maybe], h[maybe]
-                place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                ok = self.hashes[place] == h
-                own.append(row[ok] * len(self.hashes) + place[ok])
-            both, n = np.unique(np.concatenate(own), return_counts=True)
+            found = _terms(raw[offsets[lo] : offsets[hi]], at)
+            row, h = next(found)
+            words = np.maximum(np.bincount(row, minlength=hi - lo), 1)
+            if lexicon and len(self.lexicon):
+                for own, _ in (self._placed(self.lexicon, 1, *x) for x in [(row, h), *found]):
+                    density[lo:hi] += np.bincount(own, minlength=hi - lo)
+                density[lo:hi] /= words
+            own, place = self._placed(self.hashes, 0, row, h)
+            both, n = np.unique(own * len(self.hashes) + place, return_counts=True)
             row = both // len(self.hashes)
             rows.append(row + lo)
             terms.append(both % len(self.hashes))
             counts.append(n / words[row])
-        return np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)
+        return (np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)), density
+
+    def _placed(self, hashes: np.ndarray, which: int, row: np.ndarray, h: np.ndarray):
+        """Rows and places of the hashes that are among the sorted ones."""
+        maybe = self.filters[which][(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
+        row, h = row[maybe], h[maybe]
+        place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        ok = hashes[place] == h
+        return row[ok], place[ok]
 
 
 def _first_of_copies(
@@ -112,7 +147,11 @@ def _first_of_copies(
         part = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         values, edge = shingle_sets(*part, width)
         sets += [values[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
-    known, often = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+    # Only shingles of several sets, and how many sets hold them.
+    every = np.concatenate([np.zeros(0, np.uint64), *sets])
+    every.sort()
+    known, often = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+    del every
     weights = sample.weights.astype(float)
     texts: dict[tuple, int] = {}
     seen: dict[tuple, list[int]] = {}
@@ -122,7 +161,10 @@ def _first_of_copies(
         first = texts.setdefault((label, sample.texts[i]), i)
         rare: list[int] = []
         if first == i and len(own):
-            held = often[np.searchsorted(known, own)]
+            held = np.ones(len(own), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                held += np.where(known[place] == own, often[place], 0)
             rarest = np.argsort(held, kind="stable")
             rarest = rarest[: len(own) - -(-top * len(own) // bottom) + 1]
             rare = own[rarest[held[rarest] > 1]].tolist()
@@ -210,7 +252,11 @@ def _held(raw: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> Iterator[n
 
 @dataclass
 class Index:
-    """Unit vectors of the examples, searched for their largest cosines."""
+    """Unit vectors of the examples, searched for their largest cosines.
+
+    What goes to the tasks are the vectors; block maxima and posting lists are made from
+    them where they are used. ``looked`` and ``skipped`` count the blocks of this process.
+    """
 
     ids: np.ndarray
     labels: np.ndarray
@@ -219,35 +265,53 @@ class Index:
     common: int = 16
 
     def build(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Index:
-        """Vectors by example, and by term: a dense row for a term that at least one in
-        ``common`` examples holds, a posting list for any other."""
+        """Vectors by example."""
         n = len(self.ids)
-        weight, rest = self.unit(rows, terms, counts, n)
-        rows = np.concatenate([rows, np.arange(n)])
-        terms = np.concatenate([terms, np.full(n, len(self.idf))])
-        weight = np.concatenate([weight, rest])
+        weight, _ = self.unit(rows, terms, counts, n)
         by = np.lexsort([terms, rows])
-        self.terms, self.weight = terms[by], weight[by]
+        self.terms, self.weight = terms[by].astype(np.int32), weight[by]
         self.at = np.searchsorted(rows[by], np.arange(n + 1))
+        self.looked = self.skipped = 0
+        return self
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def _prepared(self) -> None:
+        """Lists by term: a term that at least one in ``common`` examples holds has a dense
+        one in blocks, with their maxima; any other has a plain one."""
+        if hasattr(self, "_blocks"):
+            return
+        n, terms = len(self.ids), self.terms
+        rows = row_of(self.at)
         held = np.bincount(terms, minlength=len(self.idf) + 1)
         often = np.flatnonzero(self.common * held >= max(n, 1))
-        self.dense_row = np.full(len(held), -1, np.int64)
-        self.dense_row[often] = np.arange(len(often))
-        own = self.dense_row[terms] >= 0
-        self.dense = np.zeros((len(often), n), np.float32)
-        self.dense[self.dense_row[terms[own]], rows[own]] = weight[own]
-        rows, terms, weight = rows[~own], terms[~own], weight[~own]
+        self._dense_row = np.full(len(held), -1, np.int64)
+        self._dense_row[often] = np.arange(len(often))
+        own = self._dense_row[terms] >= 0
+        dense = np.zeros((len(often), -(-n // _WIDTH) * _WIDTH), np.float32)
+        dense[self._dense_row[terms[own]], rows[own]] = self.weight[own]
+        # Examples in blocks of like ones; places past the last one hold nothing.
+        order = _alike(dense[:, :n])
+        self._order = np.append(order, np.full(dense.shape[1] - n, -1))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        dense[:, :n] = dense[:, order]
+        shape = (len(often), dense.shape[1] // _WIDTH, _WIDTH)
+        self._blocks = np.ascontiguousarray(dense.reshape(shape).transpose(1, 0, 2))
+        self._maxima = np.ascontiguousarray(self._blocks.max(axis=2).T)
+        rows, terms, weight = place[rows[~own]], terms[~own], self.weight[~own]
         by = np.lexsort([rows, terms])
-        self.post_example, self.post_weight = rows[by], weight[by]
-        self.post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
-        return self
+        self._post_place, self._post_weight = rows[by], weight[by]
+        self._post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
+        self._place = place
 
     def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of the terms of n unit vectors, and of one more component that all
-        texts have, so that the cosine tells rare use of a term from dense use."""
-        weight = np.log1p(200 * counts) * self.idf[terms]
-        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=n) + _REST * _REST)
-        return weight / norm[rows], _REST / norm
+        """Weights of the terms of n unit vectors, and of a component beside the terms,
+        which none of them has."""
+        weight = counts * self.idf[terms]
+        norm = np.sqrt(np.bincount(rows, weight * weight, minlength=n))
+        return weight / norm[rows], np.zeros(n)
 
     def nearest(
         self, terms: np.ndarray, weight: np.ndarray, k: int, leave: int = -1
@@ -260,31 +324,32 @@ class Index:
         self, at: np.ndarray, terms: np.ndarray, weight: np.ndarray, k: int, leave: np.ndarray
     ) -> list[tuple[np.ndarray, np.ndarray]]:
         """The same for a batch of queries, the terms of each from ``at`` on."""
-        m, n = len(at) - 1, len(self.ids)
-        query = row_of(at)
-        column = self.dense_row[terms]
-        own = column >= 0
-        block = np.zeros((m, len(self.dense)), np.float32)
-        block[query[own], column[own]] = weight[own]
-        score = block @ self.dense
+        self._prepared()
+        m, query = len(at) - 1, row_of(at)
+        n = len(self._order)
+        row = self._dense_row[terms]
+        own = row >= 0
+        part = np.zeros((m, len(self._maxima)), np.float32)
+        part[query[own], row[own]] = weight[own]
         own = np.flatnonzero(~own)
-        begin = self.post_at[terms[own]]
-        size = self.post_at[terms[own] + 1] - begin
+        begin = self._post_at[terms[own]]
+        size = self._post_at[terms[own] + 1] - begin
         place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
-        cell = np.repeat(query[own] * n, size) + self.post_example[place]
-        part = self.post_weight[place] * np.repeat(weight[own], size)
-        score += np.bincount(cell, part, minlength=m * n).reshape(m, n)
-        left_out = np.flatnonzero(leave >= 0)
-        score[left_out, leave[left_out]] = 0
+        cell = np.repeat(query[own] * n, size) + self._post_place[place]
+        rare = self._post_weight[place] * np.repeat(weight[own], size)
+        rare = np.bincount(cell, rare, minlength=m * n).reshape(m, -1, _WIDTH)
+        out = np.full(m, -1)
+        out[leave >= 0] = self._place[leave[leave >= 0]]
+        score = self._pruned(part, rare, k, out)
         # Two products of unit vectors are off by this at most, each by half of it.
-        slack = 2 * (len(self.dense) + 8) * 2.0**-24 + 1e-9
+        slack = 2 * (len(self._maxima) + 8) * 2.0**-24 + 1e-9
         least = np.zeros(m)
         if n > k:
             least = np.partition(score, n - k, axis=1)[:, n - k] - slack
         dense = np.zeros(len(self.idf) + 1)
         found = []
         for q in range(m):
-            near = np.flatnonzero((score[q] >= least[q]) & (score[q] > 0))
+            near = self._order[np.flatnonzero((score[q] >= least[q]) & (score[q] > 0))]
             mine = slice(at[q], at[q + 1])
             dense[terms[mine]] = weight[mine]
             size = self.at[near + 1] - self.at[near]
@@ -299,54 +364,136 @@ class Index:
             dense[terms[mine]] = 0
         return found
 
-    def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
-        """Share of label 1 among neighbours; a nearer one and a rarer label count more."""
-        w = self.weights[best] * cosine / (1.05 - cosine)
-        return float((w * self.labels[best]).sum() / w.sum())
+    def _pruned(self, part: np.ndarray, rare: np.ndarray, k: int, out: np.ndarray) -> np.ndarray:
+        """Products of every query with the examples of the blocks that may hold one of its
+        k nearest; -1 elsewhere, and for the example to leave out."""
+        m, n_blocks, _ = rare.shape
+        score = np.full(rare.shape, -1.0, np.float32)
+        slack = 2 * (len(self._maxima) + 8) * 2.0**-24 + 1e-9
+        bound = part @ self._maxima + rare.max(axis=2) + slack
+        best = np.full((m, k), -1.0, np.float32)
+        left = np.ones((m, n_blocks), bool)
+        left_out = out // _WIDTH
+
+        def look(b: int, which: np.ndarray) -> None:
+            got = part[which] @ self._blocks[b] + rare[which, b]
+            own = np.flatnonzero(left_out[which] == b)
+            own = own[out[which[own]] >= 0]
+            got[own, out[which[own]] % _WIDTH] = -1
+            score[which, b] = got
+            left[which, b] = False
+            both = np.concatenate([best[which], got.astype(np.float32)], axis=1)
+            best[which] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            self.looked += len(which)
+
+        first = np.argsort(-bound, axis=1)[:, :2]
+        for b in np.unique(first).tolist():
+            look(b, np.flatnonzero((first == b).any(axis=1)))
+        for b in np.argsort(-bound.max(axis=0)).tolist():
+            which = np.flatnonzero(left[:, b] & (bound[:, b] >= best.min(axis=1) - slack))
+            if len(which):
+                look(b, which)
+        self.skipped += int(left.sum())
+        return score.reshape(m, -1)
+
+    def vote(self, best: np.ndarray, cosine: np.ndarray, lexical: float) -> float:
+        """Share of label 1 among neighbours and the lexicon's vote; a nearer neighbour and
+        a rarer label count more."""
+        w = self.weights[best] * _nearness(cosine)
+        trust = self.weights.mean() * _nearness(_TRUST)
+        return float(((w * self.labels[best]).sum() + trust * lexical) / (w.sum() + trust))
+
+
+def _nearness(cosine):
+    return cosine / (1.001 - cosine)
+
+
+def _alike(dense: np.ndarray) -> np.ndarray:
+    """An order of the columns in which like ones stand together: halved by the median
+    along one leading direction after the other."""
+    n = dense.shape[1]
+    axes = np.cos(np.arange(n)[:, None] * np.arange(1, _AXES + 1) + 0.5).astype(np.float32)
+    for _ in range(4):
+        axes = np.linalg.qr(dense.T @ (dense @ axes))[0] if n >= _AXES else axes
+    parts, axis = [np.arange(n)], 0
+    while len(parts[0]) > _WIDTH:
+        halves = []
+        for part in parts:
+            part = part[np.argsort(axes[part, axis % axes.shape[1]], kind="stable")]
+            half = len(part) // 2
+            halves += [part[:half], part[half:]]
+        parts, axis = halves, axis + 1
+    return np.concatenate(parts)
 
 
 @dataclass
 class Model:
     vocabulary: Vocabulary
     index: Index
-    curve: tuple[float, float]
+    lexical: tuple[float, ...]
+    curve: tuple[float, ...]
     base: float
     k: int
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list], list[list[float]]]:
-        rows, terms, counts = self.vocabulary.counts(texts)
+        found, density = self.vocabulary.scan(texts, lexicon=True)
         out = np.full(len(texts), self.base)
         ids: list[list] = [[] for _ in range(len(texts))]
         cosines: list[list[float]] = [[] for _ in range(len(texts))]
-        for r, best, cosine in _searches(self.index, rows, terms, counts, len(texts), self.k):
+        lexical = _curve(self.lexical, _dense(density))
+        for r, best, cosine in _searches(self.index, *found, len(texts), self.k):
             if len(best):
-                out[r] = _curve(self.curve, self.index.vote(best, cosine))
+                out[r] = _curve(self.curve, self.index.vote(best, cosine, lexical[r]))
                 ids[r], cosines[r] = self.index.ids[best].tolist(), cosine.tolist()
         return out, ids, cosines
 
 
-def _searches(index: Index, rows, terms, counts, n: int, k: int, leave: bool = False):
+def _searches(index: Index, rows, terms, counts, n: int, k: int):
     if not len(rows) or not len(index.ids):
         return
-    weight, rest = index.unit(rows, terms, counts, n)
+    weight, _ = index.unit(rows, terms, counts, n)
     having = np.unique(rows)
-    rows = np.concatenate([rows, having])
-    terms = np.concatenate([terms, np.full(len(having), len(index.idf))])
-    weight = np.concatenate([weight, rest[having]])
-    by = np.argsort(rows, kind="stable")
-    rows, terms, weight = rows[by], terms[by], weight[by]
     for lo in range(0, len(having), _QUERIES):
         own = having[lo : lo + _QUERIES]
         at = np.searchsorted(rows, np.append(own, own[-1] + 1))
         part = slice(at[0], at[-1])
-        out = own if leave else np.full(len(own), -1)
-        best = index.nearest_of_each(at - at[0], terms[part], weight[part], k, out)
+        none = np.full(len(own), -1)
+        best = index.nearest_of_each(at - at[0], terms[part], weight[part], k, none)
         for r, (places, cosine) in zip(own.tolist(), best):
             yield r, places, cosine
 
 
-def _curve(curve: tuple[float, float], vote: float) -> float:
-    return float(1 / (1 + np.exp(-(curve[0] * vote + curve[1]))))
+def _curve(curve: tuple[float, ...], x):
+    return 1 / (1 + np.exp(-np.clip(curve[0] * x + curve[1], -500, 500)))
+
+
+def _dense(density: np.ndarray) -> np.ndarray:
+    return np.log1p(_SCALE * density)
+
+
+def _votes(shared):
+    """The vote on each example of those near it, itself left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, lexical, k = shared.value
+        for batch in batches:
+            places, votes = [], []
+            every = batch.column("id").to_numpy()
+            for lo in range(0, len(every), _QUERIES):
+                own = every[lo : lo + _QUERIES]
+                size = index.at[own + 1] - index.at[own]
+                at = np.append(0, np.cumsum(size))
+                part = np.arange(at[-1]) + np.repeat(index.at[own] - at[:-1], size)
+                near = index.nearest_of_each(at, index.terms[part], index.weight[part], k, own)
+                for i, (best, cosine) in zip(own.tolist(), near):
+                    if len(best):
+                        places.append(i)
+                        votes.append(index.vote(best, cosine, lexical[i]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places, pa.int64()), pa.array(votes, pa.float64())], names=["i", "vote"]
+            )
+
+    return run
 
 
 def _frequencies(vocabulary) -> object:
@@ -359,7 +506,7 @@ def _frequencies(vocabulary) -> object:
             n += batch.num_rows
         terms = np.append(-1, np.flatnonzero(total))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.int64()), pa.array(np.append(n, total[terms[1:]]), pa.int64())],
+            [pa.array(terms, pa.int32()), pa.array(np.append(n, total[terms[1:]]), pa.int64())],
             names=["term", "n"],
         )
 
@@ -380,47 +527,54 @@ def fit(
 ) -> Model:
     """Fit on at most ``per_class`` labelled documents of each kind, with a lexicon of at
     most ``most_terms`` terms of a G statistic of ``least_gain`` or more."""
+    spark = docs.sparkSession
     sample = labelled_sample(docs, labels, label, learnable, per_class, key, text)
     kept, weights = _first_of_copies(sample)
     texts = pa.array([sample.texts[i] for i in kept], pa.string())
     y = sample.labels[kept]
     ids = np.array([sample.ids[i] for i in kept], np.int64)
+    del sample
     lexicon = _significant(texts, y, most_terms, least_gain)
     both_kinds = len(np.unique(y)) == 2
-    vocabulary = Vocabulary(np.union1d(_words(texts), lexicon) if both_kinds else lexicon)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    vocabulary = Vocabulary(_words(texts) if both_kinds else np.zeros(0, np.uint64), lexicon)
+    (rows, terms, counts), density = vocabulary.scan(texts, lexicon=True)
+    del texts
+    shared = spark.sparkContext.broadcast(vocabulary)
     found = (
         docs.select(column(docs, text, "text"))
-        .mapInArrow(_frequencies(shared), "term bigint, n bigint")
+        .mapInArrow(_frequencies(shared), "term int, n bigint")
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
+    shared.destroy()
     frequency = np.zeros(len(vocabulary.hashes) + 1)
     frequency[found["term"].to_numpy() + 1] = found["n"].to_numpy()
     idf = np.log((frequency[0] + 1) / (frequency[1:] + 1)) + 1
-    idf[np.searchsorted(vocabulary.hashes, lexicon)] *= _LEXICON
+    del found, frequency
 
-    rows, terms, counts = vocabulary.counts(texts)
     having = np.unique(rows)
     index = Index(ids[having], y[having], weights[having], idf)
-    index.build(np.searchsorted(having, rows), terms, counts)
+    own = np.searchsorted(having, rows)
+    index.build(own, terms, counts)
+    del rows, terms, counts, own
     without = np.setdiff1d(np.arange(len(y)), having)
     total = weights[without].sum()
     base = float((weights * y)[without].sum() / total) if total else 0.0
     if not total and len(y):
         base = float((weights * y).sum() / weights.sum())
-    votes, truth, w = [], [], []
-    own = np.searchsorted(having, rows)
-    for r, best, cosine in _searches(index, own, terms, counts, len(having), k, leave=True):
-        if len(best):
-            votes.append(index.vote(best, cosine))
-            truth.append(index.labels[r])
-            w.append(index.weights[r])
-    curve = (0.0, -30.0)
-    if votes:
-        curve = fit_logistic(np.array(votes), np.array(truth, float), np.array(w))
-    return Model(vocabulary, index, curve, base, k)
+    lexical = curve = (0.0, -30.0)
+    if len(having):
+        density = _dense(density[having])
+        lexical = fit_logistic(density, index.labels.astype(float), index.weights)
+        shared = spark.sparkContext.broadcast((index, _curve(lexical, density), k))
+        voted = spark.range(len(having)).mapInArrow(_votes(shared), "i bigint, vote double").collect()
+        shared.destroy()
+        if voted:
+            places = np.array([r.i for r in voted], np.int64)
+            votes = np.array([r.vote for r in voted])
+            curve = fit_logistic(votes, index.labels[places].astype(float), index.weights[places])
+    return Model(vocabulary, index, lexical, curve, base, k)
 
 
 def _scorer(shared, evidence: int):
