@@ -83,6 +83,22 @@ def reject_arcs(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def route_arcs(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Every line as an arc or a reject: ``head, toks`` of arcs, the text and ``reason`` of
+    rejects, and ``kind``, which says which it is."""
+    keys = [c for c in lines.columns if c != value]
+    is_arc = F.col("reason").isNull()
+    parsed = _with_parts(lines, value).withColumn("reason", _reason())
+    return parsed.select(
+        *keys,
+        F.when(is_arc, F.col("head")).alias("head"),
+        F.when(is_arc, F.transform("parts", _token)).alias("toks"),
+        F.when(~is_arc, F.col(value)).alias(value),
+        "reason",
+        F.when(is_arc, "arc").otherwise("reject").alias("kind"),
+    )
+
+
 def parse_labels(lines: DataFrame, value: str = "value") -> DataFrame:
     """``w1 w2 true|false`` lines as ``w1, w2, label``."""
     keys = [c for c in lines.columns if c != value]

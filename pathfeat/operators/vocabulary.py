@@ -18,6 +18,11 @@ def path_cells(records: DataFrame) -> DataFrame:
     return records.groupBy("dp", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Cells of several corpora, added up."""
+    return cells.groupBy("dp", "a", "b").agg(F.sum("n").alias("n"))
+
+
 def path_support(cells: DataFrame) -> DataFrame:
     """Distinct ordered pairs and records of every path.
 

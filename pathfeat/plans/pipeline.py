@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
+from ..operators import sketch
 from ..operators import vocabulary as voc
 from ..operators.classify import ModelOptions, cross_validate, decision_trees
 from ..operators.evaluate import class_details, confusion_samples, summary, weighted_average
-from ..operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
+from ..operators.parse import parse_arcs, parse_labels, reject_labels
 from ..operators.paths import path_records
 from ..operators.stemming import stem_labels
 from ..options import Options
 from ..sources.arff import arff_lines, write_arff
 from ..sources.legacy import SIZE_KEY
+from ..sources.routed import RoutedLines, stage_routed
 from ..sources.text import read_lines, write_tsv
 from .staging import Staging, stage
 
@@ -29,8 +31,11 @@ class FeaturePlan:
     reads them runs the jobs that write them; everything else is a lazy plan.
 
     ``keep_records`` stages the path records, for plans that put them out: the corpus is
-    then walked once, and the cells are counted from the staged table. ``staging`` names
-    the folder for staged tables. ``close``, or leaving a ``with`` block, deletes them.
+    then walked once, and the cells are counted from the staged table. ``prune`` keeps the
+    records of paths that can't reach ``dpmin`` out of the count: the corpus is walked
+    twice unless records are kept, and ``cells`` and ``support`` lack such paths; all
+    that is derived from frequent paths is the same. ``staging`` names the folder for
+    staged tables. ``close``, or leaving a ``with`` block, deletes them.
     """
 
     def __init__(
@@ -40,14 +45,35 @@ class FeaturePlan:
         options: Options = Options(),
         *,
         keep_records: bool = False,
+        prune: bool = False,
         staging: str | None = None,
     ) -> None:
         self.arcs = arcs
         self.labels = labels
         self.options = options
         self.keep_records = keep_records
+        self.prune = prune
+        self.routed: RoutedLines | None = None
         self.staging = Staging(staging)
 
+    @classmethod
+    def from_lines(
+        cls,
+        lines: DataFrame,
+        labels: DataFrame | None = None,
+        options: Options = Options(),
+        *,
+        keep_records: bool = False,
+        prune: bool = False,
+        staging: str | None = None,
+    ) -> FeaturePlan:
+        """A plan over corpus lines that also gives ``routed``, its rejects and the number
+        of either kind: the lines are read once, now."""
+        plan = cls(None, labels, options, keep_records=keep_records, prune=prune, staging=staging)
+        plan.routed = stage_routed(lines, plan.staging)
+        plan.arcs = plan.routed.arcs
+        return plan
+
     @classmethod
     def from_tables(
         cls,
@@ -90,6 +116,10 @@ class FeaturePlan:
     @cached_property
     def cells(self) -> DataFrame:
         records = self.records.select("dp", "a", "b")
+        if self.prune:
+            counters = self._stage(sketch.support_sketch(records), "sketch")
+            bits = self._stage(sketch.heavy_bits(counters, self.options.dpmin), "bits")
+            records = sketch.possibly_frequent(records, bits)
         return self._stage(voc.path_cells(records), "cells")
 
     @cached_property
@@ -188,6 +218,7 @@ def run(
     write_records: bool = False,
     write_rejects: bool = True,
     text_copies: bool = False,
+    kept_paths_only: bool = False,
     partitions: int | None = None,
     staging: str | None = None,
 ) -> FeaturePlan:
@@ -197,20 +228,21 @@ def run(
     ``without_evidence``, ``vectors`` (sparse) and, on request, ``kept_records`` and
     ``numbered_pairs``; ``arff`` as text. With a classifier also ``predictions``,
     ``summary``, ``class_details`` and ``samples``. ``text_copies`` adds the
-    tab-separated form of the vocabulary and its size. The corpus is walked once; its
-    lines are read a second time for the rejects. ``partitions`` spreads a corpus of
-    files that can't be split. Close the plan that is returned to delete staged tables;
+    tab-separated form of the vocabulary and its size. With rejects, lines are read and
+    parsed once into a staged table of arcs and one of rejects, and ``line_counts`` has
+    their numbers. ``kept_paths_only`` leaves cells of paths that can't reach ``dpmin`` out
+    of ``cells`` and out of the shuffle. ``partitions`` spreads a corpus of files that
+    can't be split. Close the plan that is returned to delete staged tables;
     ``FeaturePlan.from_tables`` goes on from the written ones.
     """
     lines = read_lines(spark, corpus, partitions)
     label_lines = spark.read.text(label_list)
-    plan = FeaturePlan(
-        parse_arcs(lines),
-        parse_labels(label_lines),
-        options,
-        keep_records=write_records,
-        staging=staging,
-    )
+    settings = {"keep_records": write_records, "prune": kept_paths_only, "staging": staging}
+    labels = parse_labels(label_lines)
+    if write_rejects:
+        plan = FeaturePlan.from_lines(lines, labels, options, **settings)
+    else:
+        plan = FeaturePlan(parse_arcs(lines), labels, options, **settings)
 
     def write(df: DataFrame, name: str) -> None:
         df.write.parquet(f"{output}/{name}")
@@ -227,8 +259,10 @@ def run(
         write(plan.kept_records, "kept_records")
         write(plan.numbered_pairs, "numbered_pairs")
     if write_rejects:
-        write(reject_arcs(lines), "rejected_lines")
+        write(plan.routed.rejects, "rejected_lines")
         write(reject_labels(label_lines), "rejected_labels")
+        counts = [("arcs", plan.routed.n_arcs), ("rejects", plan.routed.n_rejects)]
+        write(spark.createDataFrame(counts, "kind string, n bigint").coalesce(1), "line_counts")
     write(plan.label_join, "label_join")
     write(plan.without_evidence, "without_evidence")
     write(plan.sparse, "vectors")

@@ -41,6 +41,10 @@ class Staging:
         """Delete what is at ``path`` as well."""
         self._paths.append((spark, path))
 
+    def keep(self, df: DataFrame) -> None:
+        """Unpersist ``df`` as well."""
+        self._persisted.append(df)
+
     def close(self) -> None:
         while self._paths:
             spark, path = self._paths.pop()
@@ -50,6 +54,11 @@ class Staging:
             self._persisted.pop().unpersist()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="pathfeat-")

@@ -498,6 +498,21 @@ LEFT JOIN stems USING (word)""",
     "path_cells": _records_sql("SELECT dp, a, b, n FROM cells", _CELLS),
     "path_support": _records_sql("SELECT * FROM support", _CELLS),
     "frequent_paths": _records_sql("SELECT * FROM frequent", _CELLS, _FREQUENT),
+    "frequent_word_paths": _with(
+        TOK,
+        _stemmed(_WORDS),
+        _GRAPH,
+        _walk("word || '/' || label", "'X/' || label"),
+        _CELLS,
+        select="SELECT * FROM support WHERE n_pairs >= 5",
+        recursive=True,
+    ),
+    "routed_lines": _with(
+        _LONG,
+        select="""SELECT doc_id, line_no, CASE WHEN reason IS NULL THEN CAST(n AS INT) END AS n_tokens, reason
+FROM reasons JOIN long_heads USING (doc_id, line_no)""",
+    ),
+    "merged_corpora": _records_sql("SELECT * FROM support", _CELLS),
     "path_ids": _records_sql("SELECT dp, id FROM vocab", _CELLS, _FREQUENT),
     "vector_size": _records_sql("SELECT vec_size FROM vec", _CELLS, _FREQUENT),
     "max_by_key": _records_sql("SELECT dp, greatest(max(n), 0) AS n FROM cells GROUP BY dp", _CELLS),

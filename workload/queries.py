@@ -13,10 +13,12 @@ from pathfeat.functions.stemmer import stem
 from pathfeat.operators import evaluate, features, graph, vocabulary
 from pathfeat.operators.classify import ModelOptions, assign_folds, with_prior
 from pathfeat.operators.parse import parse_arcs, parse_labels, reject_arcs, reject_labels
-from pathfeat.operators.paths import path_records
+from pathfeat.operators.paths import line_text, path_records
 from pathfeat.operators.stemming import stem_arcs
-from pathfeat.plans.staging import CHECKPOINT_DIR, staging_root
+from pathfeat.plans.staging import CHECKPOINT_DIR, Staging, staging_root
+from pathfeat.plans.store import CellStore
 from pathfeat.sources import arff, legacy
+from pathfeat.sources.routed import stage_routed
 from pathfeat.sources.text import read_arcs, read_tsv, write_tsv
 
 from . import corpus
@@ -126,6 +128,34 @@ def frequent_paths(spark, sf_dir):
     return vocabulary.frequent_paths(path_support(spark, sf_dir), OPTIONS.dpmin)
 
 
+def frequent_word_paths(spark, sf_dir):
+    """Frequent paths of a word format, counted without the paths that can't be frequent."""
+    options = OPTIONS.but(path_format="word_label", dpmin=5)
+    arcs = corpus.arcs(spark, sf_dir)
+    return FeaturePlan(arcs, options=options, prune=True).frequent
+
+
+def routed_lines(spark, sf_dir):
+    """Lines of the corpus of longer lines by what they are, from one read of them."""
+    routed = stage_routed(corpus.long_arc_lines(spark, sf_dir), Staging())
+    arcs = routed.arcs.select("doc_id", "line_no", F.size("toks").alias("n_tokens"), F.lit(None).cast("string").alias("reason"))
+    rejects = routed.rejects.select("doc_id", "line_no", F.lit(None).cast("int").alias("n_tokens"), "reason")
+    return arcs.unionByName(rejects)
+
+
+def merged_corpora(spark, sf_dir):
+    """Support over a corpus that came in two additions of files, the second one listing
+    the first one's files again."""
+    path, arcs = _folder(spark, "halves"), corpus.arcs(spark, sf_dir)
+    lines = arcs.select("doc_id", "line_no", line_text(F.col("head"), F.col("toks")).alias("value"))
+    store = CellStore(spark, f"{path}/store", OPTIONS)
+    for half in (0, 1):
+        part = lines.where(F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(2)) == half)
+        part.select("value").write.text(f"{path}/corpus/{half}")
+        store.add(f"{path}/corpus/*")
+    return vocabulary.path_support(store.cells)
+
+
 def path_ids(spark, sf_dir):
     return plan(spark, sf_dir).vocabulary
 
@@ -388,6 +418,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "path_cells": path_cells,
     "path_support": path_support,
     "frequent_paths": frequent_paths,
+    "frequent_word_paths": frequent_word_paths,
+    "routed_lines": routed_lines,
+    "merged_corpora": merged_corpora,
     "path_ids": path_ids,
     "vector_size": vector_size,
     "max_by_key": max_by_key,
