@@ -102,16 +102,11 @@ def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans ``values[start:end]`` of bytes or code points, equal for
-    equal spans.
-
-    A polynomial modulo the prime 2^61 - 1, from prefix sums: every span costs the same
-    whatever its length. Two spans of n values that differ agree for at most n bases.
-    """
+def span_sums(values: np.ndarray) -> np.ndarray:
+    """What hashes of any spans of bytes or code points are taken from: prefix sums of the
+    two halves of every term."""
     n = len(values)
-    power, inverse = _base_powers(n + 1)
-    power, v = power[:n], values.astype(np.uint64) + np.uint64(1)
+    power, v = _base_powers(n + 1)[0][:n], values.astype(np.uint64) + np.uint64(1)
     # Values are below 2^21, so the product of a power is one number of 62 bits.
     high = v * (power >> _SHIFT)
     terms = ((high & np.uint64((1 << 30) - 1)) << _SHIFT) + (high >> np.uint64(30))
@@ -119,8 +114,21 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     sums = np.zeros((2, n + 1), np.uint64)
     np.cumsum(terms & _LOW, out=sums[0, 1:])
     np.cumsum(terms >> _SHIFT, out=sums[1, 1:])
+    return sums
+
+
+def span_hashes(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None
+) -> np.ndarray:
+    """64-bit hashes of the spans ``values[start:end]`` of bytes or code points, equal for
+    equal spans.
+
+    A polynomial modulo the prime 2^61 - 1, from prefix sums: every span costs the same
+    whatever its length. Two spans of n values that differ agree for at most n bases.
+    """
+    sums = span_sums(values) if sums is None else sums
     low, high = (_reduced(x[ends] - x[starts]) for x in sums)
-    out = _product(_reduced(low + _shifted(high)), inverse[starts])
+    out = _product(_reduced(low + _shifted(high)), _base_powers(sums.shape[1])[1][starts])
     return mixed(out + (ends - starts).astype(np.uint64) * _BASE)
 
 

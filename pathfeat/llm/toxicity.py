@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, mixed, row_of, span_hashes, text_bytes, word_spans
+from .columns import blocks, column, mixed, row_of, span_hashes, span_sums, text_bytes, word_spans
 from .minhash import shingle_sets
 from .sampling import Sample, fit_logistic, labelled_sample
 
@@ -52,6 +52,7 @@ _BEGINNINGS = (3, 4, 5, 6)
 _SCALE = 200.0  # of the lexicon's density
 _TRUST = 0.99
 _QUERIES = 128
+_TEXTS = 1024
 _WIDTH = 32  # examples in a block
 _AXES = 8
 
@@ -59,13 +60,13 @@ _AXES = 8
 def _terms(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row and hash of the words, then of their beginnings of each size."""
     starts, ends, first = word_spans(raw, offsets, IS_WORD)
-    row = row_of(first)
-    yield row, span_hashes(raw, starts, ends)
+    row, sums = row_of(first), span_sums(raw)
+    yield row, span_hashes(raw, starts, ends, sums)
     for n in _BEGINNINGS:
         longer = np.flatnonzero(ends - starts > n)
         salt = mixed(np.array([n], np.uint64))[0]
         begin = starts[longer]
-        yield row[longer], mixed(span_hashes(raw, begin, begin + n) ^ salt)
+        yield row[longer], mixed(span_hashes(raw, begin, begin + n, sums) ^ salt)
 
 
 def _lower(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -282,29 +283,28 @@ class Index:
         one in blocks, with their maxima; any other has a plain one."""
         if hasattr(self, "_blocks"):
             return
-        n, terms = len(self.ids), self.terms
-        rows = row_of(self.at)
+        n, terms, weight = len(self.ids), self.terms, self.weight
+        rows = row_of(self.at).astype(np.int32)
         held = np.bincount(terms, minlength=len(self.idf) + 1)
         often = np.flatnonzero(self.common * held >= max(n, 1))
-        self._dense_row = np.full(len(held), -1, np.int64)
+        self._dense_row = np.full(len(held), -1, np.int32)
         self._dense_row[often] = np.arange(len(often))
-        own = self._dense_row[terms] >= 0
-        dense = np.zeros((len(often), -(-n // _WIDTH) * _WIDTH), np.float32)
-        dense[self._dense_row[terms[own]], rows[own]] = self.weight[own]
         # Examples in blocks of like ones; places past the last one hold nothing.
-        order = _alike(dense[:, :n])
-        self._order = np.append(order, np.full(dense.shape[1] - n, -1))
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        dense[:, :n] = dense[:, order]
-        shape = (len(often), dense.shape[1] // _WIDTH, _WIDTH)
-        self._blocks = np.ascontiguousarray(dense.reshape(shape).transpose(1, 0, 2))
+        own = self._dense_row[terms] >= 0
+        row, held_by = self._dense_row[terms[own]], rows[own]
+        order = _alike(held_by, row, weight[own], n, len(often))
+        n_blocks = -(-n // _WIDTH)
+        self._order = np.append(order, np.full(n_blocks * _WIDTH - n, -1))
+        self._place = np.empty(n, np.int64)
+        self._place[order] = np.arange(n)
+        place = self._place[held_by]
+        self._blocks = np.zeros((n_blocks, len(often), _WIDTH), np.float32)
+        self._blocks[place // _WIDTH, row, place % _WIDTH] = weight[own]
         self._maxima = np.ascontiguousarray(self._blocks.max(axis=2).T)
-        rows, terms, weight = place[rows[~own]], terms[~own], self.weight[~own]
-        by = np.lexsort([rows, terms])
-        self._post_place, self._post_weight = rows[by], weight[by]
+        terms, weight, place = terms[~own], weight[~own], self._place[rows[~own]]
+        by = np.lexsort([place, terms])
+        self._post_place, self._post_weight = place[by].astype(np.int32), weight[by]
         self._post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
-        self._place = place
 
     def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
         """Weights of the terms of n unit vectors, and of a component beside the terms,
@@ -340,16 +340,11 @@ class Index:
         rare = np.bincount(cell, rare, minlength=m * n).reshape(m, -1, _WIDTH)
         out = np.full(m, -1)
         out[leave >= 0] = self._place[leave[leave >= 0]]
-        score = self._pruned(part, rare, k, out)
-        # Two products of unit vectors are off by this at most, each by half of it.
-        slack = 2 * (len(self._maxima) + 8) * 2.0**-24 + 1e-9
-        least = np.zeros(m)
-        if n > k:
-            least = np.partition(score, n - k, axis=1)[:, n - k] - slack
+        score, least = self._pruned(part, rare, k, out)
         dense = np.zeros(len(self.idf) + 1)
         found = []
         for q in range(m):
-            near = self._order[np.flatnonzero((score[q] >= least[q]) & (score[q] > 0))]
+            near = self._order[np.flatnonzero(score[q] >= least[q])]
             mine = slice(at[q], at[q + 1])
             dense[terms[mine]] = weight[mine]
             size = self.at[near + 1] - self.at[near]
@@ -364,11 +359,15 @@ class Index:
             dense[terms[mine]] = 0
         return found
 
-    def _pruned(self, part: np.ndarray, rare: np.ndarray, k: int, out: np.ndarray) -> np.ndarray:
+    def _pruned(
+        self, part: np.ndarray, rare: np.ndarray, k: int, out: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Products of every query with the examples of the blocks that may hold one of its
-        k nearest; -1 elsewhere, and for the example to leave out."""
+        k nearest, -1 elsewhere and for the example to leave out; and the least product
+        that one of the k may have."""
         m, n_blocks, _ = rare.shape
         score = np.full(rare.shape, -1.0, np.float32)
+        # Two products of unit vectors are off by this at most, each by half of it.
         slack = 2 * (len(self._maxima) + 8) * 2.0**-24 + 1e-9
         bound = part @ self._maxima + rare.max(axis=2) + slack
         best = np.full((m, k), -1.0, np.float32)
@@ -394,7 +393,7 @@ class Index:
             if len(which):
                 look(b, which)
         self.skipped += int(left.sum())
-        return score.reshape(m, -1)
+        return score.reshape(m, -1), np.maximum(best.min(axis=1) - slack, 1e-30)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray, lexical: float) -> float:
         """Share of label 1 among neighbours and the lexicon's vote; a nearer neighbour and
@@ -408,13 +407,14 @@ def _nearness(cosine):
     return cosine / (1.001 - cosine)
 
 
-def _alike(dense: np.ndarray) -> np.ndarray:
-    """An order of the columns in which like ones stand together: halved by the median
+def _alike(rows: np.ndarray, terms: np.ndarray, weight: np.ndarray, n: int, width: int) -> np.ndarray:
+    """An order of n sparse rows in which like ones stand together: halved by the median
     along one leading direction after the other."""
-    n = dense.shape[1]
-    axes = np.cos(np.arange(n)[:, None] * np.arange(1, _AXES + 1) + 0.5).astype(np.float32)
-    for _ in range(4):
-        axes = np.linalg.qr(dense.T @ (dense @ axes))[0] if n >= _AXES else axes
+    axes = np.cos(np.arange(n)[:, None] * np.arange(1, _AXES + 1) + 0.5)
+    for _ in range(4 if n >= _AXES else 0):
+        by_term = [np.bincount(terms, weight * x[rows], minlength=width) for x in axes.T]
+        by_row = [np.bincount(rows, weight * x[terms], minlength=n) for x in by_term]
+        axes = np.linalg.qr(np.stack(by_row, axis=1))[0]
     parts, axis = [np.arange(n)], 0
     while len(parts[0]) > _WIDTH:
         halves = []
@@ -436,6 +436,12 @@ class Model:
     k: int
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list], list[list[float]]]:
+        """Scores, and ids and cosines of the neighbours, some texts at a time."""
+        parts = [self._score(own) for own in _slices(texts)]
+        ids, cosines = ([x for p in parts for x in p[i]] for i in (1, 2))
+        return np.concatenate([np.zeros(0), *[p[0] for p in parts]]), ids, cosines
+
+    def _score(self, texts: pa.Array) -> tuple[np.ndarray, list[list], list[list[float]]]:
         found, density = self.vocabulary.scan(texts, lexicon=True)
         out = np.full(len(texts), self.base)
         ids: list[list] = [[] for _ in range(len(texts))]
@@ -448,6 +454,11 @@ class Model:
         return out, ids, cosines
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    for lo in range(0, len(texts), _TEXTS):
+        yield texts.slice(lo, _TEXTS)
+
+
 def _searches(index: Index, rows, terms, counts, n: int, k: int):
     if not len(rows) or not len(index.ids):
         return
@@ -501,8 +512,8 @@ def _frequencies(vocabulary) -> object:
         own: Vocabulary = vocabulary.value
         total, n = np.zeros(len(own.hashes), np.int64), 0
         for batch in batches:
-            _, terms, _ = own.counts(batch.column("text"))
-            total += np.bincount(terms, minlength=len(total))
+            for texts in _slices(batch.column("text")):
+                total += np.bincount(own.counts(texts)[1], minlength=len(total))
             n += batch.num_rows
         terms = np.append(-1, np.flatnonzero(total))
         yield pa.RecordBatch.from_arrays(
