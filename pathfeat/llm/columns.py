@@ -6,6 +6,7 @@ one buffer; working on that buffer with numpy spares a Python object per text or
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,6 +168,17 @@ def row_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its task, and what
+    numpy and Arrow keep for their next array is missing to the tasks beside it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def schema_after(first: StructField, fields: str) -> StructType:
     """A schema of one column as it is, nullability within it included, and new ones."""
     return StructType([first, *StructType.fromDDL(fields).fields])

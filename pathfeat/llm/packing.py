@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .columns import column, text_bytes
+from .columns import column, give_back, text_bytes
 
 _SEQUENCE_BITS = 33
 
@@ -173,6 +173,7 @@ def packed(
                 if held >= group_tokens // 2:
                     yield from flush()
         yield from flush()
+        give_back()
 
     kind = source.schema["key"].dataType.simpleString()
     schema = f"key {kind}, {fields}" + (", ids array<int>" if with_ids else "")

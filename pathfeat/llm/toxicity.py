@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, mixed, row_of, span_hashes, span_sums, text_bytes, word_spans
+from .columns import blocks, column, give_back, mixed, row_of, span_hashes, span_sums, text_bytes, word_spans
 from .minhash import shingle_sets
 from .sampling import Sample, fit_logistic, labelled_sample
 
@@ -305,6 +305,8 @@ class Index:
         by = np.lexsort([place, terms])
         self._post_place, self._post_weight = place[by].astype(np.int32), weight[by]
         self._post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
+        del rows, held, own, row, held_by, place, terms, weight, by
+        give_back()
 
     def unit(self, rows, terms, counts, n) -> tuple[np.ndarray, np.ndarray]:
         """Weights of the terms of n unit vectors, and of a component beside the terms,
@@ -486,6 +488,7 @@ def _votes(shared):
     """The vote on each example of those near it, itself left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         index, lexical, k = shared.value
         for batch in batches:
             places, votes = [], []
@@ -509,6 +512,7 @@ def _votes(shared):
 
 def _frequencies(vocabulary) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         own: Vocabulary = vocabulary.value
         total, n = np.zeros(len(own.hashes), np.int64), 0
         for batch in batches:
@@ -594,11 +598,15 @@ def _scorer(shared, evidence: int):
     )
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         for batch in texts:
             found, ids, cosines = shared.value.score(batch)
             ids, cosines = ([x[:evidence] for x in own] for own in (ids, cosines))
             parts = [pa.array(x, f.type) for x, f in zip((found, ids, cosines), kind)]
+            del batch, found, ids, cosines
             yield pa.StructArray.from_arrays(parts, fields=[*kind])
+            del parts
+            give_back()
 
     return F.arrow_udf(score, "score double, neighbours array<bigint>, cosines array<double>")
 
