@@ -18,7 +18,7 @@ from itertools import chain
 
 import numpy as np
 
-from .columns import blocks, span_hashes
+from .columns import blocks, kept_by_worker, span_hashes
 
 _LETTER, _NUMBER, _OTHER, _SPACE, _UNKNOWN, _NONE = range(6)
 # White space of the pattern's \s, as code points.
@@ -336,7 +336,7 @@ def _by_ranks(fast, mark: int, one: Callable[[str], list[int]], points, starts,
     return np.delete(ids, marks), np.diff(marks, prepend=-1) - 1
 
 
-@cache
+@kept_by_worker
 def encoder(path: str) -> Encoder:
     """One encoder for each file and worker process."""
     return Encoder(path)

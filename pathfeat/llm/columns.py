@@ -7,7 +7,8 @@ one buffer; working on that buffer with numpy spares a Python object per text or
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -171,9 +172,24 @@ def row_of(offsets: np.ndarray) -> np.ndarray:
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
-def give_back() -> None:
+_kept: list[Callable[[], None]] = []
+
+
+def kept_by_worker(make: Callable) -> Callable:
+    """``make`` with its results kept for the next task of the worker process, until a task
+    of another operator asks for the room."""
+    made = cache(make)
+    _kept.append(made.cache_clear)
+    return made
+
+
+def give_back(others: bool = False) -> None:
     """Return freed memory to the system: a worker process outlives its task, and what
-    numpy and Arrow keep for their next array is missing to the tasks beside it."""
+    numpy and Arrow keep for their next array is missing to the tasks beside it. With
+    ``others``, what other operators keep in this process goes as well."""
+    if others:
+        for clear in _kept:
+            clear()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)

@@ -46,12 +46,12 @@ from .sampling import Sample, fit_logistic, labelled_sample
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 
-_BLOCK_BYTES = 1 << 19
+_BLOCK_BYTES = 1 << 18
 _FILTER_BITS = 20
 _BEGINNINGS = (3, 4, 5, 6)
 _SCALE = 200.0  # of the lexicon's density
 _TRUST = 0.99
-_QUERIES = 128
+_QUERIES = 64
 _TEXTS = 1024
 _WIDTH = 32  # examples in a block
 _AXES = 8
@@ -488,7 +488,7 @@ def _votes(shared):
     """The vote on each example of those near it, itself left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        give_back(others=True)
         index, lexical, k = shared.value
         for batch in batches:
             places, votes = [], []
@@ -512,7 +512,7 @@ def _votes(shared):
 
 def _frequencies(vocabulary) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        give_back(others=True)
         own: Vocabulary = vocabulary.value
         total, n = np.zeros(len(own.hashes), np.int64), 0
         for batch in batches:
@@ -598,7 +598,7 @@ def _scorer(shared, evidence: int):
     )
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        give_back()
+        give_back(others=True)
         for batch in texts:
             found, ids, cosines = shared.value.score(batch)
             ids, cosines = ([x[:evidence] for x in own] for own in (ids, cosines))
