@@ -3,9 +3,8 @@
 Every word and every word shape (its case, the marks it ends in, whether it repeats the
 word before it) has a slot by hash and a sparse random index vector. Over all documents,
 a slot's vector sums the index vectors of its neighbours in the sequence of words and
-shapes. A document is pooled as the weighted mean of the vectors of its words, that of
-its shapes, and the share of each common shape; a two-layer network gives a probability
-whose temperature is fitted on labelled documents that the weights weren't fitted on.
+shapes. A document is pooled as the weighted mean of the vectors of its words and that of
+its shapes; a two-layer network gives a probability whose temperature is fitted on labelled documents that the weights weren't fitted on.
 
 The slots and dimensions bound the model whatever the corpus; its sums are pre-aggregated
 per task and added up by slot.
