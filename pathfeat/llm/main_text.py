@@ -1,15 +1,16 @@
 """The main text of web pages from text-to-tag ratios.
 
 The events of the standard library's parser are read once. They cut a page into lines,
-one per block of text, each with the tags that opened or closed in it and the elements
-around it. Lines inside menus, forms, adverts and the like, known by tag, role, class or
-id, are set aside. A line's ratio is its text length by its tags; the ratios are smoothed
-with a Gaussian kernel and split at a threshold between the weak and the strong cluster.
+one per block of text, each with the tags that opened or closed in it, the text in links
+and the elements around it. A line's ratio is its text outside links by its tags, zero
+inside menus, forms, adverts and the like, known by tag, role, class or id. The logarithms of
+the ratios are smoothed with a Gaussian kernel and split at a threshold between the weak and
+the strong cluster.
 
-The region is the article or main element with most text in strong lines, and all its
-lines that were not set aside; short paragraphs belong to it as much as long ones. On
-pages without such an element it is the innermost one that holds nearly all strong
-lines, from the first strong line to the last.
+The region is the innermost block that holds nearly all text of strong lines, or half of
+it if it is an article or main element, with its like-named siblings that hold content;
+its lines belong to it however short they are. Where no tag says that the region is
+content, blocks without a strong line at its edges, and those of links, go.
 
 Defined results: null, empty and text-free pages have an empty text; unclosed and stray
 tags are borne with; a null id stays null; repeated rows are read each; an empty table
@@ -20,8 +21,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
-from math import exp, sqrt
+from math import exp, log1p
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,31 +73,58 @@ _CLOSES |= dict.fromkeys(
 _WALLS = frozenset("article main section div table ul ol dl nav aside body blockquote".split())
 
 
+# Blocks that can be a region, and those whose tag says that they are content.
+_HOLDERS = _WALLS | frozenset("html form header footer fieldset details li td th dd tr figure center span".split()) | {""}
+_CONTENT = ("article", "main")
+_SHARE, _SHARE_OF_CONTENT, _SHARE_OF_TWIN = 0.8, 0.5, 0.1
+# Of the threshold between unsmoothed ratios, what a line must reach.
+_CLEAR = 0.75
+
+
 class _Node:
-    __slots__ = ("tag", "up", "aside", "void", "weight")
+    __slots__ = ("tag", "up", "aside", "void", "weight", "strong", "content", "names", "down")
+
+    def __init__(self, tag: str, up: _Node | None, aside: bool, names: str = "") -> None:
+        self.tag, self.up, self.aside, self.names = tag, up, aside, names
+        self.void = self.strong = self.content = False
+        self.weight = 0
+        self.down: list[_Node] = []
+        if up is not None:
+            up.down.append(self)
+
+
+@dataclass
+class _Line:
+    """A block's text, how much of it is in links, its tags, and where it starts."""
 
-    def __init__(self, tag: str, up: _Node | None, aside: bool) -> None:
-        self.tag, self.up, self.aside, self.void, self.weight = tag, up, aside, False, 0.0
+    text: str
+    linked: int
+    tags: int
+    node: _Node
+
+    @property
+    def ratio(self) -> float:
+        return max(0, len(self.text) - self.linked) / max(1, self.tags)
 
 
 class _Lines(HTMLParser):
-    """Lines ``text, tags, node`` of a page, from the events of the parser."""
+    """The lines of a page, from the events of the parser."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.top = _Node("", None, False)
         self.at = self.top
-        self.lines: list[tuple[str, int, _Node]] = []
+        self.lines: list[_Line] = []
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = self.links = 0
         self.line_node = self.top
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.line_node))
+            self.lines.append(_Line(text, self.linked, self.tags, self.line_node))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs) -> None:
         self.tags += 1
@@ -108,8 +137,9 @@ class _Lines(HTMLParser):
         closes = _CLOSES.get(tag)
         if closes:
             self._close(closes)
-        node = _Node(tag, self.at, tag in _ASIDE)
-        if tag in ("article", "main"):
+        self.links += tag == "a"
+        node = _Node(tag, self.at, tag in _ASIDE, next((v or "" for k, v in attrs if k == "class"), ""))
+        if tag in _CONTENT:
             # What holds the article is no advert, whatever its class says.
             up = self.at
             while up is not None:
@@ -128,6 +158,9 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag not in _INLINE:
             self.flush()
+            self.links = 0
+        elif tag == "a":
+            self.links = max(0, self.links - 1)
         node = self.at
         while node.up is not None:
             if node.tag == tag:
@@ -149,6 +182,8 @@ class _Lines(HTMLParser):
         if not self.parts:
             self.line_node = self.at
         self.parts.append(data)
+        if self.links:
+            self.linked += len(" ".join(data.split()))
 
 
 def _marked(attrs) -> bool:
@@ -183,8 +218,7 @@ def _smoothed(values: list[float], sigma: float) -> list[float]:
 
 
 def _threshold(values: list[float]) -> float:
-    """Between the means of a weak and a strong cluster, found by moving it until it
-    stays; half of it is already strong, as content shouldn't be lost."""
+    """Between the means of a weak and a strong cluster, found by moving it until it stays."""
     low, high = min(values), max(values)
     cut = (low + high) / 2
     for _ in range(20):
@@ -196,7 +230,7 @@ def _threshold(values: list[float]) -> float:
         if abs(new - cut) < 1e-9:
             break
         cut = new
-    return cut / 2
+    return cut
 
 
 def main_text(html: str | None, sigma: float = 1.0) -> str:
@@ -207,54 +241,82 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     page.feed(html)
     page.close()
     page.flush()
-    if not page.lines:
-        return ""
-    usable = [not any(n.aside and not n.void for n in _above(node)) for _, _, node in page.lines]
-    ratios = [len(t) / max(1, tags) if ok else 0.0 for (t, tags, _), ok in zip(page.lines, usable)]
+    lines = page.lines
+    usable = [not any(n.aside and not n.void for n in _above(line.node)) for line in lines]
     if not any(usable):
         # Marks on everything say nothing; tags still do.
-        usable = [not any(n.tag in _ASIDE for n in _above(node)) for _, _, node in page.lines]
-        ratios = [len(t) / max(1, k) if ok else 0.0 for (t, k, _), ok in zip(page.lines, usable)]
+        usable = [not any(n.tag in _ASIDE for n in _above(line.node)) for line in lines]
     if not any(usable):
         return ""
-    smooth = _smoothed([sqrt(r) for r in ratios], sigma)
+    own = [log1p(line.ratio) if ok else 0.0 for line, ok in zip(lines, usable)]
+    smooth = _smoothed(own, sigma)
     cut = _threshold(smooth)
-    strong = [ok and s >= cut for ok, s in zip(usable, smooth)]
+    # A line that smoothing alone lifts isn't content.
+    least = _CLEAR * _threshold(own)
+    clear = [ok and v >= least for ok, v in zip(usable, own)]
+    strong = [c and s >= cut for c, s in zip(clear, smooth)]
     if not any(strong):
-        strong = usable
-    region = None
-    for (text, _, node), good in zip(page.lines, strong):
-        if good:
-            for n in _above(node):
-                n.weight += len(text)
-                if n.tag in ("article", "main") and (region is None or n.weight > region.weight):
-                    region = n
-    if region is not None:
-        # The outermost element of the same text holds its short lines as well.
-        inside = [i for i, line in enumerate(page.lines) if region in _above(line[2])]
-    else:
-        region = _innermost(page.lines, strong)
-        inside = [i for i, line in enumerate(page.lines) if region in _above(line[2])]
-        marks = [i for i in inside if strong[i]]
-        inside = [i for i in inside if marks[0] <= i <= marks[-1]]
-    return " ".join(page.lines[i][0] for i in inside if usable[i])
-
-
-def _innermost(lines, strong) -> _Node:
-    """The innermost element with four fifths of the text in strong lines."""
-    best = lines[0][2]
-    total = sum(len(t) for (t, _, _), good in zip(lines, strong) if good)
-    depth = -1
-    for (_, _, node), good in zip(lines, strong):
-        if good:
-            chain = [*_above(node)]
-            for n in chain:
-                own = sum(1 for _ in _above(n))
-                if n.weight >= 0.8 * total and own > depth and n.tag not in _INLINE and n.tag != "p":
-                    best, depth = n, own
+        strong = clear if any(clear) else usable
+    for i, line in enumerate(lines):
+        for node in _above(line.node):
+            node.weight += len(line.text) * strong[i]
+            node.strong = node.strong or strong[i]
+            node.content = node.content or clear[i]
+    region = _region(lines, strong)
+    regions = {region, *_twins(region)}
+    inside = [i for i, line in enumerate(lines) if usable[i] and any(n in regions for n in _above(line.node))]
+    if not any(n.tag in _CONTENT for n in _above(region)):
+        inside = _without_edges(lines, inside, strong, regions)
+    return " ".join(lines[i].text for i in inside)
+
+
+def _region(lines: list[_Line], strong: list[bool]) -> _Node:
+    """The innermost block that holds nearly all text of strong lines, half of it if its
+    tag says that it is content; of such ones around one another with the same strong
+    text the outermost, as that holds their short lines too."""
+    total = sum(len(line.text) for line, good in zip(lines, strong) if good)
+    best, depth = None, -1
+    for line, good in zip(lines, strong):
+        chain = [*_above(line.node)] if good else []
+        for i, node in enumerate(chain):
+            share = _SHARE_OF_CONTENT if node.tag in _CONTENT else _SHARE
+            if len(chain) - i > depth and node.tag in _HOLDERS and node.weight >= share * total:
+                best, depth = node, len(chain) - i
+    for node in _above(best):
+        if node.tag in _CONTENT and node.weight == best.weight:
+            best = node
     return best
 
 
+def _twins(region: _Node) -> Iterator[_Node]:
+    """Siblings of the region's kind that hold content; if the tag doesn't say that it is
+    content, they must hold a tenth of the region's strong text."""
+    told = region.tag in _CONTENT
+    for node in region.up.down if region.up else ():
+        alike = node is not region and (node.tag, node.names) == (region.tag, region.names)
+        if alike and node.content and (told or node.weight >= _SHARE_OF_TWIN * region.weight):
+            yield node
+
+
+def _without_edges(lines: list[_Line], inside: list[int], strong: list[bool], regions: set[_Node]) -> list[int]:
+    """Lines of a region whose tag says nothing. Blocks inside it that hold no strong line
+    go if they lie before the first or after the last strong one, or are mostly links;
+    its own lines and paragraphs stay however short they are."""
+    marks = [i for i in inside if strong[i]]
+    kept = []
+    for i in inside:
+        below = None
+        for node in _above(lines[i].node):
+            if node in regions:
+                break
+            if node.tag in _HOLDERS:
+                below = node
+        edge = not marks[0] < i < marks[-1] or 2 * lines[i].linked > len(lines[i].text)
+        if below is None or below.strong or not edge:
+            kept.append(i)
+    return kept
+
+
 def main_texts(
     pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
