@@ -20,7 +20,7 @@ from ..sources.arff import arff_lines, write_arff
 from ..sources.legacy import SIZE_KEY
 from ..sources.routed import RoutedLines, stage_routed
 from ..sources.text import read_lines, write_tsv
-from .staging import Staging, stage
+from .staging import Staging, stage, stage_by
 
 
 class FeaturePlan:
@@ -34,7 +34,9 @@ class FeaturePlan:
     then walked once, and the cells are counted from the staged table. ``prune`` keeps the
     records of paths that can't reach ``dpmin`` out of the count: the corpus is walked
     twice unless records are kept, and ``cells`` and ``support`` lack such paths; all
-    that is derived from frequent paths is the same. ``staging`` names the folder for
+    that is derived from frequent paths is the same. ``pairs`` and ``found`` are dealt into
+    ``buckets`` by pair, so the steps that join them or group by pair shuffle neither again;
+    without a number, the session's number of shuffle partitions. ``staging`` names the folder for
     staged tables. ``close``, or leaving a ``with`` block, deletes them.
     """
 
@@ -46,6 +48,7 @@ class FeaturePlan:
         *,
         keep_records: bool = False,
         prune: bool = False,
+        buckets: int | None = None,
         staging: str | None = None,
     ) -> None:
         self.arcs = arcs
@@ -53,6 +56,7 @@ class FeaturePlan:
         self.options = options
         self.keep_records = keep_records
         self.prune = prune
+        self.buckets = buckets
         self.routed: RoutedLines | None = None
         self.staging = Staging(staging)
 
@@ -65,11 +69,13 @@ class FeaturePlan:
         *,
         keep_records: bool = False,
         prune: bool = False,
+        buckets: int | None = None,
         staging: str | None = None,
     ) -> FeaturePlan:
         """A plan over corpus lines that also gives ``routed``, its rejects and the number
         of either kind: the lines are read once, now."""
-        plan = cls(None, labels, options, keep_records=keep_records, prune=prune, staging=staging)
+        settings = {"keep_records": keep_records, "prune": prune, "buckets": buckets, "staging": staging}
+        plan = cls(None, labels, options, **settings)
         plan.routed = stage_routed(lines, plan.staging)
         plan.arcs = plan.routed.arcs
         return plan
@@ -82,11 +88,12 @@ class FeaturePlan:
         labels: DataFrame | None = None,
         options: Options = Options(),
         *,
+        buckets: int | None = None,
         staging: str | None = None,
     ) -> FeaturePlan:
         """Go on from written tables: ``cells`` as ``dp, a, b, n`` and, unless it is to be
         made anew, ``vocabulary`` as ``dp, id``. Steps that need the corpus fail."""
-        plan = cls(None, labels, options, staging=staging)
+        plan = cls(None, labels, options, buckets=buckets, staging=staging)
         plan.__dict__["cells"] = cells
         if vocabulary is not None:
             plan.__dict__["vocabulary"] = vocabulary
@@ -153,13 +160,15 @@ class FeaturePlan:
         if self.labels is None:
             raise ValueError("this step needs a label list")
         stemmed = stem_labels(self.labels.select("w1", "w2", "label"), self.options)
-        return self._stage(feat.pair_labels(stemmed, self.options), "pairs")
+        with self.staging:
+            return stage_by(feat.pair_labels(stemmed, self.options), "pairs", ["a", "b"], self.buckets)
 
     @cached_property
     def found(self) -> DataFrame:
         """Cells of labelled pairs: ``a, b, label, id, n``."""
         cells = feat.labelled_cells(self.cells, self.vocabulary, self.pairs, self.options)
-        return self._stage(cells, "found")
+        with self.staging:
+            return stage_by(cells, "found", ["a", "b"], self.buckets)
 
     @cached_property
     def label_join(self) -> DataFrame:

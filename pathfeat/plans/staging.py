@@ -27,6 +27,7 @@ class Staging:
     def __init__(self, root: str | None = None) -> None:
         self.root = root.rstrip("/") if root else None
         self._paths: list[tuple[SparkSession, str]] = []
+        self._tables: list[tuple[SparkSession, str]] = []
         self._persisted: list[DataFrame] = []
         self._tokens: list = []
 
@@ -46,6 +47,9 @@ class Staging:
         self._persisted.append(df)
 
     def close(self) -> None:
+        while self._tables:
+            spark, name = self._tables.pop()
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         while self._paths:
             spark, path = self._paths.pop()
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,3 +103,28 @@ def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFra
         scope._paths.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
+
+
+def stage_by(df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """``stage``, with the rows dealt into ``buckets`` by a hash of ``keys``.
+
+    Joins and groupings on the keys of tables with equal buckets read them without another
+    shuffle. The rows are shuffled once, here, and every task writes one file. ``buckets``
+    is the session's number of shuffle partitions unless said otherwise; it is how many tasks
+    later steps have, so it should follow the size of the table.
+    """
+    spark, scope = df.sparkSession, _scope.get()
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt, root = df.repartition(buckets, *keys), staging_root(spark)
+    if root is None:
+        dealt = dealt.persist(StorageLevel.DISK_ONLY)
+        if scope is not None:
+            scope._persisted.append(dealt)
+        return dealt
+    table = f"pathfeat_{name}_{uuid.uuid4().hex}"
+    path = f"{root}/pathfeat/{name}-{uuid.uuid4().hex}"
+    if scope is not None:
+        scope._tables.append((spark, table))
+        scope._paths.append((spark, path))
+    dealt.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
