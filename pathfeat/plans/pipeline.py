@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from dataclasses import asdict
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from ..sources.arff import arff_lines, write_arff
 from ..sources.legacy import SIZE_KEY
 from ..sources.routed import RoutedLines, stage_routed
 from ..sources.text import read_lines, write_tsv
+from .outputs import Outputs, files_fingerprint, fingerprint
 from .staging import Staging, stage, stage_by
 
 
@@ -94,9 +97,9 @@ class FeaturePlan:
         """Go on from written tables: ``cells`` as ``dp, a, b, n`` and, unless it is to be
         made anew, ``vocabulary`` as ``dp, id``. Steps that need the corpus fail."""
         plan = cls(None, labels, options, buckets=buckets, staging=staging)
-        plan.__dict__["cells"] = cells
+        plan.adopt("cells", cells)
         if vocabulary is not None:
-            plan.__dict__["vocabulary"] = vocabulary
+            plan.adopt("vocabulary", vocabulary)
         return plan
 
     def __enter__(self) -> FeaturePlan:
@@ -120,14 +123,24 @@ class FeaturePlan:
         records = path_records(self.arcs, self.options)
         return self._stage(records, "records") if self.keep_records else records
 
-    @cached_property
-    def cells(self) -> DataFrame:
+    def adopt(self, step: str, rows: DataFrame) -> None:
+        """Take ``rows`` for a step, as a table that was written from it."""
+        if not isinstance(getattr(type(self), step, None), cached_property):
+            raise ValueError(f"there is no step {step}")
+        self.__dict__[step] = rows
+
+    def count_cells(self) -> DataFrame:
+        """``cells``, not staged."""
         records = self.records.select("dp", "a", "b")
         if self.prune:
             counters = self._stage(sketch.support_sketch(records), "sketch")
             bits = self._stage(sketch.heavy_bits(counters, self.options.dpmin), "bits")
             records = sketch.possibly_frequent(records, bits)
-        return self._stage(voc.path_cells(records), "cells")
+        return voc.path_cells(records)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return self._stage(self.count_cells(), "cells")
 
     @cached_property
     def support(self) -> DataFrame:
@@ -137,10 +150,14 @@ class FeaturePlan:
     def frequent(self) -> DataFrame:
         return voc.frequent_paths(self.support, self.options.dpmin)
 
+    def number_paths(self) -> DataFrame:
+        """``vocabulary``, not staged."""
+        with self.staging:
+            return voc.number_paths(self.frequent)
+
     @cached_property
     def vocabulary(self) -> DataFrame:
-        with self.staging:
-            return stage(voc.number_paths(self.frequent), "vocabulary")
+        return self._stage(self.number_paths(), "vocabulary")
 
     @cached_property
     def size(self) -> DataFrame:
@@ -190,13 +207,13 @@ class FeaturePlan:
     def dense_cells(self) -> DataFrame:
         return feat.dense_cells(self.found, self.pairs, self.size)
 
-    def arff_lines(self) -> DataFrame:
+    def arff_lines(self, form: str = "dense") -> DataFrame:
         with self.staging:
-            return arff_lines(self.sparse, self.vocabulary, self.size)
+            return arff_lines(self.sparse, self.vocabulary, self.size, form)
 
-    def write_arff(self, path: str) -> None:
+    def write_arff(self, path: str, form: str = "dense") -> None:
         with self.staging:
-            write_arff(self.sparse, self.vocabulary, self.size, path)
+            write_arff(self.sparse, self.vocabulary, self.size, path, form=form)
 
     def predictions(
         self,
@@ -227,61 +244,112 @@ def run(
     write_records: bool = False,
     write_rejects: bool = True,
     text_copies: bool = False,
+    arff_form: str = "dense",
     kept_paths_only: bool = False,
+    resume: bool = False,
     partitions: int | None = None,
+    buckets: int | None = None,
     staging: str | None = None,
 ) -> FeaturePlan:
     """Read a corpus and a label list, write every result below ``output``.
 
     Parquet: ``cells``, ``frequent_paths``, ``vocabulary``, ``vector_size``, ``label_join``,
     ``without_evidence``, ``vectors`` (sparse) and, on request, ``kept_records`` and
-    ``numbered_pairs``; ``arff`` as text. With a classifier also ``predictions``,
+    ``numbered_pairs``; ``arff`` as text, with ``dense`` or ``sparse`` lines. With a classifier also ``predictions``,
     ``summary``, ``class_details`` and ``samples``. ``text_copies`` adds the
     tab-separated form of the vocabulary and its size. With rejects, lines are read and
     parsed once into a staged table of arcs and one of rejects, and ``line_counts`` has
     their numbers. ``kept_paths_only`` leaves cells of paths that can't reach ``dpmin`` out
     of ``cells`` and out of the shuffle. ``partitions`` spreads a corpus of files that
-    can't be split. Close the plan that is returned to delete staged tables;
-    ``FeaturePlan.from_tables`` goes on from the written ones.
+    can't be split.
+
+    ``resume`` goes on after a run into the same folder that was broken off: tables that
+    are finished and were made from the same files and options are read, all others
+    are made, in place of what is there. The corpus is read only if a table that comes
+    from it is missing, so another ``dpmin`` or label list starts from the cells.
+
+    The plan that is returned reads ``cells``, ``vocabulary`` and ``vectors`` from
+    ``output``. Close it to delete staged tables; ``FeaturePlan.from_tables`` goes on from
+    the written ones.
     """
-    lines = read_lines(spark, corpus, partitions)
+    out = Outputs(spark, output, resume)
     label_lines = spark.read.text(label_list)
-    settings = {"keep_records": write_records, "prune": kept_paths_only, "staging": staging}
     labels = parse_labels(label_lines)
-    if write_rejects:
-        plan = FeaturePlan.from_lines(lines, labels, options, **settings)
+    settings = {"keep_records": write_records, "prune": kept_paths_only, "buckets": buckets, "staging": staging}
+    marks = _marks(spark, corpus, label_list, options, kept_paths_only, (classifier, folds, asdict(models)))
+
+    of_corpus = ["cells"]
+    of_corpus += ["kept_records", "numbered_pairs"] if write_records else []
+    of_corpus += ["rejected_lines", "line_counts"] if write_rejects else []
+    missing = [name for name in of_corpus if not out.finished(name, marks[name])]
+    if not missing:
+        plan = FeaturePlan(None, labels, options, **settings)
     else:
-        plan = FeaturePlan(parse_arcs(lines), labels, options, **settings)
-
-    def write(df: DataFrame, name: str) -> None:
-        df.write.parquet(f"{output}/{name}")
-
-    write(plan.cells, "cells")
-    write(plan.frequent, "frequent_paths")
-    write(plan.vocabulary, "vocabulary")
-    write(plan.size, "vector_size")
+        lines = read_lines(spark, corpus, partitions)
+        if write_rejects:
+            plan = FeaturePlan.from_lines(lines, labels, options, **settings)
+        else:
+            plan = FeaturePlan(parse_arcs(lines), labels, options, **settings)
+
+    def write(name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        return out.table(name, marks[name], rows)
+
+    plan.adopt("cells", write("cells", plan.count_cells))
+    plan.adopt("frequent", write("frequent_paths", lambda: plan.frequent))
+    plan.adopt("vocabulary", write("vocabulary", plan.number_paths))
+    write("vector_size", lambda: plan.size)
     if text_copies:
-        write_tsv(plan.vocabulary.select("dp", "id"), f"{output}/vocabulary_tsv")
         size = plan.size.select(F.lit(SIZE_KEY).alias("key"), "vec_size")
-        write_tsv(size, f"{output}/vector_size_tsv")
+        for name, df in (("vocabulary_tsv", plan.vocabulary.select("dp", "id")), ("vector_size_tsv", size)):
+            out.make(name, marks["vocabulary"], partial(write_tsv, df))
     if write_records:
-        write(plan.kept_records, "kept_records")
-        write(plan.numbered_pairs, "numbered_pairs")
+        write("kept_records", lambda: plan.kept_records)
+        write("numbered_pairs", lambda: plan.numbered_pairs)
     if write_rejects:
-        write(plan.routed.rejects, "rejected_lines")
-        write(reject_labels(label_lines), "rejected_labels")
-        counts = [("arcs", plan.routed.n_arcs), ("rejects", plan.routed.n_rejects)]
-        write(spark.createDataFrame(counts, "kind string, n bigint").coalesce(1), "line_counts")
-    write(plan.label_join, "label_join")
-    write(plan.without_evidence, "without_evidence")
-    write(plan.sparse, "vectors")
-    plan.write_arff(f"{output}/arff")
+        write("rejected_lines", lambda: plan.routed.rejects)
+        write("rejected_labels", lambda: reject_labels(label_lines))
+        write("line_counts", lambda: plan.routed.counts)
+    write("label_join", lambda: plan.label_join)
+    write("without_evidence", lambda: plan.without_evidence)
+    plan.adopt("sparse", write("vectors", lambda: plan.sparse))
+    out.make("arff", fingerprint(marks["vectors"], arff_form), partial(plan.write_arff, form=arff_form))
     if classifier is not None:
-        predictions = plan.predictions(classifier, folds, models)
-        write(predictions, "predictions")
+        predictions = write("predictions", lambda: plan.predictions(classifier, folds, models))
         with plan.staging:
-            write(summary(predictions), "summary")
-            write(class_details(predictions), "class_details")
-            write(weighted_average(predictions), "weighted_average")
-            write(confusion_samples(predictions), "samples")
+            write("summary", lambda: summary(predictions))
+            write("class_details", lambda: class_details(predictions))
+            write("weighted_average", lambda: weighted_average(predictions))
+            write("samples", lambda: confusion_samples(predictions))
     return plan
+
+
+def _marks(
+    spark: SparkSession,
+    corpus: str | list[str],
+    label_list: str | list[str],
+    options: Options,
+    pruned: bool,
+    training: tuple,
+) -> dict[str, str]:
+    """What every table of a run is made from: the files, options and tables that bear on
+    it. How walks are unrolled, where tables are staged and how many tasks there are
+    changes no result."""
+    o = asdict(options)
+    words = [o["stem_scope"], o["lower"]]
+    lines, pairs = files_fingerprint(spark, corpus), files_fingerprint(spark, label_list)
+    walked = [lines, *words, o["path_format"], o["noun_on"], o["pair_scope"]]
+    cells = fingerprint("cells", walked, o["dpmin"] if pruned else None)
+    vocabulary = fingerprint("vocabulary", fingerprint("cells", walked, None), o["dpmin"])
+    found = fingerprint("found", vocabulary, pairs, *words, o["symmetric"], o["label_rule"])
+    trained = fingerprint("trained", found, training)
+    groups = {
+        fingerprint("lines", lines): ["rejected_lines", "line_counts"],
+        fingerprint("pairs", pairs): ["rejected_labels"],
+        cells: ["cells"],
+        vocabulary: ["frequent_paths", "vocabulary", "vector_size"],
+        fingerprint("kept", vocabulary): ["kept_records"],
+        fingerprint("numbered", vocabulary, o["symmetric"]): ["numbered_pairs"],
+        found: ["label_join", "without_evidence", "vectors"],
+        trained: ["predictions", "summary", "class_details", "weighted_average", "samples"],
+    }
+    return {name: mark for mark, names in groups.items() for name in names}

@@ -51,9 +51,7 @@ class Staging:
             spark, name = self._tables.pop()
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         while self._paths:
-            spark, path = self._paths.pop()
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            delete(*self._paths.pop())
         while self._persisted:
             self._persisted.pop().unpersist()
 
@@ -63,6 +61,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all in it, or a file, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="pathfeat-")

@@ -2,12 +2,17 @@
 
 The export is a directory of part files that, read in name order, are one ARFF
 document: the header first, then per vector a comment ``%n a b`` and the data line.
-No task sees the whole of it. ``cat */part-*`` makes the single file.
+No task sees the whole of it. ``parts.join_parts`` makes the single file where the file
+system can join files, ``parts.part_list`` says where each part starts.
+
+Data lines are dense, ``0,3,0,True``, or sparse, ``{1 3, 3 True}``: place and value of what
+isn't zero, in any place order when read, the class at the place after the last path.
+A sparse line holds as much text as its pair has paths, however many there are in all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.features import dense_array, vector_text
@@ -48,9 +53,27 @@ def arff_body(numbered: DataFrame, size: DataFrame) -> DataFrame:
     )
 
 
-def arff_lines(sparse: DataFrame, vocabulary: DataFrame, size: DataFrame) -> DataFrame:
+def sparse_arff_body(numbered: DataFrame, size: DataFrame) -> DataFrame:
+    """``arff_body`` with sparse data: nothing of the length of the vocabulary is made."""
+    comment = F.concat(F.lit("%"), F.col("num").cast("string"), F.lit("\t"), "a", F.lit("\t"), "b")
+    entry = lambda c: F.concat(c["id"].cast("string"), F.lit(" "), c["n"].cast("string"))
+    label = F.concat(F.col("_size").cast("string"), F.lit(" "), F.when(F.col("label"), "True").otherwise("False"))
+    entries = F.concat_ws(", ", F.transform("cells", entry), label)
+    return numbered.withColumn("_size", size.scalar()).select(
+        F.lit(4).alias("section"),
+        "num",
+        F.concat(comment, F.lit("\n{"), entries, F.lit("}")).alias("value"),
+    )
+
+
+BODIES = {"dense": arff_body, "sparse": sparse_arff_body}
+
+
+def arff_lines(
+    sparse: DataFrame, vocabulary: DataFrame, size: DataFrame, form: str = "dense"
+) -> DataFrame:
     """All lines of the document as ``section, num, part, value``."""
-    body = arff_body(number_vectors(sparse), size).select(
+    body = BODIES[form](number_vectors(sparse), size).select(
         "section", "num", F.posexplode(F.split("value", "\n")).alias("part", "value")
     )
     header = arff_header(vocabulary).select("section", "num", F.lit(0).alias("part"), "value")
@@ -63,14 +86,16 @@ def write_arff(
     size: DataFrame,
     path: str,
     mode: str = "errorifexists",
+    form: str = "dense",
 ) -> None:
-    """Write the document as ordered part files in two folders, ``0-header`` and ``1-data``.
+    """Write the document as ordered part files in two folders, ``0-header`` and ``1-data``,
+    with ``dense`` or ``sparse`` data lines.
 
     Both are sorted as narrow rows: the paths, and the sparse vectors.
     """
     header = arff_header(vocabulary).orderBy("section", "num")
     header.select("value").write.mode(mode).text(f"{path}/0-header")
-    body = arff_body(number_vectors(sparse).orderBy("num"), size)
+    body = BODIES[form](number_vectors(sparse).orderBy("num"), size)
     body.select("value").write.mode(mode).text(f"{path}/1-data")
 
 
@@ -117,3 +142,41 @@ def read_arff_pairs(spark: SparkSession, path: str) -> DataFrame:
         F.slice("_p", F.lit(1), F.size("_p") - 1).cast("array<bigint>").alias("features"),
         (F.lower(F.get("_p", F.size("_p") - 1)) == "true").alias("label"),
     )
+
+
+def _sparse_cells(data: Column) -> list[Column]:
+    """``cells, label`` of a sparse data line: cells in id order, zeros left out."""
+    inner = F.regexp_extract(data, r"^\s*\{(.*)\}\s*$", 1)
+    entries = F.transform(F.split(inner, ","), lambda e: F.split(F.trim(e), r"\s+"))
+    pairs = F.filter(entries, lambda e: F.size(e) == 2)
+    number = lambda e: F.get(e, F.lit(1)).try_cast("bigint")
+    counted = F.filter(pairs, lambda e: number(e) != 0)
+    cell = lambda e: F.struct(F.get(e, F.lit(0)).cast("bigint").alias("id"), number(e).alias("n"))
+    said = F.filter(pairs, lambda e: number(e).isNull())
+    # A nominal value that is left out is the first one declared, which is True.
+    label = F.coalesce(F.lower(F.get(F.get(said, F.lit(0)), F.lit(1))) == "true", F.lit(True))
+    return [F.array_sort(F.transform(counted, cell)).alias("cells"), label.alias("label")]
+
+
+def parse_sparse_arff(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Sparse data lines as ``cells, label``."""
+    data = F.col(value)
+    return lines.where(data.rlike(r"^\s*\{")).select(*_sparse_cells(data))
+
+
+def read_sparse_arff(spark: SparkSession, path: str) -> DataFrame:
+    return parse_sparse_arff(_texts(spark, path))
+
+
+def read_sparse_arff_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Sparse vectors ``num, a, b, label, cells`` with the pairs of their comments."""
+    records = _texts(spark, path, lineSep="%").select(F.split("value", "[\t\n]").alias("_r"))
+    data = records.where((F.size("_r") >= 4) & F.get("_r", F.lit(0)).rlike("^[0-9]+$"))
+    cells, label = _sparse_cells(F.get("_r", F.lit(3)))
+    return data.select(
+        F.get("_r", F.lit(0)).cast("bigint").alias("num"),
+        F.get("_r", F.lit(1)).alias("a"),
+        F.get("_r", F.lit(2)).alias("b"),
+        label,
+        cells,
+    )

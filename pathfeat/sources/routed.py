@@ -29,6 +29,12 @@ class RoutedLines:
     n_arcs: int
     n_rejects: int
 
+    @property
+    def counts(self) -> DataFrame:
+        """``kind, n`` of either kind."""
+        rows = [("arcs", self.n_arcs), ("rejects", self.n_rejects)]
+        return self.arcs.sparkSession.createDataFrame(rows, "kind string, n bigint").coalesce(1)
+
 
 def stage_routed(lines: DataFrame, staging: Staging, value: str = "value") -> RoutedLines:
     """Read the lines once and stage both kinds, deleted when ``staging`` is closed."""

@@ -401,6 +401,19 @@ def _predicted_sql(select: str, *more: str) -> str:
     return _with(*_PREDICTED, *more, select=select, recursive=True)
 
 
+def _arff_sql(data: str) -> str:
+    return f"""SELECT 0 AS section, 0 AS num, 0 AS part, '@RELATION vectors' AS value
+UNION ALL SELECT 1, id, 0, '@ATTRIBUTE col' || id || ' NUMERIC' FROM vocab
+UNION ALL SELECT 2, 0, 0, '@ATTRIBUTE class {{True, False}}'
+UNION ALL SELECT 3, 0, 0, '@DATA'
+UNION ALL SELECT 4, num, 0, '%' || num || chr(9) || a || chr(9) || b FROM numbered
+UNION ALL SELECT 4, num, 1, {data} FROM numbered"""
+
+
+_ARFF_LINES = _arff_sql("vector || CASE WHEN label THEN ',True' ELSE ',False' END")
+_NUMBERED = "numbered AS (SELECT *, row_number() OVER (ORDER BY a, b) AS num FROM vectors)"
+
+
 def _formats() -> str:
     def body(inner: str, end: str) -> str:
         return _walk(inner, end)
@@ -592,16 +605,17 @@ FROM dense CROSS JOIN vec""",
         select="SELECT a, b, label, vector FROM vectors",
         recursive=True,
     ),
-    "arff_lines": _labelled_sql(
-        """SELECT 0 AS section, 0 AS num, 0 AS part, '@RELATION vectors' AS value
-UNION ALL SELECT 1, id, 0, '@ATTRIBUTE col' || id || ' NUMERIC' FROM vocab
-UNION ALL SELECT 2, 0, 0, '@ATTRIBUTE class {True, False}'
-UNION ALL SELECT 3, 0, 0, '@DATA'
-UNION ALL SELECT 4, num, 0, '%' || num || chr(9) || a || chr(9) || b FROM numbered
-UNION ALL SELECT 4, num, 1, vector || CASE WHEN label THEN ',True' ELSE ',False' END FROM numbered""",
-        _DENSE,
-        "numbered AS (SELECT *, row_number() OVER (ORDER BY a, b) AS num FROM vectors)",
+    "arff_lines": _labelled_sql(_ARFF_LINES, _DENSE, _NUMBERED),
+    "arff_bytes": _labelled_sql(
+        f"SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes FROM ({_ARFF_LINES})", _DENSE, _NUMBERED
+    ),
+    "sparse_arff_lines": _labelled_sql(
+        _arff_sql("entries"),
+        """entered AS (SELECT a, b, label, string_agg(id || ' ' || n, ', ' ORDER BY id) AS cells FROM found GROUP BY ALL)""",
+        """numbered AS (SELECT *, row_number() OVER (ORDER BY a, b) AS num, '{' || cells || ', ' ||
+  (SELECT count(*) FROM vocab) || CASE WHEN label THEN ' True}' ELSE ' False}' END AS entries FROM entered)""",
     ),
+    "sparse_arff_roundtrip": _labelled_sql("SELECT a, b, label, vector FROM vectors", _DENSE),
     "arff_roundtrip": _labelled_sql("SELECT a, b, label, vector FROM vectors", _DENSE),
     "resumed_vectors": _labelled_sql("SELECT a, b, label, vector FROM vectors", _DENSE),
     "tsv_roundtrip": _labelled_sql(

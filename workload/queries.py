@@ -18,6 +18,7 @@ from pathfeat.operators.stemming import stem_arcs
 from pathfeat.plans.staging import CHECKPOINT_DIR, Staging, staging_root
 from pathfeat.plans.store import CellStore
 from pathfeat.sources import arff, legacy
+from pathfeat.sources.parts import part_list
 from pathfeat.sources.routed import stage_routed
 from pathfeat.sources.text import read_arcs, read_tsv, write_tsv
 
@@ -243,6 +244,27 @@ def arff_roundtrip(spark, sf_dir):
     return _vector_rows(arff.read_arff_pairs(spark, path))
 
 
+def sparse_arff_lines(spark, sf_dir):
+    """The document with sparse data lines."""
+    return plan(spark, sf_dir).arff_lines("sparse")
+
+
+def sparse_arff_roundtrip(spark, sf_dir):
+    """Vectors that were written as sparse lines and read again, made dense."""
+    p = plan(spark, sf_dir)
+    path = _folder(spark, "sparse-arff")
+    p.write_arff(path, "sparse")
+    return _vector_rows(features.dense_vectors(arff.read_sparse_arff_pairs(spark, path), p.size))
+
+
+def arff_bytes(spark, sf_dir):
+    """Bytes of the document, from the list of its parts."""
+    path = _folder(spark, "parts")
+    plan(spark, sf_dir).write_arff(path)
+    listed = part_list(spark, path)
+    return listed.agg(F.max(F.col("first") + F.col("length")).alias("n_bytes"))
+
+
 def resumed_vectors(spark, sf_dir):
     """Vectors from cells and a vocabulary that were written and read again."""
     first = plan(spark, sf_dir)
@@ -439,6 +461,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labeled_vectors_compatible": labeled_vectors_compatible,
     "arff_lines": arff_lines,
     "arff_roundtrip": arff_roundtrip,
+    "sparse_arff_lines": sparse_arff_lines,
+    "sparse_arff_roundtrip": sparse_arff_roundtrip,
+    "arff_bytes": arff_bytes,
     "resumed_vectors": resumed_vectors,
     "tsv_roundtrip": tsv_roundtrip,
     "text_corpus": text_corpus,
