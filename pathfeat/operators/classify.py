@@ -28,6 +28,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ..plans.staging import stage
 from .bayes import naive_bayes
+from .linear import LinearModels, weights_table
 from .numbering import dense_ids
 from .tree import Trees, grow_trees
 
@@ -166,28 +167,53 @@ def _fitted_per_fold(
     sparse: DataFrame, size: int, classifier: str, folds: int, models: ModelOptions
 ) -> DataFrame:
     """Predictions of Spark ML's models, ``models.parallel`` folds at a time."""
+    data, fitted = _fitted(assign_folds(sparse, folds), size, classifier, models)
+    parts = [model.transform(data.where(F.col("fold") == fold)) for fold, model in fitted.items()]
+    predicted = reduce(DataFrame.unionByName, parts)
+    if "probability" in predicted.columns:
+        score = vector_to_array("probability")[1]
+    else:
+        score = F.col("prediction")
+    return predicted.select(
+        "a", "b", "label", "fold", score.alias("score"), (F.col("prediction") == 1).alias("prediction")
+    )
+
+
+def _fitted(
+    folded: DataFrame, size: int, classifier: str, models: ModelOptions
+) -> tuple[DataFrame, dict[int, Model]]:
+    """The vectors for Spark ML and the model fitted without each fold."""
     # Both classes are declared, as a small training set may hold only one.
     classes = {"ml_attr": {"type": "nominal", "name": "target", "vals": ["false", "true"]}}
-    data, used = _folded(ml_vectors(assign_folds(sparse, folds), size).withMetadata("target", classes))
+    data, used = _folded(ml_vectors(folded, size).withMetadata("target", classes))
 
-    def predict(fold: int) -> DataFrame:
+    def fit(fold: int) -> Model:
         estimator = ESTIMATORS[classifier](models)
         estimator.setFeaturesCol("features").setLabelCol("target")
         model = estimator.fit(data.where(F.col("fold") != fold))
         _warn_unconverged(model, classifier, fold, models)
-        return model.transform(data.where(F.col("fold") == fold))
+        return model
 
     with ThreadPoolExecutor(max(1, models.parallel)) as pool:
-        jobs = [pool.submit(copy_context().run, predict, fold) for fold in used]
-        parts = [job.result() for job in jobs]
-    predicted = reduce(DataFrame.unionByName, parts)
-    if "probability" in predicted.columns:
-        score = vector_to_array("probability")[1]
-    else:
-        score = F.col("prediction")
-    return predicted.select(
-        "a", "b", "label", "fold", score.alias("score"), (F.col("prediction") == 1).alias("prediction")
-    )
+        jobs = {fold: pool.submit(copy_context().run, fit, fold) for fold in used}
+        return data, {fold: job.result() for fold, job in jobs.items()}
+
+
+def linear_models(
+    sparse: DataFrame,
+    size: int,
+    classifier: str = "logistic",
+    folds: int = 10,
+    models: ModelOptions = ModelOptions(),
+) -> LinearModels:
+    """The models that ``cross_validate`` predicts with, as a table of weights."""
+    if classifier not in ("logistic", "linear_svc"):
+        raise ValueError("only logistic and linear_svc are linear models")
+    folded = stage(assign_folds(sparse, folds), "folded")
+    _, fitted = _fitted(folded, size, classifier, models)
+    weights = stage(weights_table(sparse.sparkSession, fitted), "weights")
+    penalty = models.reg_param if classifier == "linear_svc" else 0.0
+    return LinearModels(folded, weights, list(fitted), classifier, penalty)
 
 
 def with_prior(predictions: DataFrame) -> DataFrame:

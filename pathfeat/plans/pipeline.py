@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators import sketch
 from ..operators import vocabulary as voc
-from ..operators.classify import ModelOptions, cross_validate, decision_trees
+from ..operators.classify import ModelOptions, cross_validate, decision_trees, linear_models
 from ..operators.evaluate import class_details, confusion_samples, summary, weighted_average
+from ..operators.linear import LinearModels
 from ..operators.parse import parse_arcs, parse_labels, reject_labels
 from ..operators.paths import path_records
 from ..operators.stemming import stem_labels
@@ -225,6 +226,14 @@ class FeaturePlan:
         with self.staging:
             return cross_validate(self.sparse, size, classifier, folds, models)
 
+    def linear_models(
+        self, classifier: str = "logistic", folds: int = 10, models: ModelOptions = ModelOptions()
+    ) -> LinearModels:
+        """Every fold's linear model as a table, see ``operators.linear``."""
+        size = self.size.first()["vec_size"]
+        with self.staging:
+            return linear_models(self.sparse, size, classifier, folds, models)
+
     def trees(self, folds: int = 10, models: ModelOptions = ModelOptions()) -> DataFrame:
         """The nodes of every fold's decision tree, see ``operators.tree``."""
         with self.staging:

@@ -423,6 +423,11 @@ def tree_class_details(spark, sf_dir):
     return _rounded(evaluate.class_details(plan(spark, sf_dir).predictions("decision_tree")))
 
 
+def logistic_gradient(spark, sf_dir):
+    """Weights of every fold's logistic model and the gradient over its training rows."""
+    return plan(spark, sf_dir).linear_models("logistic").gradient()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_arcs": parsed,
     "reject_arcs": rejected,
@@ -481,5 +486,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "naive_bayes_predictions": naive_bayes_predictions,
     "naive_bayes_class_details": naive_bayes_class_details,
     "logistic_class_details": _trained("logistic"),
+    "logistic_gradient": logistic_gradient,
     "linear_svc_class_details": _trained("linear_svc"),
 }
