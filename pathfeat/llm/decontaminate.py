@@ -31,7 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, lowered, row_of, schema_after, span_hashes, text_bytes, word_spans
+from .columns import (
+    blocks,
+    column,
+    give_back,
+    lowered,
+    row_of,
+    schema_after,
+    span_hashes,
+    text_bytes,
+    word_spans,
+)
 from .fm_index import FMIndex
 
 IS_WORD = np.zeros(256, bool)
@@ -320,6 +330,7 @@ def decontaminated(
 
 def _searcher(shared, stated: bool, last: bool, share: int, names: list[str], texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(others=True)
         windows: Windows = shared.value
         windows.prepare()
         for batch in batches:
@@ -334,5 +345,6 @@ def _searcher(shared, stated: bool, last: bool, share: int, names: list[str], te
                 if texts:
                     head["text"] = part.column("text")
                 yield pa.RecordBatch.from_arrays([*head.values(), *out], names=[*head, *names])
+        give_back()
 
     return run

@@ -41,7 +41,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import Staging, stage, staging_root
-from .columns import blocks, column, lowered, mixed, row_of, span_hashes, text_bytes, word_spans
+from .columns import (
+    blocks,
+    column,
+    give_back,
+    lowered,
+    mixed,
+    row_of,
+    span_hashes,
+    text_bytes,
+    word_spans,
+)
 from .components import components
 
 IS_WORD = np.ones(256, bool)
@@ -96,6 +106,7 @@ def signatures(sets: np.ndarray, edge: np.ndarray, hashes: int) -> np.ndarray:
 
 def _profiles(width: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(others=True)
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             parts = []
@@ -124,6 +135,7 @@ def _profiles(width: int, hashes: int):
                 ],
                 names=["key", "n", "s1", "s2", "sig"],
             )
+        give_back()
 
     return run
 
@@ -190,11 +202,25 @@ def _plausible_pairs(hashes: int, limits: list[tuple[int, int]]):
     return run
 
 
+def _linked_pairs(hashes: int, limits: list[tuple[int, int]], width: int, top: int, bottom: int):
+    """Plausible pairs that full sets confirm. Both steps are one operator of the plan: two
+    would keep two worker processes for each core."""
+    candidates, confirmed = _plausible_pairs(hashes, limits), _confirmed(width, top, bottom)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(others=True)
+        yield from confirmed(candidates(batches))
+        give_back()
+
+    return run
+
+
 def _linked_chunks(hashes: int, limits: list[tuple[int, int]], width: int, top: int, bottom: int):
     """Links between different components within a chunk or a pair of chunks. A pair that
     links found here already connect is not looked at: what comes out is a forest."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back(others=True)
         table = table.combine_chunks()
         chunk = table.column("chunk").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -369,8 +395,8 @@ def _near_duplicates(
 
     stars = members.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
     links = stars.distinct().join(side("b"), "b").join(side("a"), "a")
-    links = links.mapInArrow(_plausible_pairs(hashes, limits), f"{pair}, text_a string, text_b string")
-    links = stage(links.mapInArrow(_confirmed(width, top, bottom), pair), "links")
+    links = links.mapInArrow(_linked_pairs(hashes, limits, width, top, bottom), pair)
+    links = stage(links, "links")
     labels = components(links)
 
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -465,6 +491,7 @@ def _facing(members: DataFrame, texts: DataFrame, most_chunks: int) -> DataFrame
 
 def _with_digests(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(others=True)
         for batch in batches:
             raw, offsets = text_bytes(batch.column("text"))
             sums = np.zeros((2, batch.num_rows), np.uint64)
@@ -479,5 +506,6 @@ def _with_digests(width: int):
                 [batch.column("key"), batch.column("text"), pa.array(sums[0]), pa.array(sums[1])],
                 names=["key", "text", "s1", "s2"],
             )
+        give_back()
 
     return run

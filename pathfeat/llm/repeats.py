@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, mixed, row_of, schema_after, span_hashes, text_bytes
+from .columns import blocks, column, give_back, mixed, row_of, schema_after, span_hashes, text_bytes
 from .suffixes import common_prefixes, sort_suffixes
 
 _PART = 16
@@ -114,6 +114,7 @@ def _with_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _key_sender(length: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
+        give_back(others=True)
         raw, offsets, ids = _with_ids(table)
         row, first, final, keys = _runs(raw, offsets, length)
         shard = _shards_of(keys, shards)
@@ -165,6 +166,7 @@ def _answer(most_runs: int):
     which of them have more than ``most_runs`` runs."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back(others=True)
         parts = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
         several = np.concatenate(
             [_flags(x, len(p)) for x, p in zip(table.column("several").to_pylist(), parts)]
@@ -218,6 +220,7 @@ def _unpacked(payload: bytes, size: int, kinds: list) -> list[np.ndarray]:
 
 def _run_sender(length: int, shards: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back(others=True)
         kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int64()]
         if not table.num_rows or not answers.num_rows:
             return _table([], kinds, _SENT)
@@ -300,6 +303,7 @@ def _content(raw, offsets, row, first, last, length) -> np.ndarray:
 
 def _shard_marker(length: int):
     def run(table: pa.Table) -> pa.Table:
+        give_back(others=True)
         groups: list[int] = []
         parts: list[list[np.ndarray]] = []
         rows: list[tuple] = []
@@ -345,6 +349,7 @@ def _shard_marker(length: int):
 
 def _cutter(outputs: tuple[str, ...]):
     def run(table: pa.Table, marks: pa.Table) -> pa.Table:
+        give_back(others=True)
         if table.num_rows:
             table = _sorted_rows(table)
         return _cut(table, zip(*(marks.column(c).to_pylist() for c in ("payload", "size"))), outputs)
@@ -354,6 +359,7 @@ def _cutter(outputs: tuple[str, ...]):
 
 def _keeper(outputs: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(others=True)
         for batch in batches:
             yield from _cut(pa.Table.from_batches([batch]), (), outputs).to_batches()
 
