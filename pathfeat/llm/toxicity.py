@@ -10,8 +10,9 @@ together, and cut into blocks; the posting lists of common terms are cut at the
 places and store their largest weight in each block. A block's maxima bound the cosine of
 all its examples; rare terms, whose lists are short, are added up as they are. Blocks of
 the largest bounds come first, and one whose bound is below the k-th cosine so far is
-skipped. Products are taken in single precision with room for its rounding; examples that
-may be among the k nearest get their cosine in double precision, so neighbours are exact.
+skipped. Products with common terms are taken in single precision with room for its
+rounding; examples that may be among the k nearest get them in double precision, beside
+what rare terms added up to, so neighbours are exact.
 
 Neighbours vote by their distance, and with them, as one more voter of the weight that an
 example of cosine ``_TRUST`` has, a lexicon: the words and beginnings of 3 to 6 bytes that
@@ -280,7 +281,8 @@ class Index:
 
     def _prepared(self) -> None:
         """Lists by term: a term that at least one in ``common`` examples holds has a dense
-        one in blocks, with their maxima; any other has a plain one."""
+        one in blocks, with their maxima, and its weights in double precision by example;
+        any other has a plain one."""
         if hasattr(self, "_blocks"):
             return
         n, terms, weight = len(self.ids), self.terms, self.weight
@@ -301,9 +303,11 @@ class Index:
         self._blocks = np.zeros((n_blocks, len(often), _WIDTH), np.float32)
         self._blocks[place // _WIDTH, row, place % _WIDTH] = weight[own]
         self._maxima = np.ascontiguousarray(self._blocks.max(axis=2).T)
+        self._exact = np.zeros((n, len(often)))
+        self._exact[place, row] = weight[own]
         terms, weight, place = terms[~own], weight[~own], self._place[rows[~own]]
         by = np.lexsort([place, terms])
-        self._post_place, self._post_weight = place[by].astype(np.int32), weight[by]
+        self._post_place, self._post_weight = place[by], weight[by]
         self._post_at = np.searchsorted(terms[by], np.arange(len(held) + 1))
         del rows, held, own, row, held_by, place, terms, weight, by
         give_back()
@@ -331,34 +335,36 @@ class Index:
         n = len(self._order)
         row = self._dense_row[terms]
         own = row >= 0
-        part = np.zeros((m, len(self._maxima)), np.float32)
-        part[query[own], row[own]] = weight[own]
+        common = np.zeros((m, len(self._maxima)))
+        common[query[own], row[own]] = weight[own]
         own = np.flatnonzero(~own)
         begin = self._post_at[terms[own]]
         size = self._post_at[terms[own] + 1] - begin
-        place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
-        cell = np.repeat(query[own] * n, size) + self._post_place[place]
-        rare = self._post_weight[place] * np.repeat(weight[own], size)
-        rare = np.bincount(cell, rare, minlength=m * n).reshape(m, -1, _WIDTH)
+        edge = np.append(0, np.cumsum(size))
+        begin -= edge[:-1]
+        cut = np.searchsorted(own, at)
+        # Query by query: what a query reads of the lists stays small enough for a cache.
+        rare = np.zeros((m, n))
+        for q in range(m):
+            mine = slice(cut[q], cut[q + 1])
+            place = np.repeat(begin[mine], size[mine])
+            if len(place):
+                place += np.arange(edge[cut[q]], edge[cut[q + 1]])
+                product = np.repeat(weight[own[mine]], size[mine])
+                product *= self._post_weight[place]
+                rare[q] = np.bincount(self._post_place[place], product, n)
+        rare = rare.reshape(m, -1, _WIDTH)
         out = np.full(m, -1)
         out[leave >= 0] = self._place[leave[leave >= 0]]
-        score, least = self._pruned(part, rare, k, out)
-        dense = np.zeros(len(self.idf) + 1)
+        score, least = self._pruned(common.astype(np.float32), rare, k, out)
         found = []
         for q in range(m):
-            near = self._order[np.flatnonzero(score[q] >= least[q])]
-            mine = slice(at[q], at[q + 1])
-            dense[terms[mine]] = weight[mine]
-            size = self.at[near + 1] - self.at[near]
-            edge = np.cumsum(size) - size
-            place = np.arange(int(size.sum())) + np.repeat(self.at[near] - edge, size)
-            cosine = np.zeros(0)
-            if len(near):
-                cosine = np.add.reduceat(dense[self.terms[place]] * self.weight[place], edge)
+            place = np.flatnonzero(score[q] >= least[q])
+            near = self._order[place]
+            cosine = (self._exact[place] * common[q]).sum(axis=1) + rare[q].reshape(-1)[place]
             cosine = np.round(cosine, 12)
             by = np.lexsort([self.ids[near], -cosine])[:k]
             found.append((near[by], cosine[by]))
-            dense[terms[mine]] = 0
         return found
 
     def _pruned(
@@ -373,29 +379,35 @@ class Index:
         slack = 2 * (len(self._maxima) + 8) * 2.0**-24 + 1e-9
         bound = part @ self._maxima + rare.max(axis=2) + slack
         best = np.full((m, k), -1.0, np.float32)
+        least = best[:, 0].copy()  # of the k best of each query
         left = np.ones((m, n_blocks), bool)
-        left_out = out // _WIDTH
+        left_out = np.where(out >= 0, out // _WIDTH, -1)
 
         def look(b: int, which: np.ndarray) -> None:
-            got = part[which] @ self._blocks[b] + rare[which, b]
+            got = part[which] @ self._blocks[b]
+            got = (got + rare[which, b]).astype(np.float32)
             own = np.flatnonzero(left_out[which] == b)
-            own = own[out[which[own]] >= 0]
             got[own, out[which[own]] % _WIDTH] = -1
             score[which, b] = got
             left[which, b] = False
-            both = np.concatenate([best[which], got.astype(np.float32)], axis=1)
-            best[which] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            better = np.flatnonzero(got.max(axis=1) > least[which])
+            if len(better):
+                own = which[better]
+                both = np.concatenate([best[own], got[better]], axis=1)
+                both.partition(both.shape[1] - k, axis=1)
+                best[own] = both[:, -k:]
+                least[own] = both[:, -k]
             self.looked += len(which)
 
         first = np.argsort(-bound, axis=1)[:, :2]
         for b in np.unique(first).tolist():
             look(b, np.flatnonzero((first == b).any(axis=1)))
         for b in np.argsort(-bound.max(axis=0)).tolist():
-            which = np.flatnonzero(left[:, b] & (bound[:, b] >= best.min(axis=1) - slack))
+            which = np.flatnonzero(left[:, b] & (bound[:, b] >= least - slack))
             if len(which):
                 look(b, which)
         self.skipped += int(left.sum())
-        return score.reshape(m, -1), np.maximum(best.min(axis=1) - slack, 1e-30)
+        return score.reshape(m, -1), np.maximum(least - slack, 1e-30)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray, lexical: float) -> float:
         """Share of label 1 among neighbours and the lexicon's vote; a nearer neighbour and
