@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathfeat.llm import toxicity
+from pathfeat.llm.columns import column
 from pathfeat.llm.decontaminate import decontaminated
 from pathfeat.llm.minhash import near_duplicates
 from pathfeat.llm.packing import packed
@@ -26,6 +27,11 @@ from pathfeat.plans.staging import Staging, stage, staging_root
 
 TOXIC = 0.7
 
+# Bits for the ids that near-dedup drops, one megabyte whatever the input, and how many of
+# them ``bitmap_construct_agg`` puts in a row.
+_SLOTS = 1 << 23
+_ROW_BITS = 1 << 15
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below ``TOXIC``. Rows that repeat an id are each judged
@@ -38,10 +44,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of least id. Rows without
-    an id stay, and rows that repeat an id stay or go together."""
+    an id stay, and rows that repeat an id stay or go together.
+
+    Only rows whose id has the bit of a dropped one are joined with the dropped ids; the
+    others stay where they are read, so the texts that are kept aren't shuffled."""
     found = near_duplicates(docs, threshold=(85, 100), width=5)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, gone)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id isn't in ``gone``."""
+    bucket, bits = "bucket", "bits"
+    while bucket in docs.columns or bits in docs.columns:
+        bucket, bits = bucket + "_", bits + "_"
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SLOTS))
+    row, at = F.shiftright(slot, 15).alias(bucket), slot % _ROW_BITS
+    maps = gone.select(row, at.alias("at")).groupBy(bucket).agg(F.bitmap_construct_agg("at").alias(bits))
+    byte = F.conv(F.hex(F.substr(bits, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    bit = F.call_function("getbit", byte.cast("int"), (at % 8).cast("int"))
+    marked = docs.withColumn(bucket, row).join(F.broadcast(maps), bucket, "left")
+    suspect, names = F.coalesce(bit == 1, F.lit(False)), [column(docs, c) for c in docs.columns]
+    left = marked.where(suspect).select(names).join(gone, "doc_id", "left_anti").select(names)
+    return marked.where(~suspect).select(names).union(left)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
