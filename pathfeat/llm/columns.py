@@ -12,7 +12,8 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -195,6 +196,26 @@ def give_back(others: bool = False) -> None:
         _trim(0)
 
 
+def give_back_driver(spark: SparkSession) -> None:
+    """Return freed memory of the driver's two processes to the system. Every thread that
+    plans, compiles or sends leaves its own in the JVM's native heap, beside the Java heap
+    and out of its limit: after a hundred jobs more than the plans themselves take. A JVM
+    without the command keeps it."""
+    give_back()
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    values = array(jvm.java.lang.Object, 4)
+    values[0], values[1] = name, "systemTrimNativeHeap"
+    # By the interface's method: the class of the server is none that others may call.
+    methods = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+    (invoke,) = [m for m in methods if m.getName() == "invoke"]
+    try:
+        invoke.invoke(server, values)
+    except Py4JJavaError:
+        pass
+
+
 def schema_after(first: StructField, fields: str) -> StructType:
     """A schema of one column as it is, nullability within it included, and new ones."""
     return StructType([first, *StructType.fromDDL(fields).fields])

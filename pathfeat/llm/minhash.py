@@ -45,6 +45,7 @@ from .columns import (
     blocks,
     column,
     give_back,
+    give_back_driver,
     lowered,
     mixed,
     row_of,
@@ -321,6 +322,7 @@ def near_duplicates(
         found = _near_duplicates(docs, threshold, width, bands, rows, batch, miss, most_chunks, key, text)
     found = stage(found, "near-duplicates")
     own.close()
+    give_back_driver(docs.sparkSession)
     return found
 
 
@@ -398,6 +400,7 @@ def _near_duplicates(
     links = links.mapInArrow(_linked_pairs(hashes, limits, width, top, bottom), pair)
     links = stage(links, "links")
     labels = components(links)
+    give_back_driver(docs.sparkSession)
 
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.withColumn("component", F.coalesce("component", "rep"))
@@ -409,6 +412,7 @@ def _near_duplicates(
     )
     left = stage(named.join(spans, "bucket"), "open")
     if not left.isEmpty():
+        give_back_driver(docs.sparkSession)
         facing = _facing(left, texts, most_chunks).groupBy("grp", "apart", "i", "j")
         more = facing.applyInArrow(_linked_chunks(hashes, limits, width, top, bottom), pair)
         labels = components(links.union(stage(more, "links")))

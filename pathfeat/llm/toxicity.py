@@ -40,7 +40,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import blocks, column, give_back, mixed, row_of, span_hashes, span_sums, text_bytes, word_spans
+from .columns import (
+    blocks,
+    column,
+    give_back,
+    give_back_driver,
+    mixed,
+    row_of,
+    span_hashes,
+    span_sums,
+    text_bytes,
+    word_spans,
+)
 from .minhash import shingle_sets
 from .sampling import Sample, fit_logistic, labelled_sample
 
@@ -566,6 +577,7 @@ def fit(
     vocabulary = Vocabulary(_words(texts) if both_kinds else np.zeros(0, np.uint64), lexicon)
     (rows, terms, counts), density = vocabulary.scan(texts, lexicon=True)
     del texts
+    give_back_driver(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
     found = (
         docs.select(column(docs, text, "text"))
@@ -601,6 +613,7 @@ def fit(
             places = np.array([r.i for r in voted], np.int64)
             votes = np.array([r.vote for r in voted])
             curve = fit_logistic(votes, index.labels[places].astype(float), index.weights[places])
+    give_back_driver(spark)
     return Model(vocabulary, index, lexical, curve, base, k)
 
 
