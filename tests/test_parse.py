@@ -67,3 +67,8 @@ def test_labels(lines):
     assert lost == {
         "a b": "field count", "a b c true": "field count", "a b maybe": "no truth value", "": "field count",
     }
+
+
+def test_rejects_are_parsed_once(lines):
+    plan = reject_arcs(lines([GOOD, "are"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan
