@@ -205,3 +205,10 @@ def test_the_long_corpus_reaches_every_branch(spark):
     other = nodes.selectExpr("doc_id", "line_no", "node AS parent", "parent AS node")
     assert nodes.join(other, ["doc_id", "line_no", "node", "parent"], "left_semi").where("node <> parent").count() > 0
     assert corpus.long_arcs(spark, sf_dir).selectExpr("max(size(toks))").first()[0] == corpus.LONG
+
+
+@pytest.mark.parametrize("scope", ["all", "first_half"])
+def test_lines_are_stemmed_once_for_noun_pairs(sample, scope):
+    pairs = noun_pairs(stem_arcs(sample[0]), Options(pair_scope=scope))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan
