@@ -17,9 +17,10 @@ with a smaller id. Strings are judged on the texts as given; they never cross do
 4. Every document's marks are merged and its text is cut.
 
 The documents are dealt by their id and text into groups of about ``group_bytes``, and
-the groups are read by three of these steps from one shuffle. The number of shards grows
-with the groups, so neither grows with the input, but for rows that are equal in id and
-text, and for equal strings, of which each group sends those of one document. Rows
+the groups are read by three of these steps from one shuffle. The number of shards is that
+of ``shard_bytes`` in the input, so neither grows with the input, but for rows that are equal
+in id and text, and for equal strings, of which each group sends those of one document. Every
+group may send a message to every shard, so groups are larger than shards, which sort. Rows
 without an id are cut, that is, kept whole, where they are read.
 
 Defined results: a null text is empty, and texts shorter than ``length`` keep all bytes;
@@ -337,11 +338,12 @@ def _shard_marker(length: int):
             which = np.searchsorted(begin, opens, "right") - 1
             lo = first[which] + opens - begin[which]
             hi = first[which] + closes - begin[which] + length
-            for k, grp in enumerate(groups):
-                own = owner[which] == k
-                if own.any():
-                    marks = [x[own].astype(np.int32) for x in (row[which], lo, hi)]
-                    rows.append((grp, *_packed(marks)))
+            # The marks come in the order of the parts.
+            of = owner[which]
+            edges = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of)).tolist()
+            found = [x.astype(np.int32) for x in (row[which], lo, hi)]
+            for a, b in zip(edges, edges[1:]):
+                rows.append((groups[of[a]], *_packed([x[a:b] for x in found])))
         return _table(rows, [pa.int32(), pa.binary(), pa.int64()], _MARKS)
 
     return run
@@ -405,12 +407,13 @@ def _cut(table: pa.Table, marks: Iterable[tuple[bytes, int]], outputs: tuple[str
 def repeats_removed(
     docs: DataFrame,
     length: int = 50,
-    group_bytes: int = 1 << 21,
+    group_bytes: int = 1 << 23,
     key: str = "doc_id",
     text: str = "text",
     carry: list[str] | None = None,
     outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"),
     most_runs: int = 1 << 15,
+    shard_bytes: int = 1 << 21,
 ) -> DataFrame:
     """``row``, a struct of the carried columns (the key alone unless said otherwise),
     and the outputs asked for: ``n_bytes, n_removed, n_spans, kept_sha256``, the
@@ -425,7 +428,8 @@ def repeats_removed(
     total = docs.select(F.sum(F.octet_length(column(docs, text)))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(parts, -(-total // group_bytes))
-    parts = max(parts, groups // 8)
+    shards = max(parts, -(-total // min(group_bytes, shard_bytes)))
+    parts = max(parts, shards // 8)
     source = docs.select(
         column(docs, key, "key").cast("bigint").alias("key"),
         F.coalesce(column(docs, text), F.lit("")).alias("text"),
@@ -434,12 +438,12 @@ def repeats_removed(
     group = F.pmod(F.xxhash64("key", "text"), F.lit(groups)).cast("int").alias("grp")
     grouped = source.where(F.col("key").isNotNull()).select(group, "*").repartition(parts, "grp")
 
-    keys = grouped.groupBy("grp").applyInArrow(_key_sender(length, groups), _KEYS)
+    keys = grouped.groupBy("grp").applyInArrow(_key_sender(length, shards), _KEYS)
     answers = keys.groupBy("shard").applyInArrow(_answer(most_runs), _ANSWERS)
     sent = (
         grouped.groupBy("grp")
         .cogroup(answers.groupBy("grp"))
-        .applyInArrow(_run_sender(length, groups), _SENT)
+        .applyInArrow(_run_sender(length, shards), _SENT)
     )
     marks = sent.groupBy("shard").applyInArrow(_shard_marker(length), _MARKS)
     kinds = {"kept": "binary", "kept_sha256": "string", "kept_text": "string"}

@@ -135,3 +135,15 @@ def test_rows_without_an_id_stay_where_they_are(spark):
     found = parts.collect()
     assert sum(r["count"] for r in found) == 1000 and {r.n_removed for r in found} == {0}
     assert max(r["count"] for r in found) < 500
+
+
+def test_groups_are_larger_than_shards(spark, monkeypatch):
+    rows, asked = documents(), []
+    sender = repeats._key_sender
+    monkeypatch.setattr(repeats, "_key_sender", lambda length, shards: asked.append(shards) or sender(length, shards))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    total = sum(len((text or "").encode()) for _, text in rows)
+    got = repeats_removed(df.repartition(5), 50, 4000, outputs=OUTPUTS, shard_bytes=500)
+    got = [(r.row.doc_id, *[r[c] for c in OUTPUTS]) for r in got.collect()]
+    assert sorted(got, key=str) == sorted([r[:7] for r in brute(rows, 50)], key=str)
+    assert asked == [-(-total // 500)]
